@@ -33,8 +33,8 @@ OP10_SQL = r"""
 WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(x) >= 2 THEN list_transform(range(1, len(x)), lambda i: x[i] || ' ' || x[i + 1]) ELSE x END) AS shingle FROM w),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
-e AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 sym AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT sym.b, r.c FROM r JOIN sym ON r.doc_id = sym.a),
 m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY 1)
