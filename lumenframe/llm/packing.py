@@ -1,12 +1,16 @@
 """Packing by lexical retrieval: each seed document's window is filled with its nearest unused neighbours of a BM25 index.
 
-The index is sharded: documents are dealt to shards by their rarest term, so that related texts meet, then by id, so that
-no term makes a large shard. A shard holds SHARD rests of documents (under one window each) and its own inverted index; the
-document frequencies and the mean length in its weights are those of all documents.
+The units are pieces of at most a window. A document's full windows are sequences of their own; the index is of the rests. It
+is sharded: rests are dealt by their rarest id, so that related texts meet, then by document, so that no id makes a large
+shard. A shard has SHARD rests and its own inverted index; the frequencies and the mean length in its weights are those of
+all pieces of all documents.
 """
 
 from __future__ import annotations
 
+import itertools
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import N_IDS, encoded, list_crcs
+from .tokens import N_IDS, encoded
 
 WINDOW, SHARD = 4096, 2048
 #: BM25's constants, and how many of a seed's rarest terms its query has.
@@ -22,20 +26,27 @@ K1, B, QUERY = 1.2, 0.75, 24
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order, and their counts; 16 bits hold an id, which sorts in linear time."""
+    x = np.sort(ids.astype(np.uint16), kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    return x[at].astype(np.int64), np.diff(np.append(at, len(x)))
+
+
 def bm25(ids: list[np.ndarray], df: np.ndarray, n: int, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """An inverted index of the rests: starts of each term's postings, their documents, their weights; and each rest's query."""
+    """An inverted index of the pieces: starts of each term's postings, their pieces, their weights; and each piece's query."""
     idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    terms, docs, tf, queries = [], [], [], []
+    terms, pieces, tf, queries = [], [], [], []
     for k, x in enumerate(ids):
-        t, c = np.unique(x, return_counts=True)
+        t, c = terms_of(x)
         terms.append(t)
-        docs.append(np.full(len(t), k, np.int32))
+        pieces.append(np.full(len(t), k, np.int32))
         tf.append(c / (c + K1 * (1 - B + B * len(x) / mean)) * (K1 + 1))
-        queries.append(t[np.argsort(-idf[t], kind="stable")[:QUERY]])
-    terms, docs, tf = np.concatenate(terms), np.concatenate(docs), np.concatenate(tf)
-    order = np.argsort(terms, kind="stable")
-    terms, docs = terms[order], docs[order]
-    return np.searchsorted(terms, np.arange(N_IDS + 1)), docs, tf[order] * idf[terms], queries
+        queries.append(t[np.argpartition(-idf[t], QUERY)[:QUERY]] if len(t) > QUERY else t)
+    terms, pieces, tf = np.concatenate(terms), np.concatenate(pieces), np.concatenate(tf)
+    order = np.argsort(terms.astype(np.uint16), kind="stable")
+    terms = terms[order]
+    return np.searchsorted(terms, np.arange(N_IDS + 1)), pieces[order], tf[order] * idf[terms], queries
 
 
 def fill(ids: list[np.ndarray], df: np.ndarray, n: int, mean: float) -> list[list[tuple[int, int, int]]]:
@@ -57,7 +68,7 @@ def fill(ids: list[np.ndarray], df: np.ndarray, n: int, mean: float) -> list[lis
         near = np.flatnonzero(score)
         near = near[np.argsort(-score[near], kind="stable")]
         row, room = [], WINDOW
-        for k in (seed, *near.tolist(), *range(seed + 1, len(ids))):
+        for k in itertools.chain([seed], near.tolist(), range(seed + 1, len(ids))):
             take = min(room, int(size[k] - done[k]))
             if take > 0:
                 row.append((k, int(done[k]), take))
@@ -78,33 +89,30 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    tokens = common.stored(common.mapped(rows, "doc_id long, tokens array<int>", lambda batch: {"doc_id": batch["doc_id"], "tokens": common.lists(encoded(batch, vocabulary), pa.int32())}), "tokens")
 
-    def spread(batch):
-        """Document frequency of each id, then documents and tokens."""
-        ends, flat = batch["tokens"].offsets.to_numpy().astype(np.int64), batch["tokens"].values.to_numpy()
-        flat, ends = flat[ends[0] : ends[-1]], ends - ends[0]
-        seen = np.unique(np.repeat(np.arange(batch.num_rows), np.diff(ends)) * N_IDS + flat)
-        return np.append(np.bincount(seen % N_IDS, minlength=N_IDS), [batch.num_rows, len(flat)])
-
-    got = common.summed(tokens.select("tokens"), N_IDS + 2, spread)
-    n, mean = max(1, int(got[-2])), max(1.0, got[-1] / max(1, got[-2]))
-    frequencies = spark.sparkContext.broadcast(got[:N_IDS])
-
-    def split(batch):
-        """Full windows, and each document's rest with its rarest term as key."""
-        out = {k: [] for k in ("doc_id", "start", "doc_tokens", "term")}
-        parts, df = [], frequencies.value
-        for i, x in zip(batch["doc_id"].to_pylist(), lists_of(batch["tokens"]), strict=True):
+    def cut(batch):
+        """Pieces of at most a window; a rest's term is its greatest id, which the vocabulary learned last."""
+        out = {k: [] for k in ("doc_id", "start", "doc_tokens", "ids_crc32", "term")}
+        parts = []
+        for i, x in zip(batch["doc_id"].to_pylist(), encoded(batch, vocabulary), strict=True):
             for a in range(0, len(x), WINDOW):
                 part = x[a : a + WINDOW]
-                term = -1 if len(part) == WINDOW else int(part[np.argmin(df[part])])
-                for k, v in zip(out, (i, a, len(x), term), strict=True):
+                for k, v in zip(out, (i, a, len(x), zlib.crc32(part), -1 if len(part) == WINDOW else int(part.max())), strict=True):
                     out[k].append(v)
                 parts.append(part)
         return out | {"tokens": common.lists(parts, pa.int32())}
 
-    pieces = common.mapped(tokens, "doc_id long, start long, doc_tokens long, term int, tokens array<int>", split)
+    pieces = common.stored(common.mapped(rows, "doc_id long, start long, doc_tokens long, ids_crc32 long, term int, tokens array<int>", cut), "pieces")
+
+    def spread(batch):
+        """In how many pieces each id is, then pieces and tokens."""
+        own = lists_of(batch["tokens"])
+        seen = np.concatenate([terms_of(x)[0] for x in own])
+        return np.append(np.bincount(seen, minlength=N_IDS), [len(own), sum(map(len, own))])
+
+    got = common.summed(pieces.select("tokens"), N_IDS + 2, spread)
+    n, mean = max(1, int(got[-2])), max(1.0, got[-1] / max(1, got[-2]))
+    frequencies = spark.sparkContext.broadcast(got[:N_IDS])
     kinds = common.arrow_schema(spark, PIECES)
 
     def whole(batches):
@@ -112,7 +120,7 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
         for batch in batches:
             number = (np.int64(part) << 32) + done + np.arange(batch.num_rows)
             done += batch.num_rows
-            yield common.batch_of({"doc_id": batch["doc_id"], "start": batch["start"], "length": np.full(batch.num_rows, WINDOW), "ids_crc32": list_crcs(batch["tokens"]), "doc_tokens": batch["doc_tokens"], "sequence_id": 2 * number + 1, "offset": np.zeros(batch.num_rows, np.int64)}, kinds)
+            yield common.batch_of({"doc_id": batch["doc_id"], "start": batch["start"], "length": np.full(batch.num_rows, WINDOW), "ids_crc32": batch["ids_crc32"], "doc_tokens": batch["doc_tokens"], "sequence_id": 2 * number + 1, "offset": np.zeros(batch.num_rows, np.int64)}, kinds)
 
     def shards(batches):
         done, part, held = 0, TaskContext.get().partitionId(), []
@@ -138,9 +146,9 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
                 offset += size
         return common.batch_of(out, kinds)
 
-    full = pieces.filter("term < 0").mapInArrow(whole, PIECES)
+    full = pieces.filter("term < 0").select("doc_id", "start", "doc_tokens", "ids_crc32").mapInArrow(whole, PIECES)
     count = max(1, -(-n // SHARD))
-    rest = pieces.filter("term >= 0").repartitionByRange(count, "term", "doc_id").mapInArrow(shards, PIECES)
+    rest = pieces.filter("term >= 0").select("doc_id", "start", "doc_tokens", "term", "tokens").repartitionByRange(count, "term", "doc_id").mapInArrow(shards, PIECES)
     return full.union(rest)
 
 
