@@ -4,9 +4,9 @@
 greatest find a pair of similarity 0.8 but for 3 in a million; candidates are confirmed on their full shingle sets.
 
 1. Equal sets are one class; only its smallest id goes on, so exact copies never make pairs.
-2. In each bucket of a band, all members are compared with its smallest id alone (a star, not all pairs).
-3. Connected components of the confirmed links; buckets that still hold several components compare members of
-   different components, within the sizes that the threshold allows, so no link is lost to the star.
+2. In each bucket of a band, all members are compared with one pivot alone (a star, not all pairs).
+3. Connected components of the confirmed links; where members of a bucket are still in different components, the sets of
+   all that share its pivot are multiplied block by block, so that no link is lost and no pair is a row.
 """
 
 from __future__ import annotations
@@ -14,12 +14,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
 PERMUTATIONS, ROWS = 80, 5
+#: Rows and bytes of shingles of a block; a task holds two blocks.
+BLOCK, BLOCK_BYTES = 512, 16 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -75,18 +77,18 @@ def features(docs: DataFrame, size: int, least: int) -> DataFrame:
     return common.mapped(docs, "doc_id long, n_shingles long, digest binary, bands array<long>", work)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """doc_id and shingles of the documents in ``ids``: their texts move once, by id."""
+    own = docs.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    work = lambda batch: {"doc_id": batch["doc_id"], "shingles": pa.array([shingles(x, size).tobytes() for x in common.texts(batch["text"])], pa.binary())}
+    return common.stored(common.mapped(own, "doc_id long, shingles binary", work), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = common.mapped(
-        docs.join(ids, "doc_id", "left_semi"),
-        "doc_id long, shingles binary",
-        lambda batch: {"doc_id": batch["doc_id"], "shingles": pa.array([shingles(x, size).tobytes() for x in common.texts(batch["text"])], pa.binary())},
-    )
-    sets = common.stored(sets.dropDuplicates(["doc_id"]), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    both = pairs.join(right, "b").join(left, "a")
+    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
 
     def work(batch):
         keep = []
@@ -100,6 +102,62 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return common.mapped(both, "a long, b long", work)
 
 
+def pivoted(members: DataFrame) -> DataFrame:
+    """The rows of buckets with each bucket's pivot: the member that shares most buckets with most others, so the middle of
+    a group of near copies is the pivot in all of the group's buckets."""
+    weight = members.groupBy("id").agg(F.sum("members").alias("weight"))
+    pivots = members.join(weight, "id").groupBy("band").agg(F.max(F.struct("weight", "id")).alias("x")).select("band", F.col("x.id").alias("pivot"))
+    return common.stored(members.join(pivots, "band"), "pivots")
+
+
+def stars(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's pivot with its other members, where sizes allow a link."""
+    pairs = members.filter("id <> pivot").select("id", "n", "pivot").distinct()
+    pairs = pairs.join(classes.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n")), "pivot").filter(fits("n", "pivot_n", percent))
+    return pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+
+
+def within_families(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of different components that have a bucket in common, one for each two components.
+
+    A family is all members of the unsettled buckets of one pivot. Its sets are dealt to blocks of about BLOCK rows and
+    BLOCK_BYTES; a task holds two blocks and counts their intersections as products of matrices, so pairs are never rows.
+    """
+    family = unsettled(members, parts).select("pivot", "id", "part").distinct()
+    family = family.join(sets.hint("merge").select(F.col("doc_id").alias("id"), "shingles"), "id")
+    blocks = family.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    family = family.join(blocks, "pivot").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    family = family.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+
+    def links(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, part = (table[k].to_numpy() for k in ("id", "part"))
+        own_sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["shingles"]]
+        size = np.array([len(x) for x in own_sets])
+        flat, row = np.concatenate(own_sets), np.repeat(np.arange(len(ids)), size)
+        _, col, n = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = np.cumsum(n > 1) - 1
+        keep = n[col] > 1
+        row, col = row[keep], shared[col[keep]]
+        inter, width = np.zeros((len(ids), len(ids)), np.float32), int((n > 1).sum())
+        for at in range(0, width, 4096):
+            here = (col >= at) & (col < at + 4096)
+            part_of = np.zeros((len(ids), min(4096, width - at)), np.float32)
+            part_of[row[here], col[here] - at] = 1
+            inter += part_of @ part_of.T
+        linked = (100 * inter >= percent * (size[:, None] + size[None, :] - inter)) & (part[:, None] < part[None, :])
+        i, j = np.nonzero(linked)
+        _, first = np.unique(np.stack([part[i], part[j]]), axis=1, return_index=True) if len(i) else (None, np.zeros(0, np.int64))
+        return pa.table({"a": pa.array(ids[i[first]], pa.int64()), "b": pa.array(ids[j[first]], pa.int64())})
+
+    return family.select("pivot", "x", "y", "id", "part", "shingles").groupBy("pivot", "x", "y").applyInArrow(links, "a long, b long")
+
+
+def fits(x: str, y: str, percent: int) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, component (smallest id reachable) of all ids in the links (a, b): alternating large and small stars.
 
@@ -122,6 +180,13 @@ def components(links: DataFrame) -> DataFrame:
     return found.select(F.col("a").alias("id"), "component").union(found.select("component", "component").distinct())
 
 
+def unsettled(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """The buckets of three members or more that hold several components, with part, the component of each member."""
+    own = members.filter("members > 2").join(parts, "id", "left").select("band", "id", "pivot", F.coalesce("component", "id").alias("part"))
+    mixed = own.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("band")
+    return own.join(mixed, "band")
+
+
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
@@ -137,25 +202,15 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, text:
     classes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = common.stored(classes, "classes")
     members = classes.select("id", "n", F.explode("bands").alias("band"))
-    pivots = members.groupBy("band").agg(F.min("id").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
-    members = common.stored(members.join(pivots, "band").join(classes.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n")), "pivot"), "buckets")
-    fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    star = members.filter(F.col("id") > F.col("pivot")).filter(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    star = common.stored(star, "star")
-    links = common.stored(confirmed(star, docs, size, percent), "confirmed")
+    several = members.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
+    members = common.stored(members.join(several, "band"), "buckets")
+    sets = shingle_sets(docs, members.select(F.col("id").alias("doc_id")).distinct(), size)
+    members = pivoted(members)
+    links = common.stored(confirmed(common.stored(stars(members, classes, percent), "star"), sets, percent), "confirmed")
     parts = common.stored(components(links), "parts")
-
-    # Buckets that still hold several components: pairs of members of different ones that no star has compared.
-    open_ = members.filter("members > 2").join(parts, "id", "left").select("band", "id", "n", F.coalesce("component", "id").alias("part"))
-    several = open_.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("band")
-    open_ = open_.join(several, "band")
-    one, two = (open_.select("band", *(F.col(c).alias(f"{c}{k}") for c in ("id", "n", "part"))) for k in (1, 2))
-    rest = one.join(two, "band").filter("id1 < id2 and part1 <> part2").filter(fits(F.col("n1"), F.col("n2")))
-    rest = rest.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    rest = common.stored(rest, "rest")
-    if not rest.isEmpty():
-        links = common.stored(links.union(confirmed(rest, docs, size, percent)), "confirmed")
-        parts = common.stored(components(links), "parts")
+    more = common.stored(within_families(members, parts, sets, percent), "more")
+    if not more.isEmpty():
+        parts = common.stored(components(links.union(more)), "parts")
 
     of_class = classes.select("digest", "id").join(parts, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
