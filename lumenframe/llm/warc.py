@@ -6,6 +6,7 @@ by its binary-file source, so they may lie on any store that Spark reaches. Reco
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import uuid
@@ -89,8 +90,8 @@ def record_id(page_id, digest: str) -> str:
 
 
 def written(rows: DataFrame, path: str, end: bytes, per_file: int) -> None:
-    """Rows (value binary) as files of ``per_file`` records each."""
-    rows.select(F.col("value").cast("string")).write.option("lineSep", end.decode()).option("maxRecordsPerFile", per_file).text(path)
+    """Rows (value binary) as gzip files of ``per_file`` records each."""
+    rows.select(F.col("value").cast("string")).write.option("compression", "gzip").option("lineSep", end.decode()).option("maxRecordsPerFile", per_file).text(path)
 
 
 def write_arc(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", date: str = "20240101000000", version: int | None = None) -> str:
@@ -117,14 +118,15 @@ def write_arc(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str
 
 
 def parsed(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
-    """Rows that ``rows(data)`` makes of each archive file."""
+    """Rows that ``rows(data)`` makes of each archive file, plain or gzip."""
     kinds = common.arrow_schema(spark, schema)
 
     def run(batches):
         for batch in batches:
             for file in batch["content"]:
                 held, size = [], 0
-                for row in rows(file.as_py()):
+                data = file.as_py()
+                for row in rows(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                     held.append(row)
                     size += 500 + len(row.get("block") or b"")
                     if size > common.BATCH_BYTES:
