@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import text_queries, timeline_queries, vector_queries
+from . import flow_queries, text_queries, timeline_queries, vector_queries
 
 FLAGSHIP = "p6_training_table"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**timeline_queries.QUERIES, **text_queries.QUERIES, **vector_queries.QUERIES}
-ORACLES: dict[str, str] = {**timeline_queries.ORACLES, **text_queries.ORACLES, **vector_queries.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**timeline_queries.QUERIES, **text_queries.QUERIES, **vector_queries.QUERIES, **flow_queries.QUERIES}
+ORACLES: dict[str, str] = {**timeline_queries.ORACLES, **text_queries.ORACLES, **vector_queries.ORACLES, **flow_queries.ORACLES}

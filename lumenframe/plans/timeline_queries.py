@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..operators import features as X
 from ..operators import timeline as T
+from ..sources import files
 
 
 def ev(spark, d):
-    """The events; times without a zone are taken as UTC, whatever the session's zone is."""
-    df = spark.read.parquet(f"{d}/events.parquet")
-    return df.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())) if dict(df.dtypes)["ts"] == "timestamp_ntz" else df
+    return files.utc(spark.read.parquet(f"{d}/events.parquet"))
 
 
 def r(c):
