@@ -36,7 +36,7 @@ def lag_rate(spark, d):
 
 
 LAG_RATE = f"""WITH l AS (SELECT event_id, value - lag(value) {W} AS diff, ({S} - lag({S}) {W}) / 1e6 AS dt FROM events)
-SELECT event_id, round(diff, 6) AS diff, round(diff / greatest(dt, 1e-3), 6) AS rate FROM l WHERE diff IS NOT NULL"""
+SELECT event_id, round(diff, 6) AS diff, round(diff / greatest(dt, 1e-3), 6) + 0.0 AS rate FROM l WHERE diff IS NOT NULL"""
 
 
 def rolling(spark, d):
