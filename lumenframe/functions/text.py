@@ -36,7 +36,7 @@ def occurrences(c: Column, pattern: str) -> Column:
 
 def marks(c: Column) -> Column:
     """How many punctuation marks and symbols."""
-    return F.char_length(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\p{P}\p{S}]", ""))
+    return F.char_length(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\p{P}\p{S}]+", ""))
 
 
 def share(tokens: Column, test) -> Column:

@@ -165,8 +165,8 @@ SELECT label, round(avg(sqrt(list_dot_product(e, e))), 6) AS norm_mean, round(st
 def characters(spark, d):
     """Share of characters that are neither letters, digits nor space, and the ratio of upper to lower case in the first line."""
     text, title = F.coalesce("text", F.lit("")), F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)
-    lower = F.length(F.regexp_replace(title, r"[^\p{Ll}]", ""))
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", r(F.length(F.regexp_replace(text, r"[\p{L}\p{N}\x20\x09-\x0D]", "")) / F.greatest(F.length(text), F.lit(1))).alias("special"), r(F.length(F.regexp_replace(title, r"[^\p{Lu}]", "")) / F.greatest(lower, F.lit(1))).alias("upper_lower"))
+    lower = F.length(F.regexp_replace(title, r"[^\p{Ll}]+", ""))
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", r(F.length(F.regexp_replace(text, r"[\p{L}\p{N}\x20\x09-\x0D]+", "")) / F.greatest(F.length(text), F.lit(1))).alias("special"), r(F.length(F.regexp_replace(title, r"[^\p{Lu}]+", "")) / F.greatest(lower, F.lit(1))).alias("upper_lower"))
 
 
 CHARACTERS = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, split_part(coalesce(text, ''), chr(10), 1) AS title FROM documents)

@@ -23,7 +23,7 @@ def r(c):
 def lexical(spark: SparkSession, d: str) -> DataFrame:
     df = docs(spark, d).withColumn("w", T.words(F.col("text"))).withColumn("s", T.sentences(F.col("text"))).withColumn("l", F.transform("w", F.lower))
     w, n = F.col("w"), F.size("w")
-    length = F.aggregate(F.transform(w, F.char_length), F.lit(0), lambda a, x: a + x)
+    length = F.char_length(F.array_join(w, ""))
     avg_word, avg_sentence = T.ratio(length, n), T.ratio(n, F.size("s"))
     chars = F.char_length(F.coalesce("text", F.lit("")))
     return df.select(
