@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import flow_queries, report_queries, signal_queries, text_queries, timeline_queries, vector_queries
+from . import flow_queries, fold_queries, report_queries, signal_queries, text_queries, timeline_queries, vector_queries
 
 FLAGSHIP = "p6_training_table"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**timeline_queries.QUERIES, **text_queries.QUERIES, **vector_queries.QUERIES, **flow_queries.QUERIES, **signal_queries.QUERIES, **report_queries.QUERIES}
-ORACLES: dict[str, str] = {**timeline_queries.ORACLES, **text_queries.ORACLES, **vector_queries.ORACLES, **flow_queries.ORACLES, **signal_queries.ORACLES, **report_queries.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**timeline_queries.QUERIES, **text_queries.QUERIES, **vector_queries.QUERIES, **flow_queries.QUERIES, **signal_queries.QUERIES, **report_queries.QUERIES, **fold_queries.QUERIES}
+ORACLES: dict[str, str] = {**timeline_queries.ORACLES, **text_queries.ORACLES, **vector_queries.ORACLES, **flow_queries.ORACLES, **signal_queries.ORACLES, **report_queries.ORACLES, **fold_queries.ORACLES}

@@ -7,8 +7,10 @@ that covers its disorder.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..sources import files, sinks
 
@@ -35,6 +37,21 @@ def deduplicated(df: DataFrame, keys: list[str], delay: str = DELAY) -> DataFram
     return df.withWatermark("ts", delay).dropDuplicatesWithinWatermark(keys)
 
 
+def trailing(df: DataFrame, size: int) -> DataFrame:
+    """Mean of each user's last ``size`` values by time and id, for update mode; the state is those rows and a count."""
+
+    def step(key, frames, state):
+        kept, n = (list(map(tuple, state.get[0])), state.get[1]) if state.exists else ([], 0)
+        for frame in frames:
+            n += len(frame)
+            kept = sorted([*kept, *zip(frame["t"].tolist(), frame["event_id"].tolist(), frame["value"].tolist(), strict=True)])[-size:]
+        state.update((kept, n))
+        yield pd.DataFrame({"user_id": [key[0]], "mean": [sum(x[2] for x in kept) / len(kept)], "n": [n], "last_us": [kept[-1][0]]})
+
+    rows = df.filter("user_id is not null and value is not null").select("user_id", F.unix_micros("ts").alias("t"), "event_id", "value")
+    return rows.groupBy("user_id").applyInPandasWithState(step, "user_id long, mean double, n long, last_us long", "kept array<struct<t:bigint,event_id:bigint,value:double>>, n long", "update", GroupStateTimeout.NoTimeout)
+
+
 def replay(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Run a stream over all that is there and read its result.
 
