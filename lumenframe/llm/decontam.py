@@ -3,8 +3,9 @@ hash-joined, and the placeholders' contents must correspond one to one for a mat
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
-import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -22,69 +23,139 @@ TOKEN = regex.compile(r"[\p{L}\p{M}]+(?:['’][\p{L}]+)*|\p{Sc}|%|\d+(?:[.,]\d+)
 NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen".split())
 UNITS = frozenset("km cm mm kg mg lb lbs oz ml mph kmh hour hours minute minutes second seconds day days week weeks month months year years dollar dollars euro euros cent cents percent meter meters metre metres mile miles inch inches foot feet yard yards liter liters litre litres gram grams kilogram kilograms kilometer kilometers kilometre kilometres pound pounds ounce ounces".split())
 STEP = np.random.default_rng(17).integers(1, 2**63, WINDOW, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Kinds of tokens; a name is one only inside a sentence. Windows of templates and of unreplaced tokens start from other seeds.
+KINDS = ("", "<number>", "<unit>", "<name>")
+BREAK = len(KINDS)
+KIND_HASH = np.array([0, *map(xxhash.xxh3_64_intdigest, KINDS[1:])], np.uint64)
+SEEDS = {False: np.uint64(0), True: np.uint64(0x9E3779B97F4A7C15)}
+#: Written forms that a Python worker keeps.
+KEPT = 900_000
 
 
-def template(text: str) -> tuple[list[str], list[str]]:
-    """The template's tokens, and for each its placeholder's content or an empty string for a literal.
+class Words(dict):
+    """A number for each token as written; its lower-case form, hash and kind are at that place of three vectors."""
 
-    A name is a capitalised word that neither begins a sentence or line nor is all capitals; literals are lower-cased.
-    """
-    out, slots, begins = [], [], True
-    for t in TOKEN.findall(text):
+    def __init__(self):
+        self.start()
+
+    def start(self):
+        self.clear()
+        self.low, self.hash, self.kind = [], array("Q"), array("b")
+
+    def __missing__(self, t: str) -> int:
+        low, kind = t.lower(), 0
         if t in ".!?\n":
-            begins = True
-            continue
-        low = t.lower()
-        kind = ""
-        if t[0].isdigit() or low in NUMBERS:
-            kind = "<number>"
+            kind = BREAK
+        elif t[0].isdigit() or low in NUMBERS:
+            kind = 1
         elif low in UNITS or not t[0].isalpha():
-            kind = "<unit>"
-        elif not begins and len(t) > 1 and t[0].isupper() and t[1:].islower():
-            kind = "<name>"
-        out.append(kind or low)
-        slots.append(f"{kind}{low}" if kind else "")
-        begins = False
-    return out, slots
-
-
-def windows(text: str, whole_short: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Start and hash of each window with enough literals, and the slots of the text. A text of fewer tokens is one window."""
-    tokens, slots = template(text)
-    n = len(tokens) - WINDOW + 1
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
-    if n < 1:
-        whole = whole_short and len(tokens) >= LITERALS
-        mixed = np.array([xxhash.xxh3_64_intdigest(" ".join(tokens))], np.uint64)
-        return (np.zeros(1, np.int64), mixed.view(np.int64), slots) if whole else (np.zeros(0, np.int64), np.zeros(0, np.int64), slots)
-    out = np.zeros(n, np.uint64)
-    for i in range(WINDOW):
-        out = (out ^ h[i : i + n]) * STEP[i]
-        out ^= out >> np.uint64(31)
-    literal = np.concatenate([[0], np.cumsum([not s for s in slots])])
-    at = np.flatnonzero(literal[WINDOW:] - literal[:-WINDOW] >= LITERALS)
-    return at, out[at].view(np.int64), slots
-
-
-WINDOWS = "id long, at int, hash long, slots array<string>"
-
-
-def window_table(rows: DataFrame, wanted=None) -> DataFrame:
-    """Windows of each row (id, text), with their slots' contents where they have any. ``wanted``: a broadcast sorted vector of the only hashes asked for."""
+            kind = 2
+        elif len(t) > 1 and t[0].isupper() and t[1:].islower():
+            kind = 3
+        self[t] = n = len(self.low)
+        self.low.append(low)
+        self.hash.append(xxhash.xxh3_64_intdigest(low))
+        self.kind.append(kind)
+        return n
+
+
+WORDS = Words()
+
+
+class Tokens:
+    """The tokens of a batch of texts in one row: words (numbers), kinds, owners (texts), places in them, tokens of each text.
+
+    A name is a capitalised word that neither begins a sentence or line nor is all capitals; literals are lower-cased.
+    """
+
+    def __init__(self, texts: list[str]):
+        if len(WORDS) > KEPT:
+            WORDS.start()
+        parts = [np.fromiter(map(WORDS.__getitem__, TOKEN.findall(t)), np.int64) for t in texts]
+        words, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), list(map(len, parts)))
+        kinds = np.array(WORDS.kind, np.int8)[words]
+        stop = kinds == BREAK
+        begins = np.ones(len(words), bool)
+        begins[1:] = stop[:-1] | (owner[1:] != owner[:-1])
+        kinds[(kinds == 3) & begins] = 0
+        self.words, self.kinds, self.owner = words[~stop], kinds[~stop], owner[~stop]
+        self.sizes = np.bincount(self.owner, minlength=len(parts))
+        self.at = np.arange(len(self.words)) - (np.cumsum(self.sizes) - self.sizes)[self.owner]
+        self.literals = np.concatenate([[0], np.cumsum(self.kinds == 0)])
+
+    def windows(self, raw: bool, lengths: set[int]):
+        """Length, places (in the batch's row) and hashes of all windows; those of templates with enough literals only."""
+        n = len(self.words)
+        h = np.array(WORDS.hash, np.uint64)[self.words]
+        if not raw:
+            h = np.where(self.kinds > 0, KIND_HASH[self.kinds], h)
+        left, out = self.sizes[self.owner] - self.at, np.full(n, SEEDS[raw])
+        for i in range(min(n, max(lengths, default=0))):
+            state = out[: n - i]
+            state ^= h[i:]
+            state *= STEP[i]
+            state ^= state >> np.uint64(31)
+            if i + 1 in lengths:
+                good = left[: n - i] > i
+                if not raw:
+                    good &= self.literals[i + 1 :] - self.literals[: n - i] >= LITERALS
+                at = np.flatnonzero(good)
+                yield i + 1, at, state[at].view(np.int64)
+
+    def slots(self, at: int, length: int) -> list[str] | None:
+        own = self.kinds[at : at + length]
+        return [KINDS[k] + WORDS.low[w] if k else "" for k, w in zip(own, self.words[at : at + length], strict=True)] if own.any() else None
+
+
+def item_windows(own: Tokens):
+    """Windows of items (raw, length, places, hashes): WINDOW tokens of the template, or the whole item if it is shorter;
+    where none has enough literals, the same of the unreplaced tokens, so that each item with a token has a window."""
+    has = np.zeros(len(own.sizes), bool)
+    for raw in (False, True):
+        for length, at, h in own.windows(raw, set(range(1, WINDOW + 1))):
+            of = own.owner[at]
+            mine = (np.minimum(own.sizes, WINDOW)[of] == length) & ~(raw & has[of])
+            if not raw:
+                has[of[mine]] = True
+            yield raw, length, at[mine], h[mine]
+
+
+def met_only(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of the hashes that are in a sorted vector; a table of low bits leaves few to search."""
+    if not len(wanted):
+        return np.zeros(0, np.int64)
+    mask = (1 << min(24, 6 + int(len(wanted)).bit_length())) - 1
+    table = np.zeros(mask + 1, bool)
+    table[wanted & mask] = True
+    at = np.flatnonzero(table[h & mask])
+    return at[wanted[np.minimum(np.searchsorted(wanted, h[at]), len(wanted) - 1)] == h[at]]
+
+
+WINDOWS = "id long, at int, raw boolean, length int, hash long, slots array<string>"
+
+
+def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wanted=None) -> DataFrame:
+    """Windows of each row (id, text), with their slots' contents where they have any.
+
+    ``asked``: kinds and lengths of a document's windows; without it rows are items. ``wanted``: a broadcast sorted vector of
+    the only hashes asked for.
+    """
 
     def work(batch):
-        ids, ats, hashes, own = [], [], [], []
-        for i, text in zip(batch["id"].to_pylist(), common.texts(batch["text"]), strict=True):
-            at, h, slots = windows(text, True)
-            if wanted is not None and len(h):
-                near = np.searchsorted(wanted.value, h)
-                hit = wanted.value[np.minimum(near, len(wanted.value) - 1)] == h if len(wanted.value) else np.zeros(len(h), bool)
+        own, ids = Tokens(common.texts(batch["text"])), batch["id"].to_pylist()
+        out = {k: [] for k in ("id", "at", "raw", "length", "hash", "slots")}
+        found = item_windows(own) if asked is None else ((raw, *x) for raw in (False, True) for x in own.windows(raw, {n for r, n in asked if r == raw}))
+        for raw, length, at, h in found:
+            if wanted is not None:
+                hit = met_only(h, wanted.value)
                 at, h = at[hit], h[hit]
-            ids += [i] * len(at)
-            ats += at.tolist()
-            hashes.append(h)
-            own += [slots[a : a + WINDOW] if any(slots[a : a + WINDOW]) else None for a in at.tolist()]
-        return {"id": pa.array(ids, pa.int64()), "at": ats, "hash": np.concatenate(hashes) if hashes else [], "slots": pa.array(own, pa.list_(pa.string()))}
+            out["id"] += [ids[k] for k in own.owner[at].tolist()]
+            out["at"] += own.at[at].tolist()
+            out["raw"] += [raw] * len(at)
+            out["length"] += [length] * len(at)
+            out["hash"] += h.tolist()
+            out["slots"] += [None if raw else own.slots(a, length) for a in at.tolist()]
+        return out
 
     return common.mapped(rows, WINDOWS, work)
 
@@ -94,15 +165,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
     contents of the item that stand for one content throughout the document, and the reverse), reparameterised.
 
     Hashes of a benchmark of up to FILTER_MAX windows go to the tasks, so that only windows that meet one leave a document;
-    a larger one is joined by shuffle on the hash.
+    a larger one is joined by shuffle on the hash. Documents have windows of all lengths that items' windows have.
     """
     bench = common.stored(window_table(benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).dropDuplicates()), "benchmark")
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    asked = {(r["raw"], r["length"]) for r in bench.select("raw", "length").distinct().collect()}  # 2 * WINDOW at most
     wanted, small = None, bench.count() <= FILTER_MAX
     if small:
         got = bench.select("hash").distinct().toArrow()["hash"].to_numpy()
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(got))
-    own = common.stored(window_table(docs, wanted), "windows").select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "hash", F.col("slots").alias("doc_slots"))
+    own = common.stored(window_table(docs, asked, wanted), "windows").select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "hash", F.col("slots").alias("doc_slots"))
     items = bench.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"))
     met = own.join(F.broadcast(items) if small else items, "hash")
     found = met.groupBy("doc_id", "item_id").agg(F.countDistinct("item_at").alias("n_windows"))

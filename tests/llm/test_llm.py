@@ -165,6 +165,18 @@ def test_decontamination(spark, sf, edge, empty):
     assert decontam.contamination(edge, bench).count() == edge.count() and decontam.contamination(empty, bench).count() == 0
 
 
+def verdicts(spark, items, told):
+    pair = lambda x, names: spark.createDataFrame(list(enumerate(x, 1)), names)
+    return {r["doc_id"]: r for r in decontam.contamination(pair(told, "doc_id long, text string"), pair(items, "item_id long, text string")).collect()}
+
+
+def test_decontamination_short_items(spark):
+    items = ["Which river flows through old Cairo?", "Name the largest ocean.", "3, 5, 8, 13, 21, 34, 55, 89, 144, 233, 377, 610", "Tom has 5 apples. Ann has 7 km."]
+    filler = "Plain words stand before and after so that the whole text is a long one. "
+    got = verdicts(spark, items, [filler + x + " " + filler for x in items] + [filler * 3, items[1], "3, 5, 8, 13 and 21, 34, 55, 89"])
+    assert [got[i]["item_ids"] for i in range(1, 8)] == [[1], [2], [3], [4], [], [2], []]
+
+
 def test_language(spark, sf, edge, empty):
     got = langid.op7(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
