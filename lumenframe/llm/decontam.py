@@ -15,6 +15,8 @@ from . import common
 
 #: Tokens of a window, literal ones it must have, share of an item's windows that makes a document contaminated.
 WINDOW, LITERALS, COVER = 10, 5, 0.4
+#: Share of slot contents that must correspond, and by how many tokens parts of one occurrence may be shifted.
+CONSISTENT, BAND = 0.8, 8
 #: Benchmark windows up to which their hashes are sent to the tasks, and the joined side is broadcast (16 MB).
 FILTER_MAX = 1_000_000
 
@@ -162,7 +164,10 @@ def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wa
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows (distinct windows of the item found), of_item (its share), consistent (share of slot
-    contents of the item that stand for one content throughout the document, and the reverse), reparameterised.
+    contents of the item that stand for one content throughout the occurrence, and the reverse), reparameterised.
+
+    An occurrence is what matches at one shift between document and item, or at shifts within a band of BAND (bands
+    overlap by half); the whole document counts as one too, for an item dealt over it. The row is of the best one.
 
     Hashes of a benchmark of up to FILTER_MAX windows go to the tasks, so that only windows that meet one leave a document;
     a larger one is joined by shuffle on the hash. Documents have windows of all lengths that items' windows have.
@@ -175,21 +180,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
         got = bench.select("hash").distinct().toArrow()["hash"].to_numpy()
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(got))
     own = common.stored(window_table(docs, asked, wanted), "windows").select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "hash", F.col("slots").alias("doc_slots"))
-    items = bench.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"))
+    items = bench.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "raw", "length", "hash", F.col("slots").alias("item_slots"))
     met = own.join(F.broadcast(items) if small else items, "hash")
-    found = met.groupBy("doc_id", "item_id").agg(F.countDistinct("item_at").alias("n_windows"))
-    slots = met.filter("item_slots is not null and doc_slots is not null").select("doc_id", "item_id", F.explode(F.arrays_zip(F.col("item_slots").alias("x"), F.col("doc_slots").alias("y"))).alias("z")).select("doc_id", "item_id", "z.x", "z.y").filter("x <> '' and y <> ''").distinct()
-    one = slots.groupBy("doc_id", "item_id", "x").agg((F.count("*") == 1).cast("double").alias("ok"), F.max(F.col("x") != F.col("y")).alias("other"))
-    back = slots.groupBy("doc_id", "item_id", "y").agg((F.count("*") == 1).cast("double").alias("ok"), F.lit(False).alias("other"))
-    checked = one.drop("x").union(back.drop("y")).groupBy("doc_id", "item_id").agg(F.avg("ok").alias("consistent"), F.max("other").alias("reparameterised"))
-    total = bench.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("at").alias("total"))
-    out = found.join(checked, ["doc_id", "item_id"], "left").join(F.broadcast(total) if small else total, "item_id")
-    return out.select("doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("total")).alias("of_item"), F.coalesce("consistent", F.lit(1.0)).alias("consistent"), F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"))
+    shift = F.col("doc_at") - F.col("item_at")
+    ways = [shift, F.floor(shift / BAND), F.floor((shift + BAND // 2) / BAND), F.when(~F.col("raw") | (F.col("length") == WINDOW), 0)]
+    met = met.withColumn("o", F.explode(F.array(*(F.struct(F.lit(k).alias("way"), x.cast("long").alias("place")) for k, x in enumerate(ways))))).select("*", "o.way", "o.place").drop("o").filter("place is not null")
+    key = ["doc_id", "item_id", "raw", "way", "place"]
+    found = met.groupBy(key).agg(F.countDistinct("item_at").alias("n_windows"))
+    slots = met.filter("item_slots is not null and doc_slots is not null").select(*key, F.explode(F.arrays_zip(F.col("item_slots").alias("x"), F.col("doc_slots").alias("y"))).alias("z")).select(*key, "z.x", "z.y").filter("x <> '' and y <> ''").distinct()
+    one = slots.groupBy(*key, "x").agg((F.count("*") == 1).cast("double").alias("ok"), F.max(F.col("x") != F.col("y")).alias("other"))
+    back = slots.groupBy(*key, "y").agg((F.count("*") == 1).cast("double").alias("ok"), F.lit(False).alias("other"))
+    checked = one.drop("x").union(back.drop("y")).groupBy(key).agg(F.avg("ok").alias("consistent"), F.max("other").alias("reparameterised"))
+    total = bench.groupBy(F.col("id").alias("item_id"), "raw").agg(F.countDistinct("at").alias("total"))
+    out = found.join(checked, key, "left").join(F.broadcast(total) if small else total, ["item_id", "raw"])
+    consistent, other = F.coalesce("consistent", F.lit(1.0)), F.coalesce("reparameterised", F.lit(False))
+    order = F.struct((consistent >= CONSISTENT).alias("passes"), (F.col("n_windows") / F.col("total")).alias("of_item"), (~other).alias("same"), consistent.alias("consistent"), "n_windows")
+    best = out.groupBy("doc_id", "item_id").agg(F.max(order).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.of_item", "b.consistent", (~F.col("b.same")).alias("reparameterised"))
 
 
 def leaks(found: DataFrame, cover: float = COVER) -> DataFrame:
-    """The matches that make a document contaminated: enough of the item, with mostly consistent slots."""
-    return found.filter((F.col("of_item") >= cover) & (F.col("consistent") >= 0.8))
+    """The matches that make a document contaminated: enough of the item in one occurrence, with mostly consistent slots."""
+    return found.filter((F.col("of_item") >= cover) & (F.col("consistent") >= CONSISTENT))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

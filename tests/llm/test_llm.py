@@ -177,6 +177,16 @@ def test_decontamination_short_items(spark):
     assert [got[i]["item_ids"] for i in range(1, 8)] == [[1], [2], [3], [4], [], [2], []]
 
 
+def test_decontamination_by_occurrence(spark):
+    """An exact copy counts beside re-parameterised variants; slots that contradict each other within one occurrence do not."""
+    told = "The baker {0} sells {1} loaves to {2} and later {0} gives {3} rolls to {2} for free on market day"
+    exact, *variants = [told.format(*x) for x in (("Anna", 12, "Peter", 7), ("Maria", 31, "Johann", 9), ("Olga", 44, "Viktor", 5))]
+    mixed = "The baker Maria sells 31 loaves to Johann and later Olga gives 31 rolls to Maria for free on market day"
+    got = verdicts(spark, [exact], [". ".join([exact, variants[0]]), ". ".join([variants[0], exact, variants[1]]), ". ".join(variants), mixed])
+    assert [got[i]["contaminated"] for i in range(1, 5)] == [True, True, True, False]
+    assert [got[i]["reparameterised"] for i in range(1, 4)] == [False, False, True]
+
+
 def test_language(spark, sf, edge, empty):
     got = langid.op7(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
