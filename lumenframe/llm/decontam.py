@@ -1,5 +1,6 @@
 """Benchmark decontamination on templates: numbers, names and units become typed placeholders, windows of the templates are
-hash-joined, and the placeholders' contents must correspond one to one for a match to count."""
+hash-joined, and the placeholders' contents must correspond one to one for a match to count. Windows of the unreplaced tokens
+find copies whatever their case and line breaks, and edited ones."""
 
 from __future__ import annotations
 
@@ -17,6 +18,8 @@ from . import common
 WINDOW, LITERALS, COVER = 10, 5, 0.4
 #: Share of slot contents that must correspond, and by how many tokens parts of one occurrence may be shifted.
 CONSISTENT, BAND = 0.8, 8
+#: Tokens in a row that make a document contaminated whatever their share of the item, or the whole item if it is shorter.
+RUN = 13
 #: Benchmark windows up to which their hashes are sent to the tasks, and the joined side is broadcast (16 MB).
 FILTER_MAX = 1_000_000
 
@@ -109,17 +112,20 @@ class Tokens:
         return [KINDS[k] + WORDS.low[w] if k else "" for k, w in zip(own, self.words[at : at + length], strict=True)] if own.any() else None
 
 
+def raw_lengths(sizes: np.ndarray) -> np.ndarray:
+    """Length of the windows of unreplaced tokens of items. From RUN tokens on it is the greatest at which one changed word
+    in the middle leaves COVER of the windows, WINDOW at most; shorter items have WINDOW tokens, or all."""
+    fit = np.floor((1 - COVER) * (sizes + 1) / (2 - COVER) + 1e-9).astype(np.int64)
+    return np.minimum(sizes, np.where(sizes < RUN, WINDOW, np.clip(fit, 1, WINDOW)))
+
+
 def item_windows(own: Tokens):
-    """Windows of items (raw, length, places, hashes): WINDOW tokens of the template, or the whole item if it is shorter;
-    where none has enough literals, the same of the unreplaced tokens, so that each item with a token has a window."""
-    has = np.zeros(len(own.sizes), bool)
-    for raw in (False, True):
+    """Windows of items (raw, length, places, hashes): WINDOW tokens of the template with enough literals, or the whole item
+    if it is shorter, and windows of the unreplaced tokens, in lower case, so that each item with a token has a window."""
+    for raw, mine in ((False, np.minimum(own.sizes, WINDOW)), (True, raw_lengths(own.sizes))):
         for length, at, h in own.windows(raw, set(range(1, WINDOW + 1))):
-            of = own.owner[at]
-            mine = (np.minimum(own.sizes, WINDOW)[of] == length) & ~(raw & has[of])
-            if not raw:
-                has[of[mine]] = True
-            yield raw, length, at[mine], h[mine]
+            hit = mine[own.owner[at]] == length
+            yield raw, length, at[hit], h[hit]
 
 
 def met_only(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -133,7 +139,7 @@ def met_only(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return at[wanted[np.minimum(np.searchsorted(wanted, h[at]), len(wanted) - 1)] == h[at]]
 
 
-WINDOWS = "id long, at int, raw boolean, length int, hash long, slots array<string>"
+WINDOWS = "id long, at int, raw boolean, length int, size int, hash long, slots array<string>"
 
 
 def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wanted=None) -> DataFrame:
@@ -145,7 +151,7 @@ def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wa
 
     def work(batch):
         own, ids = Tokens(common.texts(batch["text"])), batch["id"].to_pylist()
-        out = {k: [] for k in ("id", "at", "raw", "length", "hash", "slots")}
+        out = {k: [] for k in ("id", "at", "raw", "length", "size", "hash", "slots")}
         found = item_windows(own) if asked is None else ((raw, *x) for raw in (False, True) for x in own.windows(raw, {n for r, n in asked if r == raw}))
         for raw, length, at, h in found:
             if wanted is not None:
@@ -155,6 +161,7 @@ def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wa
             out["at"] += own.at[at].tolist()
             out["raw"] += [raw] * len(at)
             out["length"] += [length] * len(at)
+            out["size"] += own.sizes[own.owner[at]].tolist()
             out["hash"] += h.tolist()
             out["slots"] += [None if raw else own.slots(a, length) for a in at.tolist()]
         return out
@@ -164,7 +171,8 @@ def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wa
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows (distinct windows of the item found), of_item (its share), consistent (share of slot
-    contents of the item that stand for one content throughout the occurrence, and the reverse), reparameterised.
+    contents of the item that stand for one content throughout the occurrence, and the reverse), reparameterised, run
+    (whether RUN tokens of the item, or all of a shorter one, stand in a row).
 
     An occurrence is what matches at one shift between document and item, or at shifts within a band of BAND (bands
     overlap by half); the whole document counts as one too, for an item dealt over it. The row is of the best one.
@@ -180,13 +188,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
         got = bench.select("hash").distinct().toArrow()["hash"].to_numpy()
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(got))
     own = common.stored(window_table(docs, asked, wanted), "windows").select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "hash", F.col("slots").alias("doc_slots"))
-    items = bench.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "raw", "length", "hash", F.col("slots").alias("item_slots"))
+    items = bench.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "raw", "length", "size", "hash", F.col("slots").alias("item_slots"))
     met = own.join(F.broadcast(items) if small else items, "hash")
     shift = F.col("doc_at") - F.col("item_at")
     ways = [shift, F.floor(shift / BAND), F.floor((shift + BAND // 2) / BAND), F.when(~F.col("raw") | (F.col("length") == WINDOW), 0)]
     met = met.withColumn("o", F.explode(F.array(*(F.struct(F.lit(k).alias("way"), x.cast("long").alias("place")) for k, x in enumerate(ways))))).select("*", "o.way", "o.place").drop("o").filter("place is not null")
     key = ["doc_id", "item_id", "raw", "way", "place"]
-    found = met.groupBy(key).agg(F.countDistinct("item_at").alias("n_windows"))
+    places = met.groupBy(key).agg(F.array_sort(F.collect_set("item_at")).alias("ats"), F.min("length").alias("length"), F.max("size").alias("size"))
+    # Windows at one shift that overlap or adjoin make a row of tokens: (its start, the last place, the longest row so far).
+    step = lambda s, x: F.struct(F.when(x - s["last"] <= F.col("length"), s["start"]).otherwise(x).alias("start"), x.alias("last"), F.greatest(s["longest"], x - F.when(x - s["last"] <= F.col("length"), s["start"]).otherwise(x) + F.col("length")).alias("longest"))
+    first = F.struct(F.col("ats")[0].alias("start"), F.col("ats")[0].alias("last"), F.lit(0).alias("longest"))
+    found = places.select(*key, F.size("ats").alias("n_windows"), ((F.col("way") == 0) & (F.aggregate("ats", first, step)["longest"] >= F.least(F.lit(RUN), "size"))).alias("run"))
     slots = met.filter("item_slots is not null and doc_slots is not null").select(*key, F.explode(F.arrays_zip(F.col("item_slots").alias("x"), F.col("doc_slots").alias("y"))).alias("z")).select(*key, "z.x", "z.y").filter("x <> '' and y <> ''").distinct()
     one = slots.groupBy(*key, "x").agg((F.count("*") == 1).cast("double").alias("ok"), F.max(F.col("x") != F.col("y")).alias("other"))
     back = slots.groupBy(*key, "y").agg((F.count("*") == 1).cast("double").alias("ok"), F.lit(False).alias("other"))
@@ -194,14 +206,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
     total = bench.groupBy(F.col("id").alias("item_id"), "raw").agg(F.countDistinct("at").alias("total"))
     out = found.join(checked, key, "left").join(F.broadcast(total) if small else total, ["item_id", "raw"])
     consistent, other = F.coalesce("consistent", F.lit(1.0)), F.coalesce("reparameterised", F.lit(False))
-    order = F.struct((consistent >= CONSISTENT).alias("passes"), (F.col("n_windows") / F.col("total")).alias("of_item"), (~other).alias("same"), consistent.alias("consistent"), "n_windows")
+    order = F.struct((consistent >= CONSISTENT).alias("passes"), ((consistent >= CONSISTENT) & ((F.col("n_windows") / F.col("total") >= COVER) | F.col("run"))).alias("leaks"), (F.col("n_windows") / F.col("total")).alias("of_item"), (~other).alias("same"), consistent.alias("consistent"), "n_windows", "run")
     best = out.groupBy("doc_id", "item_id").agg(F.max(order).alias("b"))
-    return best.select("doc_id", "item_id", "b.n_windows", "b.of_item", "b.consistent", (~F.col("b.same")).alias("reparameterised"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.of_item", "b.consistent", "b.run", (~F.col("b.same")).alias("reparameterised"))
 
 
 def leaks(found: DataFrame, cover: float = COVER) -> DataFrame:
-    """The matches that make a document contaminated: enough of the item in one occurrence, with mostly consistent slots."""
-    return found.filter((F.col("of_item") >= cover) & (F.col("consistent") >= CONSISTENT))
+    """The matches that make a document contaminated: enough of the item, or of its tokens in a row, in one occurrence with
+    mostly consistent slots."""
+    return found.filter(((F.col("of_item") >= cover) | F.col("run")) & (F.col("consistent") >= CONSISTENT))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -187,6 +187,21 @@ def test_decontamination_by_occurrence(spark):
     assert [got[i]["reparameterised"] for i in range(1, 4)] == [False, False, True]
 
 
+def test_decontamination_partial_and_edited_copies(spark):
+    """A passage, one changed, added or lost word in items of 15 to 26 words, other case and line breaks; chance phrases stay clean."""
+    word = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(3))
+    items = [" ".join(word(1000 * n + k) for k in range(n)) for n in (59, 15, 20, 25, 26)]
+    items.append("In spring the painter Marta Lind met Oskar Berg near Lake Siljan and told Nils Ek about Paris and Rome before Easter")
+    around = lambda x: f"Some words stand before it and {x} and some words follow"
+    told = [around(" ".join(items[0].split()[20:48])), around(" ".join(items[0].split()[20:33])), around(" ".join(items[0].split()[20:29]))]
+    for x in items[1:5]:
+        w = x.split()
+        told += [around(" ".join([*w[: len(w) // 2], *new, *w[len(w) // 2 + gone :]])) for new, gone in ((["changed"], 1), (["added"], 0), ([], 1))]
+    told += [around(items[5].lower()), around(items[5].upper()), around(items[5].replace(" ", "\n")), around(" ".join(items[5].split()[:6]))]
+    got = verdicts(spark, items, told)
+    assert [got[i]["item_ids"] for i in range(1, len(told) + 1)] == [[1], [1], [], *([k] for k in (2, 3, 4, 5) for _ in range(3)), [6], [6], [6], []]
+
+
 def test_language(spark, sf, edge, empty):
     got = langid.op7(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
