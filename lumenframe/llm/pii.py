@@ -17,6 +17,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # What the method adds: account numbers (mod 97), and numbers that a context word must support.
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# The characters of an account number, by country.
+IBAN_SIZES = {c: n for n, own in {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in own.split()}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 LOCAL = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "localphone")
@@ -48,6 +50,23 @@ def mod97(number: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def ibans(text: str):
+    """Start and end of account numbers. The pattern may run on over words in capitals, so a match is tried at each of its
+    words' ends, longest first: one of the country's size, or any size for a country not listed, whose checksum holds."""
+    at = 0
+    while m := IBAN.search(text, at):
+        a, b = m.span()
+        at = a + 1
+        for e in range(b, a + 14, -1):
+            if e < b and text[e] != " ":
+                continue
+            number = text[a:e].replace(" ", "")
+            if len(number) == IBAN_SIZES.get(number[:2], max(15, len(number))) and mod97(number):
+                yield a, e
+                at = e
+                break
+
+
 def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -66,10 +85,8 @@ def spans(text: str) -> list[tuple[str, int, int, float]]:
         if "+" in text:
             found += [("phone", *m.span()) for m in PHONE.finditer(text) if 10 <= len(digits_of(m[0])) <= 15]
         taken = [x[1:] for x in found]
-        for kind, pattern, check in (("iban", IBAN, lambda x: mod97(x.replace(" ", ""))), ("ssn", SSN, None), ("localphone", LOCAL, None)):
-            for m in pattern.finditer(text):
-                if (check is None or check(m[0])) and not any(a < m.end() and m.start() < b for a, b in taken):
-                    found.append((kind, *m.span()))
+        for kind, own in (("iban", ibans(text)), ("ssn", (m.span() for m in SSN.finditer(text))), ("localphone", (m.span() for m in LOCAL.finditer(text)))):
+            found += [(kind, x, y) for x, y in own if not any(a < y and x < b for a, b in taken)]
     out = []
     for kind, a, b in sorted(found, key=lambda x: (x[1], KINDS.index(x[0]))):
         near = CONTEXT[kind].search(text, max(0, a - NEAR), a) or CONTEXT[kind].search(text, b, b + NEAR)

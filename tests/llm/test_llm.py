@@ -231,6 +231,21 @@ def test_personal_data(spark, sf, edge, empty):
     assert pii.mask_personal_data(edge).filter("text is null").count() == 1
 
 
+def test_account_numbers_before_capitals(spark):
+    """A number is found whole beside words in capitals, after a failed start and next to another number; a wrong one is not."""
+    told = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": ["DE89 3704 0044 0532 0130 00"],
+        "GB82WEST12345698765432 SWIFT": ["GB82WEST12345698765432"],
+        "REF AB12 PAID TO GB82 WEST 1234 5698 7654 32 NOW": ["GB82 WEST 1234 5698 7654 32"],
+        "NO93 8601 1117 947 DE89370400440532013000 OK": ["NO93 8601 1117 947", "DE89370400440532013000"],
+        "DE89 3704 0044 0532 0130 01 BIC": [],
+    }
+    for text, numbers in told.items():
+        assert [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"] == numbers
+    got = pii.mask_personal_data(spark.createDataFrame([(k, t) for k, t in enumerate(told)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert got[0]["text"] == "IBAN <IBAN> BIC COBADEFFXXX" and got[3]["text"] == "<IBAN> <IBAN> OK"
+
+
 def test_near_duplicates(spark, sf, edge, empty):
     assert not same([r.asDict() for r in neardup.op10(spark, sf).collect()], oracle(queries.OP10_SQL, sf))
     got = {r["doc_id"]: r for r in neardup.near_duplicates(edge).collect()}
