@@ -291,3 +291,45 @@ def test_pipeline(spark, sf):
         assert docs.columns == columns and 0 < docs.count() <= before
         before = docs.count()
     check_pieces(corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect(), {r["doc_id"]: r["text"] for r in docs.collect()})
+
+
+def test_pipeline_stages_against_brute_force(spark, sf):
+    """Ids and texts that near_dedup, decontamination and masking keep, of the small table with rows planted for each."""
+    import re
+
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    texts = docs_of(spark, sf)
+    base = min(texts)
+    new = {10**9: texts[base] + " end", 10**9 + 1: f"Before it. {items[0]} After it.", 10**9 + 2: "Write to a.b@example.com or 10.0.0.7 now", 10**9 + 3: "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX"}
+    extra = docs.filter(f"doc_id = {base}").drop("doc_id", "text").crossJoin(spark.createDataFrame(list(new.items()), "doc_id long, text string"))
+    docs, texts = common.stored(docs.unionByName(extra.select(*docs.columns)), "planted"), texts | new
+    after = lambda stage: {r["doc_id"]: r["text"] or "" for r in stage(spark, docs, sf).collect()}
+
+    def sets(text):
+        x = re.findall(r"[^\x20\x09-\x0D]+", text.translate({k: k + 32 for k in range(65, 91)}))
+        return {tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))} if x else set()
+
+    ids = sorted(texts)
+    own = {i: sets(texts[i]) for i in ids}
+    component = {i: i for i in ids}
+
+    def root(i):
+        while component[i] != i:
+            i = component[i]
+        return i
+
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            n = len(own[i] & own[j])
+            if n and 100 * n >= 80 * (len(own[i]) + len(own[j]) - n):
+                a, b = sorted((root(i), root(j)))
+                component[b] = a
+    kept = {i: texts[i] for i in ids if root(i) == i}
+    assert 10**9 not in kept and after(corpus_pipeline.near_dedup) == kept
+    assert after(corpus_pipeline.benchmark_decontamination) == {i: t for i, t in texts.items() if not any(x in t for x in items)}
+    got = after(corpus_pipeline.personal_data)
+    assert got == {i: pii.masked(t, pii.spans(t)) for i, t in texts.items()}
+    assert got[10**9 + 2] == "Write to <EMAIL> or <IP> now" and got[10**9 + 3] == "IBAN <IBAN> BIC COBADEFFXXX"
