@@ -1,15 +1,16 @@
 """Web archives: pages to ARC files, ARC files of either version to WARC, and WARC files back to rows.
 
-Files are written by Spark's text sink (a record a row, the record separator as line separator; bytes pass unchanged) and read
-by its binary-file source, so they may lie on any store that Spark reaches. Records are cut by their declared lengths only.
+Files are written by Spark's text sink, a record a row and a gzip member a record (bytes pass unchanged; the line separator is
+an empty gzip member), and read by its binary-file source, so they may lie on any store that Spark reaches. A reader unzips as
+it goes, whatever the members, and cuts records by their declared lengths only; it holds a file as stored and one record.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Records of an archive file; a task holds one file at a time.
-PER_FILE = 1000
+#: Records and bytes of records (before compression) from which a new archive file is begun; bytes unzipped at a time.
+PER_FILE, FILE_BYTES, CHUNK = 1000, 32 << 20, 64 << 10
 #: Payloads from which equal ones are stored once, and repeated digests up to which their table is broadcast (about 20 MB).
 LEAST_BYTES, BROADCAST_MAX = 100, 200_000
+#: Effort of compression.
+LEVEL = 6
 # Field names of ARC's version 1 and 2, WARC's profile of a revisit.
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -40,40 +43,85 @@ def arc_record(version: int, url: str, date: str, content: bytes, offset: int) -
     return f"{url} 0.0.0.0 {date} text/html{extra} {len(content)}\n".encode() + content
 
 
+class Archive:
+    """An archive file taken from the front, plain or of any number of gzip members."""
+
+    def __init__(self, data: bytes):
+        self.data, self.at, self.held, self.zipped, self.member = memoryview(data), 0, bytearray(), data[:2] == b"\x1f\x8b", None
+
+    def more(self) -> bool:
+        chunk = self.data[self.at : self.at + CHUNK]
+        self.at += len(chunk)
+        if not self.zipped:
+            self.held += chunk
+        elif chunk:
+            self.member = self.member or zlib.decompressobj(31)
+            self.held += self.member.decompress(chunk)
+            if self.member.eof:
+                self.at -= len(self.member.unused_data)
+                self.member = None
+        elif self.member:
+            raise ValueError("a gzip member is cut short")
+        return len(chunk) > 0
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n:
+            if not self.more():
+                raise ValueError(f"a record is cut short: {n - len(self.held)} bytes are missing")
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
+
+    def until(self, end: bytes) -> bytes | None:
+        """The bytes before ``end``, which is taken too; None at the end of the file."""
+        seen = 0
+        while (at := self.held.find(end, max(0, seen - len(end)))) < 0:
+            seen = len(self.held)
+            if not self.more():
+                if self.held:
+                    raise ValueError(f"a record's header is cut short: {bytes(self.held[:80])!r}")
+                return None
+        out = self.take(at)
+        del self.held[: len(end)]
+        return out
+
+    def skip(self, end: bytes) -> None:
+        """Go past all repetitions of ``end`` that come next."""
+        while True:
+            while len(self.held) < len(end) and self.more():
+                pass
+            if self.held[: len(end)] != end:
+                return
+            del self.held[: len(end)]
+
+
 def parse_arc(data: bytes) -> Iterator[dict]:
-    """The records after the version block, whose second line says which header fields follow."""
-    end = data.index(b"\n")
-    at = end + 1 + int(data[:end].rsplit(b" ", 1)[1])
-    names = data[end + 1 : at].decode().splitlines()[1].split(" ")
+    """The records after the version block, whose second line says which header fields follow; an empty file has none."""
+    file = Archive(data)
+    if (line := file.until(b"\n")) is None:
+        return
+    names = file.take(int(line.rsplit(b" ", 1)[1])).decode().splitlines()[1].split(" ")
     while True:
-        while data[at : at + 1] == b"\n":
-            at += 1
-        if at >= len(data):
+        file.skip(b"\n")
+        if (line := file.until(b"\n")) is None:
             return
-        end = data.index(b"\n", at)
-        values = data[at:end].decode().split(" ")
+        values = line.decode().split(" ")
         if len(values) != len(names):
-            raise ValueError(f"an ARC header line has {len(values)} fields, not {len(names)}: {data[at:end][:200]!r}")
+            raise ValueError(f"an ARC header line has {len(values)} fields, not {len(names)}: {line[:200]!r}")
         head = dict(zip(names, values, strict=True))
-        at = end + 1 + int(head["Archive-length"])
-        if at > len(data):
-            raise ValueError(f"an ARC record is cut short: {data[end - 100 : end]!r}")
-        yield head | {"content": data[end + 1 : at]}
+        yield head | {"content": file.take(int(head["Archive-length"]))}
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
-    at = 0
-    while at < len(data):
-        end = data.index(WARC_END, at)
-        lines = data[at:end].decode().split("\r\n")
+    file = Archive(data)
+    while (block := file.until(WARC_END)) is not None:
+        lines = block.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no WARC record: {lines[0][:80]!r}")
         head = dict(x.split(": ", 1) for x in lines[1:])
-        at = end + 4 + int(head["Content-Length"])
-        yield head, data[end + 4 : at]
-        if data[at : at + 4] != WARC_END:
+        yield head, file.take(int(head["Content-Length"]))
+        if file.take(4) != WARC_END:
             raise ValueError("a WARC record does not end where it says")
-        at += 4
 
 
 def http(page_id, payload: bytes) -> bytes:
@@ -89,31 +137,74 @@ def record_id(page_id, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
-def written(rows: DataFrame, path: str, end: bytes, per_file: int) -> None:
-    """Rows (value binary) as gzip files of ``per_file`` records each."""
-    rows.select(F.col("value").cast("string")).write.option("compression", "gzip").option("lineSep", end.decode()).option("maxRecordsPerFile", per_file).text(path)
+def zipped(record: bytes) -> bytes:
+    member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+    return member.compress(record) + member.flush()
+
+
+class Files:
+    """Numbers of the files that a task's records go to, in turn."""
+
+    def __init__(self):
+        self.file, self.records, self.size = -1, PER_FILE, 0
+
+    def place(self, size: int) -> bool:
+        """Count one more record; whether it begins a file."""
+        new = self.records >= PER_FILE or self.size + size > FILE_BYTES
+        if new:
+            self.file, self.records, self.size = self.file + 1, 0, 0
+        self.records, self.size = self.records + 1, self.size + size
+        return new
+
+
+def written(rows: DataFrame, path: str) -> None:
+    """Rows (file, value binary) as files of their numbers, a folder for each number."""
+    rows.select("file", F.col("value").cast("string")).write.partitionBy("file").option("encoding", "ISO-8859-1").option("lineSep", zipped(b"").decode("latin-1")).text(path)
+
+
+def members(rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Batches of (file, value), bounded in bytes, of files' numbers and records."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[1])
+        if size > common.BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in held], pa.int32()), pa.array([v for _, v in held], pa.binary())], names=["file", "value"])
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in held], pa.int32()), pa.array([v for _, v in held], pa.binary())], names=["file", "value"])
 
 
 def write_arc(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", date: str = "20240101000000", version: int | None = None) -> str:
-    """A record per page; files of version 1 and 2 in turn, or of ``version`` alone. A null html is empty, a null url is urn:page:ID."""
+    """A record per page; files of version 1 and 2 in turn, or of ``version`` alone.
+
+    A null html is empty, a null url is urn:page:ID, rows that repeat are records each; no rows make no files. A file has
+    PER_FILE records and about FILE_BYTES at most, or one longer record.
+    """
 
     def run(batches):
-        n, offset = 0, 0
-        for batch in batches:
-            out = []
-            for i, u, h in zip(*(batch[k].to_pylist() for k in ("page_id", "url", "html")), strict=True):
-                if n % PER_FILE == 0:
-                    own = version or 1 + n // PER_FILE % 2
-                    out.append(version_block(own, "pages.arc", date))
-                    offset = len(out[-1]) + 1
-                payload = h or b""
-                u = UNSAFE.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode("utf-8", "surrogatepass")), u) if u else f"urn:page:{i}"
-                out.append(arc_record(own, u, date, http(i, payload) + payload, offset))
-                offset, n = offset + len(out[-1]) + 1, n + 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+        files, offset = Files(), 0
+
+        def rows():
+            nonlocal offset
+            for batch in batches:
+                for i, u, h in zip(*(batch[k].to_pylist() for k in ("page_id", "url", "html")), strict=True):
+                    payload, block = h or b"", b""
+                    if files.place(len(payload)):
+                        own = version or 1 + files.file % 2
+                        block = version_block(own, "pages.arc", date)
+                        offset = len(block) + 1
+                    else:
+                        own = version or 1 + files.file % 2
+                    u = UNSAFE.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode("utf-8", "surrogatepass")), u) if u else f"urn:page:{i}"
+                    record = arc_record(own, u, date, http(i, payload) + payload, offset)
+                    offset += len(record) + 1
+                    yield files.file, (zipped(block + b"\n") if block else b"") + zipped(record + b"\n")
+
+        yield from members(rows())
 
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).cast("binary").alias("html"))
-    written(rows.mapInArrow(run, "value binary"), path, b"\n", PER_FILE + 1)
+    written(rows.mapInArrow(run, "file int, value binary"), path)
     return path
 
 
@@ -125,8 +216,7 @@ def parsed(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
         for batch in batches:
             for file in batch["content"]:
                 held, size = [], 0
-                data = file.as_py()
-                for row in rows(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+                for row in rows(file.as_py()):
                     held.append(row)
                     size += 500 + len(row.get("block") or b"")
                     if size > common.BATCH_BYTES:
@@ -135,7 +225,7 @@ def parsed(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=kinds)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(run, schema)
 
 
 ARC = "page_id long, url string, ip string, date string, payload_bytes long, digest string"
@@ -149,23 +239,32 @@ def arc_rows(data: bytes, block: bool) -> Iterator[dict]:
         yield out | {"block": r["content"]} if block else out
 
 
-def convert(spark: SparkSession, arc: str, path: str) -> str:
+def convert(spark: SparkSession, arc: str, path: str, *, broadcast_max: int = BROADCAST_MAX) -> str:
     """ARC files of version 1 or 2 to WARC 1.1: identifiers, timestamps, types and digests are made from the records.
 
     Of equal payloads of LEAST_BYTES or more the record of the smallest page is the response, the others are revisits of it
     without the payload; rows that repeat that page stay responses, and pages without an id never become one for others.
+    An archive without records gives one without records.
     """
     known = parsed(spark, arc, ARC, lambda data: arc_rows(data, False))
     first = known.filter(F.col("payload_bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first")
     first = common.stored(first, "repeated")
-    first = F.broadcast(first) if first.count() <= BROADCAST_MAX else first
+    first = F.broadcast(first) if first.count() <= broadcast_max else first
     rows = parsed(spark, arc, f"{ARC}, block binary", lambda data: arc_rows(data, True)).join(first, "digest", "left")
 
     def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([warc_record(r) for r in batch.to_pylist()], pa.binary())], names=["value"])
+        files = Files()
+
+        def records():
+            for batch in batches:
+                for r in batch.to_pylist():
+                    record = warc_record(r)
+                    files.place(len(record))
+                    yield files.file, zipped(record + WARC_END)
+
+        yield from members(records())
 
-    written(rows.mapInArrow(run, "value binary"), path, WARC_END, PER_FILE)
+    written(rows.mapInArrow(run, "file int, value binary"), path)
     return path
 
 
