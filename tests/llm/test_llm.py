@@ -333,3 +333,92 @@ def test_pipeline_stages_against_brute_force(spark, sf):
     got = after(corpus_pipeline.personal_data)
     assert got == {i: pii.masked(t, pii.spans(t)) for i, t in texts.items()}
     assert got[10**9 + 2] == "Write to <EMAIL> or <IP> now" and got[10**9 + 3] == "IBAN <IBAN> BIC COBADEFFXXX"
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def archived(spark, pages):
+    arc = warc.write_arc(pages, common.shared_dir(spark, "arc"))
+    return warc.read_warc(spark, warc.convert(spark, arc, common.shared_dir(spark, "warc")))
+
+
+def test_warc_empty_tables_and_partitions(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").repartitionByRange(4, "page_id")
+    assert archived(spark, spark.createDataFrame([], PAGES)).count() == 0
+    for some in (pages.filter("page_id >= 25"), pages.filter("page_id < 0"), pages.union(pages.filter("page_id < 0"))):
+        assert sorted(r["page_id"] for r in archived(spark, some).collect()) == sorted(r["page_id"] for r in some.collect())
+    assert list(warc.parse_arc(b"")) == list(warc.parse_warc(b"")) == []
+
+
+def test_warc_members_and_rolling(spark, tmp_path):
+    """A gzip member a record, files bounded in records and bytes, long pages, and the join beside the broadcast."""
+    import gzip
+    import zlib as z
+
+    rows = [(i, f"http://h/{i}", "page " * (40_000 if i % 50 == 0 else 5) + str(i % 700)) for i in range(2600)] + [(9000 + i, "u", chr(97 + i) * (3 << 20)) for i in range(12)]
+    pages = spark.createDataFrame(rows, PAGES).coalesce(1)
+    arc = warc.write_arc(pages, str(tmp_path / "arc"))
+    sizes = []
+    for file in (tmp_path / "arc").rglob("part-*"):
+        data, members = file.read_bytes(), 0
+        sizes.append(len(gzip.decompress(data)))
+        while data:
+            member = z.decompressobj(31)
+            members, one = members + 1, member.decompress(data)
+            assert not one or one.startswith(b"filedesc://") or b"X-Page-Id" in one
+            data = member.unused_data
+        assert members <= 2 * warc.PER_FILE + 3
+    assert len(sizes) >= 4 and max(sizes) < warc.FILE_BYTES + (1 << 20)
+    got = [{r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_warc(spark, warc.convert(spark, arc, str(tmp_path / f"warc{n}"), broadcast_max=n)).collect()} for n in (10**6, 0)]
+    first, want = {}, {}
+    for i, _, h in sorted(rows):
+        n = len(h)
+        want[i] = ("revisit", first[h], n) if n >= 100 and h in first else ("response", None, n)
+        first.setdefault(h, i)
+    assert got[0] == got[1] == want
+    plain = b"".join([warc.version_block(1, "x", "2024"), warc.arc_record(1, "u", "20240101000000", b"a\nb" * 50_000, 0), b"\n\n", warc.arc_record(1, "v", "20240101000000", b"", 0)])
+    for data in (plain, gzip.compress(plain)):
+        assert [(r["URL"], len(r["content"])) for r in warc.parse_arc(data)] == [("u", 150_000), ("v", 0)]
+    with pytest.raises(ValueError):
+        list(warc.parse_arc(gzip.compress(plain)[:-30]))
+
+
+BASE_KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_spans(text):
+    """The base spans by the patterns as they are stated."""
+    import re
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    keep = {"email": lambda s: True, "ip": lambda s: all(int(p) <= 255 for p in s.split(".")), "card": lambda s: 14 <= sum(c.isdigit() for c in s) <= 19 and luhn(re.sub(r"\D", "", s)), "phone": lambda s: 10 <= sum(c.isdigit() for c in s) <= 15}
+    found = [(m.start(), k, m.end()) for k, (name, p) in enumerate(BASE_KINDS.items()) for m in re.finditer(p, text) if keep[name](m[0])]
+    names = list(BASE_KINDS)
+    return [f"{names[k]}:{a}:{b}" for a, k, b in sorted(found)]
+
+
+def test_personal_data_against_brute_force(spark, sf):
+    texts = docs_of(spark, sf)
+    odd = ["a@b@c.d", "x" * 30 + "@y", "1.2.3.4.5.6.7.8.9", "0256.1.1.1 000255.1.1.1", "+1 (743) 555-3824 4111-1111-1111-1111", "a.@b.c.@d.e", "é@b.c 1.2.3", "4111 1111 1111 1111 1111", "1@2.3.4.5"]
+    rng = np.random.default_rng(4)
+    odd += ["".join(rng.choice(list("ab.@1 2-9+(é3"), 60)) for _ in range(2000)]
+    texts |= {10**6 + k: t for k, t in enumerate(odd)}
+    made = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in pii.result(pii.find_personal_data(made)).collect():
+        own = brute_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(own).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in BASE_KINDS] == [sum(x.startswith(k + ":") for x in own) for k in BASE_KINDS]
+        assert set(own) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("text", ["a" * 10**6 + "@", "1" * 10**6 + ".", "a@b.co 10.0.0.1 GB82 WEST 1234 5698 7654 32 " * 17_000, "AB12" * 250_000, "+1((" * 250_000, "a@" * 500_000, "-1" * 500_000], ids=["letters", "digits", "spans", "capitals", "signs", "ats", "dashes"])
+def test_personal_data_in_long_texts(text):
+    import time
+
+    began = time.process_time()
+    found = pii.spans(text)
+    assert time.process_time() - began < 6 and len(found) == (51_000 if "GB82" in text else 0)
+    assert len(pii.masked(text, found)) <= len(text)
