@@ -1,9 +1,11 @@
 """Packing by lexical retrieval: each seed document's window is filled with its nearest unused neighbours of a BM25 index.
 
 The units are pieces of at most a window. A document's full windows are sequences of their own; the index is of the rests. It
-is sharded: rests are dealt by their rarest id, so that related texts meet, then by document, so that no id makes a large
-shard. A shard has SHARD rests and its own inverted index; the frequencies and the mean length in its weights are those of
-all pieces of all documents.
+is sharded: rests are dealt by their rarest id, so that related texts meet, and rests of a frequent one by a hash of document
+and place, so that no id makes a large shard. A shard has about SHARD rests and its own inverted index, which a seed of the
+shard asks with all its distinct ids; the frequencies and the mean length in its weights are those of all pieces of all
+documents. The shards depend on the texts and ids alone, and rests of a shard are in the order of their documents, so
+results do not depend on how rows are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from . import common
 from .tokens import N_IDS, encoded
 
 WINDOW, SHARD = 4096, 2048
-#: BM25's constants, and how many of a seed's rarest terms its query has.
-K1, B, QUERY = 1.2, 0.75, 24
+#: BM25's constants, and the share of a shard's rests from which an id's weights are a dense row.
+K1, B, DENSE = 1.2, 0.75, 1 / 8
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -33,36 +35,56 @@ def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at].astype(np.int64), np.diff(np.append(at, len(x)))
 
 
-def bm25(ids: list[np.ndarray], df: np.ndarray, n: int, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """An inverted index of the pieces: starts of each term's postings, their pieces, their weights; and each piece's query."""
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    terms, pieces, tf, queries = [], [], [], []
-    for k, x in enumerate(ids):
-        t, c = terms_of(x)
-        terms.append(t)
-        pieces.append(np.full(len(t), k, np.int32))
-        tf.append(c / (c + K1 * (1 - B + B * len(x) / mean)) * (K1 + 1))
-        queries.append(t[np.argpartition(-idf[t], QUERY)[:QUERY]] if len(t) > QUERY else t)
-    terms, pieces, tf = np.concatenate(terms), np.concatenate(pieces), np.concatenate(tf)
-    order = np.argsort(terms.astype(np.uint16), kind="stable")
-    terms = terms[order]
-    return np.searchsorted(terms, np.arange(N_IDS + 1)), pieces[order], tf[order] * idf[terms], queries
+class Index:
+    """An inverted index of a shard's rests: postings of each id, ids of many rests as rows of a matrix, and each rest's query."""
+
+    def __init__(self, ids: list[np.ndarray], df: np.ndarray, n: int, mean: float):
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        self.size, pieces, tf = len(ids), [], []
+        self.queries = []
+        for k, x in enumerate(ids):
+            t, c = terms_of(x)
+            self.queries.append(t)
+            pieces.append(np.full(len(t), k, np.int32))
+            tf.append(c / (c + K1 * (1 - B + B * len(x) / mean)) * (K1 + 1))
+        terms = np.concatenate(self.queries)
+        order = np.argsort(terms.astype(np.uint16), kind="stable")
+        terms, self.pieces = terms[order], np.concatenate(pieces)[order]
+        self.weight = np.concatenate(tf)[order] * idf[terms]
+        self.at = np.searchsorted(terms, np.arange(N_IDS + 1))
+        held = np.diff(self.at)
+        often = np.flatnonzero(held > max(16, DENSE * self.size))
+        self.row = np.full(N_IDS, -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.size), np.float32)
+        for r, t in enumerate(often):
+            own = slice(self.at[t], self.at[t + 1])
+            self.dense[r, self.pieces[own]] = self.weight[own]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """Score of every rest for all distinct ids of a seed."""
+        t = self.queries[seed]
+        row = self.row[t]
+        asked = np.zeros(len(self.dense), np.float32)
+        asked[row[row >= 0]] = 1
+        t = t[row < 0]
+        start, n = self.at[t], self.at[t + 1] - self.at[t]
+        at = np.arange(n.sum()) + np.repeat(start - np.cumsum(n) + n, n)
+        return np.bincount(self.pieces[at], self.weight[at], self.size) + asked @ self.dense
 
 
 def fill(ids: list[np.ndarray], df: np.ndarray, n: int, mean: float) -> list[list[tuple[int, int, int]]]:
     """Sequences of (rest, from, length). Seeds are taken in order; each window takes its seed's unused neighbours, best
-    first, then the next unused rests; the last is cut where the window ends, its end stays for later."""
-    at, docs, weight, queries = bm25(ids, df, n, mean)
+    first (of equal ones the earlier), then the next unused rests; the last is cut where the window ends, its end stays for
+    later."""
+    index = Index(ids, df, n, mean)
     size = np.array([len(x) for x in ids])
     done, out, seed = np.zeros(len(ids), np.int64), [], 0
     while seed < len(ids):
         if done[seed] >= size[seed]:
             seed += 1
             continue
-        score = np.zeros(len(ids))
-        for t in queries[seed]:
-            own = slice(at[t], at[t + 1])
-            score[docs[own]] += weight[own]
+        score = index.scores(seed)
         score[done >= size] = 0
         score[seed] = 0
         near = np.flatnonzero(score)
@@ -85,7 +107,7 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
 
     Full windows of a long document are sequences of their own; only its rest goes to a shard. Every shard has at most one
     sequence that is not full. A null text is an empty one (its end id alone), repeated rows are packed each, an empty
-    table gives no pieces, and columns other than the two named are not read.
+    table gives no pieces, a text of any length is cut as a whole, and columns other than the two named are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -100,13 +122,13 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
                 for k, v in zip(out, (i, a, len(x), zlib.crc32(part), -1 if len(part) == WINDOW else int(part.max())), strict=True):
                     out[k].append(v)
                 parts.append(part)
-        return out | {"tokens": common.lists(parts, pa.int32())}
+        return out | {"tokens": pa.array([x.astype("<u2").tobytes() for x in parts], pa.binary())}
 
-    pieces = common.stored(common.mapped(rows, "doc_id long, start long, doc_tokens long, ids_crc32 long, term int, tokens array<int>", cut), "pieces")
+    pieces = common.stored(common.mapped(rows, "doc_id long, start long, doc_tokens long, ids_crc32 long, term int, tokens binary", cut), "pieces")
 
     def spread(batch):
         """In how many pieces each id is, then pieces and tokens."""
-        own = lists_of(batch["tokens"])
+        own = ids_of(batch["tokens"])
         seen = np.concatenate([terms_of(x)[0] for x in own])
         return np.append(np.bincount(seen, minlength=N_IDS), [len(own), sum(map(len, own))])
 
@@ -123,38 +145,49 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
             yield common.batch_of({"doc_id": batch["doc_id"], "start": batch["start"], "length": np.full(batch.num_rows, WINDOW), "ids_crc32": batch["ids_crc32"], "doc_tokens": batch["doc_tokens"], "sequence_id": 2 * number + 1, "offset": np.zeros(batch.num_rows, np.int64)}, kinds)
 
     def shards(batches):
-        done, part, held = 0, TaskContext.get().partitionId(), []
+        """Shards of a task, which come in order; an overfull one is cut."""
+        held, now, done = [], None, 0
         for batch in batches:
-            held.append(batch)
-            while sum(b.num_rows for b in held) >= 2 * SHARD:
-                all_ = pa.Table.from_batches(held).combine_chunks()
-                yield shard(all_.slice(0, SHARD), part, done)
-                done, held = done + SHARD, all_.slice(SHARD).to_batches()
-        if held and sum(b.num_rows for b in held):
-            yield shard(pa.Table.from_batches(held), part, done)
-
-    def shard(rests, part, done):
+            ends = np.flatnonzero(np.diff(batch["shard"].to_numpy())) + 1
+            for a, b in zip([0, *ends], [*ends, batch.num_rows], strict=True):
+                number = batch["shard"][int(a)].as_py()
+                if number != now or sum(x.num_rows for x in held) > 2 * SHARD:
+                    if held:
+                        yield shard(pa.Table.from_batches(held), now, done)
+                    done = done + sum(x.num_rows for x in held) if number == now else 0
+                    held, now = [], number
+                held.append(batch.slice(int(a), int(b - a)))
+        if held:
+            yield shard(pa.Table.from_batches(held), now, done)
+
+    def shard(rests, number, done):
         """A shard's pieces; it has no more sequences than rests, so ``done`` rests before it keep its numbers apart."""
-        own = [x for c in rests["tokens"].chunks for x in lists_of(c)]
+        own = ids_of(rests["tokens"])
         ids, start, total = (rests[k].to_pylist() for k in ("doc_id", "start", "doc_tokens"))
         out = {k.name: [] for k in kinds}
         for s, row in enumerate(fill(own, frequencies.value, n, mean)):
             offset = 0
             for k, a, size in row:
-                for name, v in zip(out, (ids[k], start[k] + a, size, common.crc(own[k][a : a + size]), total[k], 2 * ((part << 32) + done + s), offset), strict=True):
+                for name, v in zip(out, (ids[k], start[k] + a, size, common.crc(own[k][a : a + size]), total[k], 2 * ((number << 32) + done + s), offset), strict=True):
                     out[name].append(v)
                 offset += size
         return common.batch_of(out, kinds)
 
     full = pieces.filter("term < 0").select("doc_id", "start", "doc_tokens", "ids_crc32").mapInArrow(whole, PIECES)
-    count = max(1, -(-n // SHARD))
-    rest = pieces.filter("term >= 0").select("doc_id", "start", "doc_tokens", "term", "tokens").repartitionByRange(count, "term", "doc_id").mapInArrow(shards, PIECES)
+    rest = pieces.filter("term >= 0")
+    terms = np.zeros(N_IDS, np.int64)
+    for r in rest.groupBy("term").count().collect():  # N_IDS rows at most
+        terms[r["term"]] = r["count"]
+    count = max(1, -(-int(terms.sum()) // SHARD))
+    place = spark.createDataFrame([(int(t), int(a), int(k)) for t, a, k in zip(np.flatnonzero(terms), (np.cumsum(terms) - terms)[terms > 0], terms[terms > 0], strict=True)], "term int, before long, of_term long")
+    number = F.floor((F.col("before") + F.pmod(F.xxhash64("doc_id", "start"), F.col("of_term"))) / SHARD).cast("long").alias("shard")
+    rest = rest.join(F.broadcast(place), "term").select(number, "doc_id", "start", "doc_tokens", "ids_crc32", "tokens")
+    rest = rest.repartition(count, "shard").sortWithinPartitions("shard", "doc_id", "start", "ids_crc32").mapInArrow(shards, PIECES)
     return full.union(rest)
 
 
-def lists_of(column: pa.ListArray) -> list[np.ndarray]:
-    flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+def ids_of(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), "<u2") for x in column]
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
