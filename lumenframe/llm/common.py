@@ -42,6 +42,23 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_join(big: DataFrame, small: DataFrame, key: str, salt: str, counts: DataFrame, total: int | None = None) -> DataFrame:
+    """Inner join of ``big`` with ``small``, which has one row a key, where a key may hold any share of the rows of ``big``.
+
+    ``counts`` has a key's number of rows of ``big`` (key, rows), ``total`` their sum if it is known. A key with more than a
+    quarter of a task's even share is dealt by ``salt`` to as many pieces; there are no more than 4 such keys a task (8 where
+    ``total`` is half the sum), so their table is small whatever the data, and is sent to the tasks.
+    """
+    spark = big.sparkSession
+    total = counts.agg(F.sum("rows")).first()[0] or 0 if total is None else total
+    share = max(1, total // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = F.broadcast(counts.filter(F.col("rows") > share).select(key, F.ceil(F.col("rows") / share).cast("int").alias("pieces")))
+    pieces = F.coalesce("pieces", F.lit(1))
+    big = big.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64(salt), pieces).cast("int")).drop("pieces")
+    small = small.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces")
+    return big.join(small, [key, "salt"]).drop("salt")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import zlib
 
@@ -92,15 +93,58 @@ def test_packing(spark, sf, edge, empty):
     assert packing.pack(empty).count() == 0
 
 
-def test_packing_takes_lexical_neighbours():
-    ids = [np.array([10 * k + j for j in range(5)] * 8, np.uint32) for k in (100, 200, 100, 300, 200)]
+def frequencies(ids):
     df = np.zeros(tokens.N_IDS, np.int64)
     for x in ids:
         df[np.unique(x)] += 1
-    order = [k for k, *_ in packing.fill(ids, df, 5, 40.0)[0]]
+    return df, len(ids), float(np.mean([len(x) for x in ids]))
+
+
+def test_packing_takes_lexical_neighbours():
+    ids = [np.array([10 * k + j for j in range(5)] * 8, np.uint32) for k in (100, 200, 100, 300, 200)]
+    order = [k for k, *_ in packing.fill(ids, *frequencies(ids))[0]]
     assert order.index(2) == 1
 
 
+def brute_bm25(query, ids, df, n, mean):
+    """BM25 of each text for all distinct ids of a query, as it is stated."""
+    out = []
+    for x in ids:
+        total, held = 0.0, collections.Counter(x.tolist())
+        for t in set(query.tolist()):
+            c = held[t]
+            total += np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(x) / mean))
+        out.append(total)
+    return np.array(out)
+
+
+def test_packing_against_brute_force(spark, sf):
+    """Every shard's scores, hence its neighbours, are those of BM25 with all ids of the seed; each window is the greedy fill."""
+    ids = [reference_ids(t)[: packing.WINDOW] for _, t in sorted(docs_of(spark, sf).items())][:120]
+    df, n, mean = frequencies(ids)
+    index = packing.Index(ids, df, n, mean)
+    want = [brute_bm25(q, ids, df, n, mean) for q in ids]
+    for k in range(len(ids)):
+        assert np.allclose(index.scores(k), want[k], rtol=1e-4, atol=1e-4)
+    left = np.array([len(x) for x in ids])
+    for row in packing.fill(ids, df, n, mean):
+        seed = row[0][0]
+        free = [k for k in np.argsort(-index.scores(seed), kind="stable") if k != seed and left[k] > 0 and index.scores(seed)[k] > 0]
+        assert [k for k, *_ in row[1 : 1 + len(free)]] == free[: len(row) - 1]
+        for k, _, size in row:
+            left[k] -= size
+    assert not left.any()
+
+
+def test_packing_does_not_depend_on_partitions(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    key = lambda rows: sorted((r["doc_id"], r["start"], r["length"], r["offset"]) for r in rows)
+    one = packing.pack(docs.coalesce(1)).collect()
+    assert key(one) == key(packing.pack(docs.repartition(7)).collect())
+    many = docs.select(F.lit(7).alias("doc_id"), F.lit("the same words in each row " * 9).alias("text")).union(docs.select(F.lit(7), F.lit("the same words in each row " * 9))).limit(350)
+    assert packing.pack(many.union(many)).agg(F.countDistinct("sequence_id", "offset"), F.count("*")).first()[0] >= 700
+
+
 def test_quality_held_out(spark, sf, labels, edge, empty):
     got = quality.op3(spark, sf).join(labels, "doc_id").filter("held_out").toPandas()
     assert (got.predicted == got.quality).mean() > 0.9
@@ -254,6 +298,66 @@ def test_near_duplicates(spark, sf, edge, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that share an id but not a text are linked by their own texts; one set of a component is kept."""
+    words = lambda a, n: " ".join(f"w{a}x{k}" for k in range(n))
+    rows = [(1, words(0, 60)), (1, words(1, 60)), (2, words(1, 60) + " end"), (3, words(2, 60)), (3, words(2, 60)), (4, words(3, 60)), (4, words(3, 60) + " end"), (5, words(3, 60) + " other end")]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got)[:5] == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 3, True), (3, 3, True)]
+    four = sorted(got)[5:]
+    assert [x[:2] for x in four] == [(4, 4), (4, 4), (5, 4)] and sum(k for *_, k in four) == 1
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_near_duplicate_families_against_brute_force(spark, monkeypatch, block):
+    """Chains of edited copies, which no pivot links: links between blocks of members are those of all pairs."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng, rows = np.random.default_rng(3), []
+    for g in range(4):
+        own = [f"g{g}w{i}" for i in range(60)]
+        for i in range(70):
+            if i % 3 == 0:
+                at = rng.integers(0, 60)
+                own = [*own[:at], f"g{g}e{i}", *own[at + 1 :]]
+            extra = list(own)
+            for at in rng.choice(60, rng.integers(0, 5), replace=False):
+                extra[at] = f"g{g}i{i}x{at}"
+            rows.append((1000 * g + i, " ".join(extra)))
+    ids, sets = [i for i, _ in rows], [set(neardup.shingles(t, 2).tolist()) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), size=2).collect()}
+    assert got == {ids[i]: ids[root(i)] for i in range(len(rows))}
+
+
+def test_hot_keys_are_dealt(spark):
+    big = spark.range(4000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+    counts = big.groupBy("k").agg(F.count("*").alias("rows"))
+    small = counts.select("k", (F.col("k") * 2).alias("v"))
+    got = common.spread_join(big, small, "k", "id", counts)
+    assert sorted((r["id"], r["v"]) for r in got.collect()) == [(i, 0 if i < 3000 else 2 * (i % 50)) for i in range(4000)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = [r["n"] for r in common.spread_join(big, small, "k", "id", counts).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert max(tasks) < 1500
+
+
 def test_near_duplicate_group_against_brute_force(spark):
     """A large group of edited copies around one text: links within it are exactly those of all pairs."""
     rng = np.random.default_rng(1)
