@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumenframe.llm import common, decontam, neardup, packing, pii, rules
 
@@ -13,11 +14,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8); rows without an id stay."""
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8); rows without an id stay.
+
+    Rows that repeat an id with its text are one document; rows that share an id only are documents of their own.
+    """
     common.tuned(spark)
-    kept = neardup.near_duplicates(docs, size=5, percent=80).filter("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.union(docs.filter("doc_id is null").select(*one.columns)).select(*docs.columns)
+    named = docs.withColumn("_text", F.sha2("text", 256))
+    kept = neardup.near_duplicates(named, size=5, percent=80, carry=("_text",)).filter("kept and doc_id is not null").select("doc_id", F.coalesce("_text", F.lit("")).alias("_text")).distinct()
+    named = named.withColumn("_text", F.coalesce("_text", F.lit("")))
+    one = named.join(kept, ["doc_id", "_text"], "left_semi").dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    return one.union(docs.filter("doc_id is null"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
