@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]+"
 # Stop words (English and Russian), fillers, lengths from which a word is rare.
-STOPWORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "with", "в", "и", "на", "не", "но", "по", "с", "что", "это", "я")
-FILLERS = ("uh", "um", "like", "well", "so", "ну", "вот", "как бы")
+STOPWORDS = ("и", "в", "во", "не", "что", "он", "на", "я", "с", "со", "как", "а", "то", "все", "она", "так", "его", "но", "да", "ты", "к", "у", "the", "a", "an", "and", "or", "but", "if", "in", "on", "with", "for", "to", "of", "is", "are", "was", "were", "be", "been", "it")
+FILLERS = ("ээ", "мм", "ну", "типа", "короче", "значит", "э", "эээ", "mmm", "uh", "um")
 RARE_LENGTH = 12
 
 

@@ -21,5 +21,8 @@ def long_features(df: DataFrame, keys: list[str], values: list[str], prefix: str
 
 
 def training_table(features: DataFrame, keys: list[str], registry: list[str]) -> DataFrame:
-    """Keys first, then the registry's features in order; a missing one is null. The registry saves a pass for the names."""
-    return features.groupBy(*keys).pivot("feature", sorted(registry)).agg(F.first("value"))
+    """Keys first, then the registry's features in order; a missing one is null, of a repeated one the greatest value is taken.
+
+    The registry saves a pass for the names.
+    """
+    return features.groupBy(*keys).pivot("feature", sorted(registry)).agg(F.max("value"))

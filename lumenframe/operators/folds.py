@@ -116,3 +116,34 @@ def matched(within: int) -> Callable:
         yield n_ref, n_pred, tp
 
     return machine
+
+
+def bursts(within: float, least: int) -> Callable:
+    """(bursts,) of times: from each start all that follow ``within`` are taken together, the next one starts anew."""
+
+    def machine(rows):
+        start, n, found = None, 0, 0
+        for (t,) in rows:
+            if start is None or t - start > within:
+                found, start, n = found + (n >= least), t, 0
+            n += 1
+        yield (found + (n >= least),)
+
+    return machine
+
+
+def bounded_segments(gap: float, longest: float) -> Callable:
+    """(start, end, n) of times: a segment ends at a step longer than ``gap``, or ``longest`` after its start."""
+
+    def machine(rows):
+        start, last, n = None, None, 0
+        for (t,) in rows:
+            if start is None or t - last > gap or t - start > longest:
+                if n:
+                    yield start, last, n
+                start, n = t, 0
+            last, n = t, n + 1
+        if n:
+            yield start, last, n
+
+    return machine

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import flow_queries, fold_queries, report_queries, signal_queries, text_queries, timeline_queries, vector_queries
+from . import flow_queries, fold_queries, lexicon_queries, pacing_queries, payload_queries, report_queries, signal_queries, text_queries, timeline_queries, vector_queries
 
 FLAGSHIP = "p6_training_table"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**timeline_queries.QUERIES, **text_queries.QUERIES, **vector_queries.QUERIES, **flow_queries.QUERIES, **signal_queries.QUERIES, **report_queries.QUERIES, **fold_queries.QUERIES}
-ORACLES: dict[str, str] = {**timeline_queries.ORACLES, **text_queries.ORACLES, **vector_queries.ORACLES, **flow_queries.ORACLES, **signal_queries.ORACLES, **report_queries.ORACLES, **fold_queries.ORACLES}
+MODULES = (timeline_queries, text_queries, vector_queries, flow_queries, signal_queries, report_queries, fold_queries, lexicon_queries, payload_queries, pacing_queries)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLES: dict[str, str] = {k: v for m in MODULES for k, v in m.ORACLES.items()}

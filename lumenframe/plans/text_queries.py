@@ -129,18 +129,18 @@ SELECT doc_id, round(len(list_filter(w, lambda x: NOT regexp_matches(x, '^[\p{{L
 
 
 def speech(spark, d):
-    """Speech proxies of a conversation's turns: words, pauses, fillers, estimated minutes and rate."""
-    df = spark.read.parquet(f"{d}/conversations.parquet").withColumn("w", F.filter(F.split(T.clean(F.col("text")), " "), lambda x: x != ""))
+    """Speech proxies of a conversation's turns: words, pauses, intonation, fillers, estimated minutes and rate."""
+    df = spark.read.parquet(f"{d}/conversations.parquet").withColumn("w", T.words(F.col("text")))
     n = F.size("w")
-    minutes = F.greatest(F.lit(0.5), n / 160)
+    minutes = F.greatest(F.lit(0.5), F.greatest(F.lit(1), n) / 160)
     ends = F.greatest(F.lit(1), T.occurrences(F.col("text"), r"[.!?]"))
-    return df.select("conv_id", "turn", "role", n.cast("long").alias("n_words"), r(minutes).alias("minutes"), r(n / minutes).alias("words_per_minute"), r(T.occurrences(F.col("text"), "[,;:]") / ends).alias("pause_density"), r(T.share(F.transform("w", F.lower), lambda x: x.isin(*T.FILLERS))).alias("filler_ratio"))
+    return df.select("conv_id", "turn", "role", n.cast("long").alias("n_words"), r(minutes).alias("minutes"), r(n / minutes).alias("words_per_minute"), r(T.occurrences(F.col("text"), "[,;:]") / ends).alias("pause_density"), r(T.occurrences(F.col("text"), "[!?]") / ends).alias("intonation"), r(T.share(F.transform("w", F.lower), lambda x: x.isin(*T.FILLERS))).alias("filler_ratio"))
 
 
 SPEECH = rf"""
-WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS x, list_filter(string_split({SQL_CLEAN.format('text')}, ' '), lambda x: x <> '') AS w FROM conversations)
-SELECT conv_id, turn, role, len(w) AS n_words, round(greatest(0.5, len(w) / 160), 6) AS minutes, round(len(w) / greatest(0.5, len(w) / 160), 6) AS words_per_minute,
-  round(len(regexp_extract_all(x, '[,;:]')) / greatest(1, len(regexp_extract_all(x, '[.!?]'))), 6) AS pause_density,
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS x, regexp_extract_all({SQL_CLEAN.format('text')}, '{SQL_WORD}') AS w FROM conversations)
+SELECT conv_id, turn, role, len(w) AS n_words, round(greatest(0.5, greatest(1, len(w)) / 160), 6) AS minutes, round(len(w) / greatest(0.5, greatest(1, len(w)) / 160), 6) AS words_per_minute,
+  round(len(regexp_extract_all(x, '[,;:]')) / greatest(1, len(regexp_extract_all(x, '[.!?]'))), 6) AS pause_density, round(len(regexp_extract_all(x, '[!?]')) / greatest(1, len(regexp_extract_all(x, '[.!?]'))), 6) AS intonation,
   round(len(list_filter(list_transform(w, lambda x: lower(x)), lambda x: x IN ({", ".join(f"'{f}'" for f in T.FILLERS)}))) / greatest(1, len(w)), 6) AS filler_ratio FROM t"""
 
 
