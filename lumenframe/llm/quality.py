@@ -2,12 +2,13 @@
 
 Features of a text: hashed words, and hashed shapes (letter case, digits, marks) of words and of neighbouring words. Weighted
 by document frequencies of all documents and projected on the leading directions of the labelled sample. Each document meets
-every labelled vector in blocked cosine products; its nearest ones vote, weighted by similarity.
+every labelled vector in blocked cosine products; its nearest ones vote, weighted by the fourth power of similarity.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -65,31 +66,45 @@ def directions(x: np.ndarray, dims: int = DIMS, rounds: int = 4, seed: int = 3)
 
 
 def vote(rows: np.ndarray, voters: np.ndarray, labels: np.ndarray, prior: float, k: int = VOTERS) -> np.ndarray:
-    """Similarity-weighted mean label of the k nearest; the prior where nothing is similar."""
+    """Mean label of the k nearest voters and of all that tie with the last of them, each weighted by the fourth power of its
+    similarity; the prior where nothing is similar."""
     out, k = np.full(len(rows), prior), min(k, len(voters))
     if not k:
         return out
     for at in range(0, len(rows), 512):
         sim = rows[at : at + 512] @ voters.T
-        near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-        w = np.maximum(np.take_along_axis(sim, near, 1), 0).astype(np.float64) ** 4
-        total = w.sum(1)
-        out[at : at + 512] = np.where(total > 1e-12, (w * labels[near]).sum(1) / np.maximum(total, 1e-12), prior)
+        least = np.partition(sim, len(voters) - k, axis=1)[:, len(voters) - k, None]
+        row, near = np.nonzero(sim >= least)
+        w = np.maximum(sim[row, near], 0).astype(np.float64) ** 4
+        total, voted = np.bincount(row, w, len(sim)), np.bincount(row, w * labels[near], len(sim))
+        out[at : at + 512] = np.where(total > 1e-12, voted / np.maximum(total, 1e-12), prior)
     return np.clip(out, 0, 1)
 
 
-def neighbour_quality(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, score (0 to 1) and predicted of every document.
+@dataclass
+class Model:
+    """Weights of features, directions, the labelled vectors on them, their labels, and the share of label 1."""
 
-    Labels are learned from rows whose crc32(doc_id as text) mod 5 is not 0, SAMPLE of them at most (smallest hashes of
-    their ids); document frequencies are those of all documents. Without labelled rows, and for texts without words, the
-    score is the learned share of label 1 (1 if there is none). A null text is empty; a null id is not held out.
-    """
+    idf: np.ndarray
+    basis: np.ndarray
+    voters: np.ndarray
+    labels: np.ndarray
+    prior: float
+
+
+def prepared(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (common.bucket(doc_id, 5) == 0).alias("held_out"))
-    docs = docs.withColumn("held_out", F.col("held_out") & F.col("doc_id").isNotNull())
-    known = labels.select("doc_id", "quality").filter("quality is not null").dropDuplicates(["doc_id"]).filter(common.bucket("doc_id", 5) != 0)
+    return docs.withColumn("held_out", F.col("held_out") & F.col("doc_id").isNotNull())
+
+
+def fitted(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> Model:
+    """Learned from labelled rows whose crc32(doc_id as text) mod 5 is not 0, SAMPLE of them at most (smallest hashes of their
+    ids); document frequencies are those of all documents. Of clashing labels of an id the least counts, of clashing texts
+    the first by order."""
+    docs = prepared(docs, text, doc_id)
+    known = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality")).filter(common.bucket("doc_id", 5) != 0)
     drawn = docs.filter("not held_out").select("doc_id").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    sample = docs.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "quality")
+    sample = docs.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def sparse(batch):
         rows = [counts(x) for x in common.texts(batch["text"])]
@@ -104,16 +119,25 @@ def neighbour_quality(docs: DataFrame, labels: DataFrame, *, text: str = "text",
     idf = np.log((1 + df[-1]) / (1 + df[:-1])).astype(np.float32) + 0.1
     x = weighted(x, idf)
     basis = directions(x) if len(x) else np.zeros((2 * WIDTH, 1), np.float32)
-    prior = float(y.mean()) if len(y) else 1.0
-    model = docs.sparkSession.sparkContext.broadcast((idf, basis, unit(x @ basis), y, prior))
+    return Model(idf, basis, unit(x @ basis), y, float(y.mean()) if len(y) else 1.0)
+
+
+def neighbour_quality(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, held_out, score (0 to 1) and predicted of every document.
+
+    Without labelled rows, and for texts without words, the score is the learned share of label 1 (1 if there is none). A
+    null text is empty; a null id is not held out; rows that repeat a text have equal scores; columns other than those
+    named are not read.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, text=text, doc_id=doc_id))
 
     def work(batch):
-        idf, basis, voters, y, prior = model.value
-        own = weighted(np.array([counts(t) for t in common.texts(batch["text"])]), idf)
-        score = vote(unit(own @ basis), voters, y, prior)
+        m = model.value
+        own = weighted(np.array([counts(t) for t in common.texts(batch["text"])]), m.idf)
+        score = vote(unit(own @ m.basis), m.voters, m.labels, m.prior)
         return {"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": score, "predicted": (score >= THRESHOLD).astype(np.int32)}
 
-    return common.mapped(docs, "doc_id long, held_out boolean, score double, predicted int", work)
+    return common.mapped(prepared(docs, text, doc_id), "doc_id long, held_out boolean, score double, predicted int", work)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
