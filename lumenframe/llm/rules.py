@@ -140,11 +140,12 @@ def fit(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
 
     The forest is grown on the good ones of the SAMPLE labelled rows whose ids' hashes are smallest. The threshold takes all labelled rows
     that pass the base rules: of those that reject at most REJECTS of the good rows, the one that catches most bad rows
-    for the fewest good ones. Without bad or good rows nothing is rejected.
+    for the fewest good ones. Without bad or good rows nothing is rejected. Of clashing labels of an id the least counts.
     """
-    known = stats.filter("not base_failed").join(labels.select("doc_id", "quality").filter("quality is not null").dropDuplicates(["doc_id"]), "doc_id")
+    labels = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    known = stats.filter("not base_failed").join(labels, "doc_id")
     known = common.stored(known, "labelled")
-    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("shares", "quality").toArrow()
+    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id", "shares").limit(SAMPLE).select("shares", "quality").toArrow()
     good = drawn["quality"].to_numpy() == 1
     if good.sum() < 2:
         return None, 2.0
@@ -172,7 +173,8 @@ def rule_verdicts(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc
 
 
 def passing(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, all columns, without a shuffle of their texts."""
+    """The documents that the rules keep, all columns, without a shuffle of their texts: null and empty texts go, rows that
+    repeat a text are treated alike, and rows without an id are judged by their text."""
     forest, threshold = fit(common.stored(rule_statistics(docs), "rules"), labels)
     model = docs.sparkSession.sparkContext.broadcast(forest)
 
