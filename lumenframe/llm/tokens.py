@@ -95,8 +95,9 @@ def encoded(batch: pa.RecordBatch, vocabulary: str | None = None) -> list[np.nda
     return [np.frombuffer(encode(x) + end, "<u4") for x in common.texts(batch["text"])]
 
 
-def write_tokens(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_id", encoding: str = "dictionary", rows_per_file: int = 20_000, group_bytes: int = 16 << 20, page_bytes: int = 64 << 10, vocabulary: str | None = None) -> str:
-    """Encode all documents and write them as Parquet in ascending id order; returns the path.
+def write_tokens(docs: DataFrame, path: str, *, text: str = "text", doc_id: str = "doc_id", encoding: str = "dictionary", rows_per_file: int = 20_000, file_bytes: int = 48 << 20, group_bytes: int = 16 << 20, page_bytes: int = 64 << 10, vocabulary: str | None = None) -> str:
+    """Encode all documents and write them as Parquet in ascending id order; returns the path. Files have about
+    ``rows_per_file`` documents or ``file_bytes`` of text at most, or one longer text.
 
     Columns: doc_id, part and part_start (ids of the documents before it in its file), n_tokens, tokens (list of int, end
     id included). ``encoding``: "dictionary", or "delta" (binary packed). Row groups hold ``group_bytes`` and pages
@@ -104,7 +105,8 @@ def write_tokens(docs: DataFrame, path: str, *, text: str = "text", doc_id: str
     a null id comes first, repeated rows stay, an empty table gives an empty dataset; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    parts = max(1, -(-docs.count() // rows_per_file), docs.sparkSession.sparkContext.defaultParallelism)
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // rows_per_file), -(-size // file_bytes), docs.sparkSession.sparkContext.defaultParallelism)
     schema = "doc_id long, part int, part_start long, n_tokens int, tokens array<int>"
     kinds = common.arrow_schema(docs.sparkSession, schema)
 
