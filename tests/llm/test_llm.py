@@ -246,6 +246,126 @@ def test_decontamination_partial_and_edited_copies(spark):
     assert [got[i]["item_ids"] for i in range(1, len(told) + 1)] == [[1], [1], [], *([k] for k in (2, 3, 4, 5) for _ in range(3)), [6], [6], [6], []]
 
 
+def test_votes_against_brute_force():
+    """Each row's vote by plain loops: the nearest voters and all tied with the last of them, weighted by likeness ** 4."""
+    rng = np.random.default_rng(6)
+    voters = quality.unit(rng.standard_normal((60, 5)).astype(np.float32))
+    voters[40:50], voters[50] = voters[0], 0
+    rows, y = np.concatenate([quality.unit(rng.standard_normal((200, 5)).astype(np.float32)), voters[:3], np.zeros((1, 5), np.float32)]), rng.integers(0, 2, 60).astype(np.float64)
+    got = quality.vote(rows, voters, y, 0.7, 7)
+    for row, score in zip(rows, got, strict=True):
+        sim = sorted(((float(row @ v), k) for k, v in enumerate(voters)), reverse=True)
+        chosen = [(max(s, 0.0) ** 4, y[k]) for s, k in sim if s >= sim[6][0]]
+        total = sum(w for w, _ in chosen)
+        assert score == pytest.approx(sum(w * label for w, label in chosen) / total if total > 1e-12 else 0.7, abs=1e-5)
+    assert (quality.vote(rows, voters[:0], y[:0], 0.7) == 0.7).all()
+
+
+def test_quality_against_brute_force(spark, sf, labels):
+    """Scores of all documents from a plain fit: counts by a dictionary, frequencies of all documents, cosines by loops."""
+    texts = docs_of(spark, sf)
+    model = quality.fitted(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    raw = {i: quality.counts(t) for i, t in texts.items()}
+    df = sum((r > 0).astype(int) for r in raw.values())
+    assert np.allclose(model.idf, np.log((1 + len(raw)) / (1 + df)) + 0.1, rtol=1e-5)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    learned = [i for i in texts if i in known and zlib.crc32(str(i).encode()) % 5]
+    assert len(model.labels) == len(learned) and sorted(model.labels) == sorted(float(known[i]) for i in learned)
+    got = {r["doc_id"]: r for r in quality.op3(spark, sf).collect()}
+    for i, r in raw.items():
+        x = np.log1p(r) * model.idf
+        x = np.concatenate([p / max(np.linalg.norm(p), 1e-9) for p in (x[: quality.WIDTH], x[quality.WIDTH :])]) @ model.basis
+        x = x / max(np.linalg.norm(x), 1e-9)
+        sim = model.voters @ x
+        near = sim >= np.sort(sim)[-quality.VOTERS]
+        w = np.where(near, np.maximum(sim, 0) ** 4, 0)
+        want = (w * model.labels).sum() / w.sum() if w.sum() > 1e-12 else model.prior
+        assert got[i]["score"] == pytest.approx(want, abs=1e-3) and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert got[i]["predicted"] == int(got[i]["score"] >= 0.3)
+
+
+def test_clashing_labels_and_texts(spark, sf):
+    """Of clashing labels the least counts, of clashing texts of an id the first by order, whatever the order of rows."""
+    rows = [(i, " ".join(f"w{i % 7}x{k % (i + 2)}" for k in range(80))) for i in range(60)] + [(3, "other text " * 30), (4, None)]
+    known = [(i, i % 2) for i in range(60)] + [(i, (i + 1) % 2) for i in range(0, 60, 3)] + [(5, None)]
+    made = [(spark.createDataFrame(r, "doc_id long, text string").repartition(n), spark.createDataFrame(k, "doc_id long, quality int").repartition(n)) for n, (r, k) in ((1, (rows, known)), (5, (rows[::-1], known[::-1])))]
+    for run, column in ((quality.neighbour_quality, "score"), (rules.rule_verdicts, "score")):
+        one, two = (sorted((r["doc_id"], round(r[column], 5)) for r in run(d, k).collect()) for d, k in made)
+        assert one == two
+
+
+def test_forest_against_brute_force():
+    """Path lengths by walking every tree for every row."""
+    rng = np.random.default_rng(8)
+    x = rng.random((300, len(rules.SHARES)))
+    forest = rules.grow(x, np.ptp(x, axis=0) / 2, trees=9, rows=64, depth=6)
+    rows = np.concatenate([x[:40], rng.random((40, len(rules.SHARES))) * 3 - 1])
+    for row, score in zip(rows, forest.scores(rows), strict=True):
+        lengths = []
+        for t in range(9):
+            node = 0
+            while forest.left[t, node] >= 0:
+                node = forest.left[t, node] + int(row[forest.share[t, node]] >= forest.at[t, node])
+            lengths.append(forest.length[t, node])
+        assert score == pytest.approx(2 ** -(np.mean(lengths) / rules.usual_length(64)))
+
+
+def test_rules_threshold_against_brute_force(spark, sf, labels):
+    """The verdicts follow from the scores of all documents and the threshold that plain counting over the labelled rows gives."""
+    got, known = rules.op4(spark, sf).toPandas(), labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).toPandas()
+    m = got[~got.base_failed].merge(known, on="doc_id")
+    m["cell"] = np.floor(m.score * rules.CELLS)
+    best = None
+    for cell in sorted(m.cell.unique(), reverse=True):
+        bad, good = ((m.cell >= cell) & (m.quality == q) for q in (0, 1))
+        share = good.sum() / (m.quality == 1).sum()
+        worth = bad.sum() / (m.quality == 0).sum() - 5 * share if share <= rules.REJECTS else -1
+        if best is None or worth > best[0]:
+            best = worth, cell / rules.CELLS
+    limit = best[1] if best and best[0] > 0 else 2.0
+    assert (got.kept == (~got.base_failed & (got.score < limit))).all()
+
+
+def brute_logits(table, text):
+    """Mean of the table's rows over all subwords of 2 to 4 bytes, found one by one."""
+    import regex
+
+    raw = (" " + regex.sub(r"[^\p{L}\p{M}]+", " ", text).strip() + " ").lower().encode()
+    total, n = np.zeros(table.shape[1]), 0
+    for size in (2, 3, 4):
+        for at in range(len(raw) - size + 1):
+            part = raw[at : at + size]
+            if b" " in part[1:-1] or part == b"  ":
+                continue
+            h = size
+            for b in part:
+                h = (h ^ b) * 0x01000193 % 2**32
+            total, n = total + table[(h ^ (h >> 15)) % langid.BUCKETS], n + 1
+    return total / max(n, 1)
+
+
+def test_language_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fitted(docs)
+    texts, got = docs_of(spark, sf), {r["doc_id"]: r for r in langid.op7(spark, sf).collect()}
+    for i, text in sorted(texts.items())[:25]:
+        z = brute_logits(model.table, text[:20_000]) / model.temperature if len(text) <= 20_000 else None
+        if z is not None and text.strip():
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            assert got[i]["score"] == pytest.approx(p.max(), abs=1e-6) and got[i]["lang_pred"] == model.names[int(p.argmax())]
+    assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i in texts)
+
+
+def test_language_rejects_what_it_has_not_learned(spark, sf):
+    """Documents of the learned languages are not rejected; other alphabets, other languages and noise are."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    told = ["Съешь же ещё этих мягких французских булок да выпей чаю", "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。", "aaaa aaaa aaaa", "xqzw vkjq zzxq wqkv pqzx", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności"]
+    extra = spark.createDataFrame([(10**9 + k, t, None) for k, t in enumerate(told)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.language(docs.select("doc_id", "text", "lang").union(extra)).collect()}
+    own = [r["rejected"] for i, r in got.items() if i < 10**9 and r["held_out"]]
+    assert np.mean(own) < 0.1 and sum(got[10**9 + k]["rejected"] for k in range(len(told))) >= 4
+
+
 def test_language(spark, sf, edge, empty):
     got = langid.op7(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
@@ -263,6 +383,28 @@ def test_licences(spark, sf, edge, empty):
     assert not same([r.asDict() for r in licences.op8(spark, sf).collect()], oracle(licences.op8_sql(), sf))
 
 
+def test_licences_as_files(spark):
+    """Usual files: a title, copyright lines, wraps, comment marks; full texts where the machine has them."""
+    import os
+    import textwrap
+
+    mit, isc = licences.KNOWN["MIT"][0], licences.KNOWN["ISC"][0]
+    told = {"MIT": ["MIT License\n\nCopyright (c) 2024 A. Body\n\n" + textwrap.fill(mit, 70), "The MIT License (MIT)\nCopyright 2011-2014 X, Y\nCopyright (C) 2015 Z\nAll rights reserved.\n" + mit, "# Copyright (c) 2020 B\n#\n" + textwrap.indent(textwrap.fill(mit, 60), "# "), "/*\n * (c) 2020 C\n */\n" + mit]}
+    told["ISC"] = ["ISC License\n\nCopyright (c) 2024, D <d@e.f>\n\n" + isc.replace("provided that the above copyright", "provided that the above\ncopyright")]
+    told[None] = ["MIT License", "Copyright notice of a kind\n" + mit, mit[:-20], "MIT License\nSome text of a project"]
+    files = {"GPL-3": "GPL-3.0", "GPL-2": "GPL-2.0", "Apache-2.0": "Apache-2.0", "MPL-2.0": "MPL-2.0", "LGPL-3": "LGPL-3.0", "CC0-1.0": "CC0-1.0"}
+    for name, licence in files.items():
+        if os.path.exists(path := f"/usr/share/common-licenses/{name}"):
+            with open(path, encoding="utf-8") as f:
+                told.setdefault(licence, []).append(f.read())
+    rows = [(i, text, k) for i, (k, text) in enumerate((k, t) for k, own in told.items() for t in own)]
+    got = {r["doc_id"]: r["license_id"] for r in licences.scan_licences(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    assert [(k, got[i], text[:60]) for i, text, k in rows if got[i] != k] == []
+    assert licences.scan_licences(spark.createDataFrame([(1, mit)], "doc_id long, text string"), known={}).first()["license_id"] is None
+    with pytest.raises(ValueError):
+        licences.known_digests(spark, {"x": ["t"] * (licences.KNOWN_MAX + 1)})
+
+
 def test_personal_data(spark, sf, edge, empty):
     text = "mail a.b@c.example.com, card 4111 1111 1111 1111, bad 4111 1111 1111 1112, ip 10.0.0.255 not 10.0.0.256, tel +1 (743) 555-3824, iban GB82 WEST 1234 5698 7654 32, ssn 123-45-6789"
     kinds = {k: text[a:b] for k, a, b, _ in pii.spans(text)}
