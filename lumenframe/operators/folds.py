@@ -147,3 +147,67 @@ def bounded_segments(gap: float, longest: float) -> Callable:
             yield start, last, n
 
     return machine
+
+
+def overlap_of(a: tuple, b: tuple) -> float:
+    """Intersection over union of boxes (x1, y1, x2, y2)."""
+    inter = max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
+    return inter / max((a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - inter, 1e-6)
+
+
+def tracked(least: float, back: int) -> Callable:
+    """(id, track) of (id, frame, x1, y1, x2, y2): a box joins the track of ``back`` frames before whose latest box overlaps it
+    most, above ``least``; else it begins a track."""
+
+    def machine(rows):
+        count, recent = 0, []
+        for i, frame, *box in rows:
+            recent = [x for x in recent if x[0] >= frame - back]
+            latest = {track: own for _, track, own in recent}
+            best, found = least, None
+            for track in dict.fromkeys(t for at, t, _ in recent if at < frame):
+                if (got := overlap_of(box, latest[track])) > best:
+                    best, found = got, track
+            if found is None:
+                count += 1
+                found = count
+            recent.append((frame, found, tuple(box)))
+            yield i, found
+
+    return machine
+
+
+def likeness(a: str, b: str) -> float:
+    """1 - edit distance / greater length."""
+    if a == b or not a or not b:
+        return float(a == b)
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return 1 - row[-1] / max(len(a), len(b))
+
+
+def captions(overlap: float, least: float) -> Callable:
+    """(id, element) of (id, text, x1, y1, x2, y2): a detection joins the element whose middle box overlaps it by ``overlap``
+    or more with the best mean of overlap and likeness above ``least``; else it begins one."""
+
+    def machine(rows):
+        elements: list[tuple[str, list[tuple]]] = []
+        for i, text, *box in rows:
+            best, found = least, None
+            for n, (own, boxes) in enumerate(elements):
+                middle = tuple((v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2 for v in map(sorted, zip(*boxes, strict=True)))
+                area = (box[2] - box[0]) * (box[3] - box[1]) + (middle[2] - middle[0]) * (middle[3] - middle[1])
+                inter = max(0.0, min(box[2], middle[2]) - max(box[0], middle[0])) * max(0.0, min(box[3], middle[3]) - max(box[1], middle[1]))
+                got = inter / (area - inter + 1e-6)
+                if got >= overlap and (score := 0.5 * got + 0.5 * likeness(text, own)) > best:
+                    best, found = score, n
+            if found is None:
+                found = len(elements)
+                elements.append((text, []))
+            elements[found][1].append(tuple(box))
+            yield i, found
+
+    return machine

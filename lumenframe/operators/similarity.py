@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,3 +36,29 @@ def top_k(queries: DataFrame, df: DataFrame, k: int) -> DataFrame:
         got = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
         best = got if best is None else best.union(got)
     return best.select("query_id", "rank", "vec_id", "score")
+
+
+def dimension_sums(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
+    """keys, n, and of the unit vectors of each key the squared length of their sum and the sum of squared lengths: all that
+    the mean of their pairwise cosines needs, so no pair is made."""
+    flat = df.select(*keys, F.posexplode(V.unit(F.col(vector), 1e-9)).alias("i", "x")).groupBy(*keys, "i").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.count("*").alias("n"))
+    return flat.groupBy(*keys).agg(F.max("n").alias("n"), F.sum(F.col("s") * F.col("s")).alias("sum_square"), F.sum("q").alias("square_sum"))
+
+
+def self_similarity(df: DataFrame, key: str, order: str, vector: str, most: int, limit: float) -> DataFrame:
+    """key, n, repetition (share of rows with a likeness of ``limit`` or more to another), mean and 95th percentile of all
+    pairwise cosines. A key of more than ``most`` rows is an error, as its pairs grow with the square."""
+
+    def matrix(table: pa.Table) -> pa.Table:
+        table = table.sort_by(order)
+        x = np.array(table[vector].to_pylist(), np.float64)
+        if len(x) > most:
+            raise ValueError(f"{len(x)} rows for one key; all pairs are compared for {most} at most")
+        x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
+        sim = x @ x.T
+        pairs = sim[np.triu_indices(len(x), 1)]
+        np.fill_diagonal(sim, -np.inf)
+        some = len(pairs) > 0
+        return pa.table({key: table[key][:1].cast(pa.int64()), "n": pa.array([len(x)], pa.int64()), "repetition": pa.array([float((sim.max(1) >= limit).mean())]), "mean": pa.array([float(pairs.mean()) if some else None], pa.float64()), "p95": pa.array([float(np.percentile(pairs, 95)) if some else None], pa.float64())})
+
+    return df.select(F.col(key).cast("long").alias(key), order, vector).groupBy(key).applyInArrow(matrix, f"{key} long, n long, repetition double, mean double, p95 double")

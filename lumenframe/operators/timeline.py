@@ -62,3 +62,14 @@ def near(left: DataFrame, right: DataFrame, key: str, within: int) -> DataFrame:
 def latest(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
     """The last row of each key by order: the state that an append-only journal leaves; sums up before the shuffle."""
     return df.groupBy(*keys).agg(F.max(F.struct(*order, *values)).alias("_x")).select(*keys, *(f"_x.{c}" for c in [*order, *values]))
+
+
+def within(points: DataFrame, spans: DataFrame, key: str, point: str, start: str, end: str, cell: float, pad: float = 0.0) -> DataFrame:
+    """Pairs of points and spans of the same key where the point is in [start - pad, end + pad].
+
+    Times are cut into cells; a span goes to each cell it touches, a point to its own, so the join is one of equality that
+    is checked exactly, and a long span costs its length in cells.
+    """
+    cells = spans.withColumn("_cell", F.explode(F.sequence(F.floor((F.col(start) - pad) / cell), F.floor((F.col(end) + pad) / cell))))
+    met = points.withColumn("_cell", F.floor(F.col(point) / cell)).join(cells, [key, "_cell"])
+    return met.filter((F.col(point) >= F.col(start) - pad) & (F.col(point) <= F.col(end) + pad)).drop("_cell")
