@@ -32,19 +32,32 @@ def folded(df: DataFrame, key: str, order: list[str], columns: list[str], schema
     return rows.mapInArrow(run, schema)
 
 
-def merged_starts(least: int) -> Callable:
-    """(start, n): starts at least ``least`` after the last kept one, with how many starts each took in."""
+def spread_peaks(apart: int) -> Callable:
+    """(id,) of (time, height, id): the highest of close peaks, of equal ones the least id, and no other within ``apart``.
+
+    Peaks that far from the one before never meet it, so a chain of close ones is held at a time.
+    """
+
+    def chosen(chain):
+        order, taken = sorted(range(len(chain)), key=lambda k: (-chain[k][1], chain[k][2])), [False] * len(chain)
+        for k in order:
+            if not taken[k]:
+                taken[k] = True
+                yield chain[k][2]
+                for step in (-1, 1):
+                    n = k + step
+                    while 0 <= n < len(chain) and abs(chain[n][0] - chain[k][0]) < apart:
+                        taken[n] = True
+                        n += step
 
     def machine(rows):
-        last, n = None, 0
-        for (t,) in rows:
-            if last is None or t - last >= least:
-                if n:
-                    yield last, n
-                last, n = t, 0
-            n += 1
-        if n:
-            yield last, n
+        chain = []
+        for row in rows:
+            if chain and row[0] - chain[-1][0] >= apart:
+                yield from ((i,) for i in chosen(chain))
+                chain = []
+            chain.append(row)
+        yield from ((i,) for i in chosen(chain))
 
     return machine
 

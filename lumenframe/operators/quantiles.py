@@ -45,3 +45,9 @@ def grouped(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]
     own = own.withColumn("_to", upto).join(cells, [*keys, "_cell"])
     hit = own.select(*keys, "_v", (F.col("_before") + F.col("_to") - F.col("_c")).alias("_from"), (F.col("_before") + F.col("_to")).alias("_to"), F.explode("_asked").alias("_a")).filter("_a.at >= _from and _a.at < _to")
     return hit.groupBy(*keys).agg(*(F.sum(F.when(F.col("_a.name") == k, F.col("_v") * F.col("_a.weight"))).alias(k) for k in wanted))
+
+
+def beside(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """The rows with the wanted quantiles of their key beside them, by the sorted window of ``ranked``."""
+    w = Window.partitionBy(*keys)
+    return ranked(df, keys, value).withColumns({k: at(value, q).over(w) for k, q in wanted.items()}).drop("_k", "_n")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 
-#: Query vectors of a block that is joined by broadcast.
+#: Vectors of a block; a task holds a block of rows and one of queries.
 BLOCK = 4096
 
 
@@ -19,23 +19,51 @@ def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
     return flat.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
+def blocked(df: DataFrame, vector: str) -> DataFrame:
+    """The rows in blocks of BLOCK: ids (whole numbers) and unit vectors, as bytes of a row."""
+
+    def run(batches):
+        ids, rows = [], []
+        for batch in batches:
+            ids += batch["id"].to_pylist()
+            rows += batch["v"].to_pylist()
+            while len(ids) >= BLOCK:
+                yield packed(ids[:BLOCK], rows[:BLOCK])
+                ids, rows = ids[BLOCK:], rows[BLOCK:]
+        if ids:
+            yield packed(ids, rows)
+
+    def packed(ids, rows):
+        x = np.array(rows, np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
+        return pa.RecordBatch.from_arrays([pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], names=["ids", "x"])
+
+    return df.select(F.col("vec_id").cast("long").alias("id"), F.col(vector).alias("v")).mapInArrow(run, "ids binary, x binary")
+
+
 def top_k(queries: DataFrame, df: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest other rows by cosine, ties by id.
 
-    A stated query set meets all rows in blocks of BLOCK queries, each broadcast; a row passes on only what is left of each
-    partition's best k, so the shuffle carries k rows per query and partition at most.
+    A stated query set meets all rows: blocks of both are multiplied as matrices, and a pair of blocks passes on its queries'
+    k best rows (and those that tie with the last), so the shuffle carries about k rows per query and block of rows.
     """
-    n = queries.count()
-    df = df.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v")).withColumn("v_n", V.norm(F.col("v")) + 1e-9)
-    queries = queries.select(F.col("vec_id").alias("query_id"), F.transform("embedding", lambda x: x.cast("double")).alias("q")).withColumn("q_n", V.norm(F.col("q")) + 1e-9)
-    best = None
-    for b in range(max(1, -(-n // BLOCK))):
-        own = queries if n <= BLOCK else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(-(-n // BLOCK))) == b)
-        met = df.join(F.broadcast(own), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", (V.dot(F.col("v"), F.col("q")) / (F.col("v_n") * F.col("q_n"))).alias("score"))
-        w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-        got = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        best = got if best is None else best.union(got)
-    return best.select("query_id", "rank", "vec_id", "score")
+
+    def met(batches):
+        for batch in batches:
+            for ids, x, other, q in zip(*(batch[c].to_pylist() for c in ("ids", "x", "query_ids", "q")), strict=True):
+                ids, other = np.frombuffer(ids, np.int64), np.frombuffer(other, np.int64)
+                x, q = np.frombuffer(x, np.float64).reshape(len(ids), -1), np.frombuffer(q, np.float64).reshape(len(other), -1)
+                for at in range(0, len(other), 512):
+                    sim = q[at : at + 512] @ x.T
+                    sim[other[at : at + 512, None] == ids[None, :]] = -np.inf
+                    least = np.partition(sim, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k), None] - 1e-12
+                    row, near = np.nonzero((sim >= least) & np.isfinite(sim))
+                    yield pa.RecordBatch.from_arrays([pa.array(other[at + row]), pa.array(ids[near]), pa.array(sim[row, near])], names=["query_id", "vec_id", "score"])
+
+    pairs = blocked(df, "embedding").crossJoin(blocked(queries, "embedding").select(F.col("ids").alias("query_ids"), F.col("x").alias("q")))
+    best = pairs.mapInArrow(met, "query_id long, vec_id long, score double")
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 12).desc(), "vec_id")
+    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def dimension_sums(df: DataFrame, keys: list[str], vector: str) -> DataFrame:

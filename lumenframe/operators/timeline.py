@@ -31,18 +31,6 @@ def sessions(df: DataFrame, key: str, order: list[str], gap: float) -> DataFrame
     return df.withColumn("_l", late).withColumn("session", F.sum("_l").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_l")
 
 
-def spaced(df: DataFrame, key: str, gap: float) -> DataFrame:
-    """Times more than ``gap`` seconds after the last kept one of their key, the first being kept.
-
-    A row that far after the row before it is kept whatever was kept before, so the fold starts anew there: a group is a
-    chain of close rows, not a whole key.
-    """
-    chains = sessions(df, key, ["ts"], gap).groupBy(key, "session").agg(F.array_sort(F.collect_set(F.unix_micros("ts"))).alias("t"))
-    step = F.lit(int(gap * 1_000_000))
-    kept = F.aggregate("t", F.array().cast("array<bigint>"), lambda acc, x: F.when((F.size(acc) == 0) | (x > F.element_at(acc, -1) + step), F.concat(acc, F.array(x))).otherwise(acc))
-    return chains.select(key, F.explode(kept).alias("_t")).select(key, F.timestamp_micros("_t").alias("ts"))
-
-
 def as_of(left: DataFrame, right: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
     """Each left row with the latest right ``value`` at or before it: one union and one window, no range join."""
     both = left.select(key, order, F.lit(1).alias("_s"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.schema[value].dataType).alias(name))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import quantiles as Q
+from ..operators import series
 from ..operators import timeline as T
 from ..sources import files, sinks
 from ..streaming import events as E
@@ -85,7 +87,8 @@ STREAM_DISTINCT = "SELECT DISTINCT user_id, event_type, epoch_us(ts) // 86400000
 
 def spaced(spark, d):
     """Purchases more than 6 hours after the last kept one of their user."""
-    return T.spaced(ev(spark, d).filter("event_type = 'purchase'"), "user_id", HOURS * 3600.0).select("user_id", F.unix_micros("ts").alias("kept_us"))
+    df = ev(spark, d).filter("event_type = 'purchase'").withColumn("t", F.unix_micros("ts"))
+    return series.leaps(df, "user_id", "t", HOURS * 3_600_000_000 + 1).select("user_id", F.col("t").alias("kept_us"))
 
 
 SPACED = """WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS t FROM events WHERE event_type = 'purchase'),
@@ -104,8 +107,8 @@ TRAILING = f"SELECT event_id, round(avg(value) OVER w, 6) AS trailing_mean, roun
 def mad(spark, d):
     """Values over their user's median by more than 1.5 median absolute deviations."""
     df = ev(spark, d).select("event_id", "user_id", "value")
-    df = df.withColumn("med", F.percentile("value", F.lit(0.5)).over(Window.partitionBy("user_id")))
-    df = df.withColumn("mad", F.percentile(F.abs(F.col("value") - F.col("med")), F.lit(0.5)).over(Window.partitionBy("user_id")))
+    df = Q.beside(df, ["user_id"], "value", {"med": 0.5})
+    df = Q.beside(df.withColumn("dev", F.abs(F.col("value") - F.col("med"))), ["user_id"], "dev", {"mad": 0.5})
     return df.select("event_id", r("med").alias("med"), r("mad").alias("mad"), (F.col("value") > F.col("med") + 1.5 * F.col("mad")).alias("high"))
 
 
@@ -154,8 +157,8 @@ SELECT event_id, n, greatest(t - 3600000000, a) AS start_us, least(t + 360000000
 def peaks(spark, d):
     """Local maxima over the user's 75th percentile, those closer than a day merged, the strongest kept."""
     w = by_user()
-    v, p75 = F.col("value"), F.percentile("value", F.lit(0.75)).over(Window.partitionBy("user_id"))
-    df = ev(spark, d).withColumn("peak", (v > p75) & (v > F.coalesce(F.lag(v).over(w), F.lit(float("-inf")))) & (v >= F.coalesce(F.lead(v).over(w), F.lit(float("-inf")))))
+    v = F.col("value")
+    df = Q.beside(ev(spark, d), ["user_id"], "value", {"p75": 0.75}).withColumn("peak", (v > F.col("p75")) & (v > F.coalesce(F.lag(v).over(w), F.lit(float("-inf")))) & (v >= F.coalesce(F.lead(v).over(w), F.lit(float("-inf")))))
     groups = T.sessions(df.filter("peak"), "user_id", ["ts", "event_id"], 86400.0)
     return groups.groupBy("user_id", "session").agg(F.max(F.struct("value", "event_id")).alias("x"), F.count("*").alias("n")).select("user_id", "x.event_id", "n")
 

@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import folds as D
+from ..operators import quantiles as Q
+from ..operators import series
 from ..operators import timeline as T
 from ..streaming import events as E
 from .flow_queries import W, by_user, ev, r
@@ -24,7 +26,7 @@ def timed(spark, d):
 def merged(spark, d):
     """Runs of one event type; those that begin under 12 hours after the last kept start are merged into it."""
     runs = T.runs(ev(spark, d), "user_id", ["ts", "event_id"], "event_type").withColumn("t", F.unix_micros("start"))
-    return D.folded(runs, "user_id", ["t", "run"], ["t"], "user_id long, start_us long, runs long", D.merged_starts(12 * HOUR))
+    return series.leaps(runs, "user_id", "t", 12 * HOUR).select("user_id", F.col("t").alias("start_us"), F.col("n").alias("runs"))
 
 
 MERGED = f"""WITH RECURSIVE c AS (SELECT *, CASE WHEN event_type = lag(event_type) {W} THEN 0 ELSE 1 END AS c FROM events),
@@ -52,7 +54,7 @@ SELECT user_id, CAST(scene AS BIGINT) AS scene, first_event, CAST(max(shots) AS
 def flashes(spark, d):
     """Short excursions of the change between a user's rows, from the 85th percentile on."""
     df = timed(spark, d).withColumn("change", F.abs(F.col("value") - F.lag("value").over(by_user()))).filter("change is not null")
-    df = df.withColumn("bar", F.percentile("change", F.lit(0.85)).over(whole()))
+    df = Q.beside(df, ["user_id"], "change", {"bar": 0.85})
     return D.folded(df, "user_id", ["t", "event_id"], ["change", "bar"], "user_id long, first_row long, last_row long", D.flashes(2, 15))
 
 
@@ -86,14 +88,12 @@ SELECT user_id, ref_n, pred_n, tp, round(p, 6) AS precision, round(r, 6) AS reca
 def peaks(spark, d):
     """Strict local maxima at or over the user's mean, 24 hours apart at least, the higher ones first.
 
-    Candidates further apart than that never meet, so the choice is made within chains of close ones.
+    Candidates further apart than that never meet, so the choice is made chain by chain of close ones.
     """
     w = by_user()
     df = timed(spark, d).withColumns({"mean": F.avg("value").over(whole()), "before": F.lag("value").over(w), "after": F.lead("value").over(w)})
     df = df.filter((F.col("value") > F.col("before")) & (F.col("value") > F.col("after")) & (F.col("value") >= F.col("mean")))
-    chains = T.sessions(df, "user_id", ["ts", "event_id"], 86_400.0).groupBy("user_id", "session").agg(F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("down"), "event_id", "t"))).alias("x"))
-    keep = F.aggregate("x", F.slice("x", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda y: F.abs(y["t"] - x["t"]) < 24 * HOUR), acc).otherwise(F.concat(acc, F.array(x))))
-    return chains.select("user_id", F.explode(keep).alias("p")).select("user_id", "p.event_id")
+    return D.folded(df, "user_id", ["t", "event_id"], ["t", "value", "event_id"], "user_id long, event_id long", D.spread_peaks(24 * HOUR))
 
 
 PEAKS = f"""WITH RECURSIVE v AS (SELECT user_id, event_id, value, epoch_us(ts) AS t, avg(value) OVER (PARTITION BY user_id) AS mean, lag(value) {W} AS b, lead(value) {W} AS a FROM events),
@@ -124,7 +124,7 @@ def motion(spark, d):
     """Rows whose variance over five rows is beyond the user's 90th percentile (speed_ramp), or else whose step is (whip)."""
     w = by_user()
     df = ev(spark, d).withColumns({"var": F.var_pop("value").over(w.rowsBetween(-2, 2)), "step": F.abs(F.col("value") - F.lag("value").over(w))})
-    df = df.withColumns({"var90": F.percentile("var", F.lit(0.9)).over(whole()), "step90": F.percentile("step", F.lit(0.9)).over(whole())})
+    df = Q.beside(Q.beside(df, ["user_id"], "var", {"var90": 0.9}), ["user_id"], "step", {"step90": 0.9})
     kind = F.when(F.col("var") > F.col("var90"), "speed_ramp").when(F.col("step") > F.col("step90"), "whip")
     return df.select("event_id", kind.alias("kind"), r("var").alias("variance")).filter("kind is not null")
 
@@ -168,23 +168,16 @@ s AS (SELECT *, {' + '.join(WEIGHTS)} AS score, list_max([{', '.join(f"{{'x': ro
 w AS (SELECT *, lag(score) OVER o AS b, lead(score) OVER o AS a, avg(score) OVER (PARTITION BY user_id) + stddev_pop(score) OVER (PARTITION BY user_id) AS bar FROM s WINDOW o AS (PARTITION BY user_id ORDER BY day))
 SELECT user_id, strftime(day, '%Y-%m-%d') AS day, top, round(score, 6) AS score FROM w WHERE score > bar AND score > coalesce(a, 0) AND score > coalesce(b, 0)"""
 
-BAND = range(2, 41)
+#: Cycles a day of a period that is looked for.
+SLOWEST, FASTEST = 0.1, 5.0
 
 
 def periodicity(spark, d):
-    """The strongest of 39 frequencies of each type's hourly counts, detrended under a Hann window, against their median."""
+    """The strongest of all frequencies between 0.1 and 5 cycles a day of each type's hourly counts, detrended under a Hann
+    window, against their median."""
     h = ev(spark, d).groupBy("event_type", F.floor(F.unix_micros("ts") / HOUR).alias("h")).agg(F.count("*").alias("c"))
-    span = h.groupBy("event_type").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
-    every = span.select("event_type", "lo", (F.col("hi") - F.col("lo") + 1).alias("n"), F.explode(F.sequence("lo", "hi")).alias("h"))
-    x = every.join(h, ["event_type", "h"], "left").select("event_type", "n", (F.col("h") - F.col("lo")).alias("i"), F.coalesce("c", F.lit(0)).cast("double").alias("x"))
-    line = x.groupBy("event_type").agg(F.regr_slope("x", "i").alias("slope"), F.regr_intercept("x", "i").alias("cut"))
-    hann = 0.5 - 0.5 * F.cos(2 * F.pi() * F.col("i") / F.greatest(F.col("n") - 1, F.lit(1)))
-    y = x.join(line, "event_type").select("event_type", "n", "i", ((F.col("x") - F.col("cut") - F.col("slope") * F.col("i")) * hann).alias("y"), F.explode(F.array(*map(F.lit, BAND))).alias("k"))
-    a = 2 * F.pi() * F.col("k") * F.col("i") / F.col("n")
-    power = y.groupBy("event_type", "n", "k").agg((F.sum(F.col("y") * F.cos(a)) ** 2 + F.sum(F.col("y") * F.sin(a)) ** 2).alias("power"))
-    top = power.groupBy("event_type", "n").agg(F.max(F.struct("power", "k")).alias("top"), F.percentile("power", 0.5).alias("median"))
-    s = F.col("top.power") / (F.col("median") + 1e-10)
-    return top.select("event_type", F.col("top.k").alias("cycles"), r(F.col("n") / F.col("top.k")).alias("period_hours"), F.round(s, 4).alias("significance"), (s > 2).alias("periodic"))
+    got = series.strongest_period(h, "event_type", "h", "c", SLOWEST / 24, FASTEST / 24)
+    return got.select("event_type", "cycles", r("period").alias("period_hours"), F.round("significance", 4).alias("significance"), (F.col("significance") > 2).alias("periodic"))
 
 
 PERIODICITY = f"""WITH h AS (SELECT event_type, epoch_us(ts) // {HOUR} AS h, count(*) AS c FROM events GROUP BY 1, 2),
@@ -192,9 +185,10 @@ s AS (SELECT event_type, min(h) AS lo, max(h) - min(h) + 1 AS n FROM h GROUP BY
 e AS (SELECT event_type, n, lo, unnest(range(n)) AS i FROM s),
 x AS (SELECT e.event_type, n, i, CAST(coalesce(c, 0) AS DOUBLE) AS x FROM e LEFT JOIN h ON h.event_type = e.event_type AND h.h = e.lo + e.i),
 l AS (SELECT event_type, regr_slope(x, i) AS slope, regr_intercept(x, i) AS cut FROM x GROUP BY 1),
-y AS (SELECT event_type, n, i, (x - cut - slope * i) * (0.5 - 0.5 * cos(2 * pi() * i / greatest(n - 1, 1))) AS y, unnest(range({BAND.start}, {BAND.stop})) AS k FROM x JOIN l USING (event_type)),
+k AS (SELECT event_type, n, unnest(range(1, (n + 1) // 2)) AS k FROM s), b AS (SELECT * FROM k WHERE k / n > {SLOWEST} / 24 AND k / n < {FASTEST} / 24),
+y AS (SELECT x.event_type, x.n, i, (x - cut - slope * i) * (0.5 - 0.5 * cos(2 * pi() * i / greatest(x.n - 1, 1))) AS y, k FROM x JOIN l USING (event_type) JOIN b ON b.event_type = x.event_type),
 p AS (SELECT event_type, n, k, sum(y * cos(2 * pi() * k * i / n)) ** 2 + sum(y * sin(2 * pi() * k * i / n)) ** 2 AS power FROM y GROUP BY 1, 2, 3)
-SELECT event_type, CAST(arg_max(k, power) AS INTEGER) AS cycles, round(n / arg_max(k, power), 6) AS period_hours, round(max(power) / (median(power) + 1e-10), 4) AS significance, max(power) / (median(power) + 1e-10) > 2 AS periodic FROM p GROUP BY event_type, n"""
+SELECT event_type, CAST(arg_max(k, power) AS BIGINT) AS cycles, round(n / arg_max(k, power), 6) AS period_hours, round(max(power) / (median(power) + 1e-10), 4) AS significance, max(power) / (median(power) + 1e-10) > 2 AS periodic FROM p GROUP BY event_type, n"""
 
 
 def stream_trailing(spark, d):

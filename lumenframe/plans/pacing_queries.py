@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..operators import folds
 from ..operators import quantiles as Q
+from ..operators import series
 from .timeline_queries import W, ev, r
 
 HOUR = 3_600_000_000
@@ -297,7 +298,52 @@ SEGMENTS = f"""WITH RECURSIVE o AS MATERIALIZED (SELECT user_id, epoch_us(ts) /
 UNION ALL SELECT o.user_id, o.k, o.t, CASE WHEN o.t - s.t > 12 OR o.t - s.start > 48 THEN o.t ELSE s.start END FROM s JOIN o ON o.user_id = s.user_id AND o.k = s.k + 1)
 SELECT user_id, round(start, 6) AS start, round(max(t), 6) AS "end", count(*) AS n FROM s GROUP BY user_id, start"""
 
+# Window and stride of each family, in seconds.
+FAMILIES = {"tempo": (15, 5), "asr": (30, 25), "diarization": (2, 2), "emotion": (4, 2), "separation": (15, 15), "primary": (2, 2)}
+
+
+def families(spark, d):
+    """Windows of six families over each user's length: how many, how many are cut at the end, and the rows that they hold (a row
+    counts for each window it is in)."""
+    df = shots(spark, d).select("user_id", "length_s", ((F.col("us") - F.col("first")) / HOUR).alias("t"))
+    rows = F.array(*(F.struct(F.lit(k).alias("family"), F.lit(float(w)).alias("w"), F.lit(float(s)).alias("s")) for k, (w, s) in FAMILIES.items()))
+    df = df.select("user_id", "length_s", "t", F.inline(rows))
+    n = F.greatest(F.lit(1), F.ceil(F.col("length_s") / F.col("s")))
+    held = F.least(n - 1, F.floor(F.col("t") / F.col("s"))) - F.greatest(F.lit(0), F.floor((F.col("t") - F.col("w")) / F.col("s")) + 1) + 1
+    whole = F.greatest(F.lit(0), F.floor((F.col("length_s") - F.col("w")) / F.col("s")) + 1)
+    return df.groupBy("user_id", "family").agg(F.max(n).alias("windows"), F.max(n - F.least(n, whole)).alias("cut"), F.sum(F.greatest(F.lit(0), held)).alias("rows_held"))
+
+
+FAMILIES_SQL = f"""WITH {SHOTS}, f AS (SELECT user_id, length_s, (us - first) / {HOUR} AS t, family, w, s, greatest(1, ceil(length_s / s)) AS n FROM shots CROSS JOIN (VALUES {', '.join(f"('{k}', {w}.0::DOUBLE, {s}.0::DOUBLE)" for k, (w, s) in FAMILIES.items())}) v(family, w, s)),
+u AS (SELECT DISTINCT user_id, family, length_s, w, s, unnest(range(0, n::BIGINT)) AS k, n FROM (SELECT DISTINCT user_id, family, length_s, w, s, n FROM f)), c AS (SELECT user_id, family, count(*) AS windows, count(*) FILTER (k * s + w > length_s) AS cut FROM u GROUP BY 1, 2),
+h AS (SELECT f.user_id, f.family, count(*) AS rows_held FROM f JOIN u ON u.user_id = f.user_id AND u.family = f.family AND t >= k * f.s AND t < k * f.s + f.w GROUP BY 1, 2) SELECT user_id, family, windows, cut, coalesce(rows_held, 0) AS rows_held FROM c LEFT JOIN h USING (user_id, family)"""
+
+#: Deviations over the median from which each of three signals tells a cut; rows between kept cuts.
+TRIGGERS, APART = {"hist": 2.0, "ssim": 1.5, "flow": 2.0}, 5
+
+
+def hard_cuts(spark, d):
+    """Steps at which two or three of three signals are over their adaptive thresholds, more than five rows after the last kept
+    one, with the number of signals as strength."""
+    w = by_user()
+    df = ev(spark, d).select("user_id", "ts", "event_id", F.col("value").alias("a"), (F.col("event_id") * 13 % 97 / 97).alias("b"), F.sqrt("value").alias("c"))
+    df = df.select("user_id", F.row_number().over(w).alias("place"), *(F.abs(F.col(x) - F.lag(x).over(w)).alias(k) for x, k in zip("abc", TRIGGERS, strict=True))).filter("hist is not null")
+    whole = Window.partitionBy("user_id")
+    for k in TRIGGERS:
+        df = Q.beside(df, ["user_id"], k, {f"{k}_mid": 0.5})
+    score = sum(((F.col(k) > F.col(f"{k}_mid") + n * F.stddev_pop(k).over(whole)).cast("int") for k, n in TRIGGERS.items()), F.lit(0))
+    found = df.withColumn("strength", score).filter("strength >= 2").select("user_id", F.col("place").cast("long").alias("place"), F.col("strength").cast("long").alias("strength"))
+    kept = series.leaps(found, "user_id", "place", APART + 1).select("user_id", F.col("t").alias("place"))
+    return kept.join(found, ["user_id", "place"])
+
+
+HARD_CUTS = f"""WITH RECURSIVE e AS (SELECT user_id, ts, event_id, value AS a, event_id * 13 % 97 / 97 AS b, sqrt(value) AS c FROM events), s AS (SELECT user_id, row_number() {W} AS place, {', '.join(f'abs({x} - lag({x}) {W}) AS {k}' for x, k in zip('abc', TRIGGERS, strict=True))} FROM e),
+t AS (SELECT user_id, place, {' + '.join(f'({k} > median({k}) OVER u + {n} * stddev_pop({k}) OVER u)::INT' for k, n in TRIGGERS.items())} AS strength FROM s WHERE hist IS NOT NULL WINDOW u AS (PARTITION BY user_id)), c AS MATERIALIZED (SELECT * FROM t WHERE strength >= 2),
+f(user_id, place) AS (SELECT user_id, min(place) FROM c GROUP BY 1 UNION ALL SELECT f.user_id, min(c.place) FROM f JOIN c ON c.user_id = f.user_id AND c.place > f.place + {APART} GROUP BY f.user_id)
+SELECT user_id, place, strength::BIGINT AS strength FROM f JOIN c USING (user_id, place)"""
+
 _ALL = {
+    "e2_families": (families, FAMILIES_SQL), "e5_hard_cuts": (hard_cuts, HARD_CUTS),
     "a1_shot_statistics": (shot_statistics, SHOT_STATISTICS), "a2_cut_timing": (cut_timing, CUT_TIMING), "a4_edit_style": (edit_style, EDIT_STYLE), "a13_content_change": (content_change, CONTENT_CHANGE), "a14_light_spikes": (light_spikes, LIGHT_SPIKES),
     "a17_profile": (profile, PROFILE), "a18_sequence_quality": (sequence_quality, SEQUENCE_QUALITY), "a7_scene_figures": (scene_figures, SCENE_FIGURES), "a8_video_figures": (video_figures, VIDEO_FIGURES), "e3_bounded_segments": (segments, SEGMENTS),
 }

@@ -47,7 +47,7 @@ def projected(spark, d):
     low = lambda v: V.unit(F.transform(F.sequence(F.lit(1), F.lit(REDUCED)), lambda j: V.dot(v, F.transform(F.sequence(F.lit(1), F.size(v)), lambda i: F.cos(i * j)))))
     c = S.centroids(emb(spark, d), "label", "embedding").select("label", low(F.col("centroid")).alias("c"))
     all_ = c.agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs"))  # a row a label
-    df = emb(spark, d).select("vec_id", low(F.col("embedding")).alias("v")).crossJoin(F.broadcast(all_))
+    df = emb(spark, d).select("vec_id", low(F.col("embedding")).alias("v")).crossJoin(all_)
     best = F.array_max(F.transform("cs", lambda x: F.struct(V.dot(F.col("v"), x["c"]).alias("s"), (-x["label"]).alias("less"))))
     return df.select("vec_id", best.alias("b")).select("vec_id", (-F.col("b.less")).cast("long").alias("cluster"), F.round("b.s", 4).alias("similarity"), F.round(1 - F.col("b.s"), 4).alias("distance"))
 

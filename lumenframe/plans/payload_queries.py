@@ -114,7 +114,8 @@ def pools(spark, d, bins: int = 8, most: int = 3):
     """Mean, greatest and median of eight even bins of a user's rows, and its three strongest events, padded with nulls."""
     w = Window.partitionBy("user_id")
     df = ev(spark, d).withColumn("n", F.count("*").over(w)).withColumn("k", F.row_number().over(w.orderBy("ts", "event_id")) - 1).withColumn("place", F.row_number().over(w.orderBy(F.desc("value"), "event_id")))
-    pooled = df.groupBy("user_id", F.floor(F.col("k") * bins / F.col("n")).alias("slot")).agg(r(F.avg("value")).alias("mean"), r(F.max("value")).alias("max"), r(F.median("value")).alias("median"))
+    slots = Q.ranked(df.withColumn("slot", F.floor(F.col("k") * bins / F.col("n"))), ["user_id", "slot"], "value")
+    pooled = slots.groupBy("user_id", "slot").agg(r(F.avg("value")).alias("mean"), r(F.max("value")).alias("max"), r(Q.at("value", 0.5)).alias("median"))
     top = df.filter(F.col("place") <= most).groupBy("user_id").agg(*(F.max(F.when(F.col("place") == i, F.col("event_id"))).alias(f"top{i}") for i in range(1, most + 1)))
     return pooled.join(top, "user_id")
 

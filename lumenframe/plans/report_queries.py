@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import quantiles as Q
 from ..streaming import events as E
 from .flow_queries import W, by_user, ev, r
 
 
 def orders_report(spark, d):
     """Quantiles and mean of order totals by priority and status."""
-    p = {f"p{q}": F.percentile("o_totalprice", q / 100) for q in (50, 90, 99)}
-    return spark.read.parquet(f"{d}/orders.parquet").groupBy("o_orderpriority", "o_orderstatus").agg(*(r(v).alias(k) for k, v in p.items()), r(F.avg("o_totalprice")).alias("mean"), F.count("*").alias("n"))
+    keys, p = ["o_orderpriority", "o_orderstatus"], {f"p{q}": q / 100 for q in (50, 90, 99)}
+    df = spark.read.parquet(f"{d}/orders.parquet")
+    got = df.groupBy(*keys).agg(r(F.avg("o_totalprice")).alias("mean"), F.count("*").alias("n")).join(Q.grouped(df, keys, "o_totalprice", p), keys)
+    return got.withColumns({k: r(k) for k in p})
 
 
 ORDERS_REPORT = f"SELECT o_orderpriority, o_orderstatus, {', '.join(f'round(quantile_cont(o_totalprice, 0.{q}), 6) AS p{q}' for q in (50, 90, 99))}, round(avg(o_totalprice), 6) AS mean, count(*) AS n FROM orders GROUP BY 1, 2"
@@ -69,8 +72,8 @@ def intervals(spark, d):
     t = F.unix_micros("ts") / 1e6
     df = ev(spark, d).select("user_id", (t - F.lag(t).over(by_user())).alias("dt")).filter("dt is not null")
     short, long = F.avg((F.col("dt") < 3600).cast("int")), F.avg((F.col("dt") > 86400).cast("int"))
-    q = [r(F.percentile("dt", x / 100)).alias(f"p{x}") for x in (10, 25, 75, 90)]
-    return df.groupBy("user_id").agg(r(short).alias("short"), r(long).alias("long"), *q, r(1 / (1 + F.stddev_pop("dt") / F.avg("dt"))).alias("regularity"))
+    q = [r(Q.at("dt", x / 100)).alias(f"p{x}") for x in (10, 25, 75, 90)]
+    return Q.ranked(df, ["user_id"], "dt").groupBy("user_id").agg(r(short).alias("short"), r(long).alias("long"), *q, r(1 / (1 + F.stddev_pop("dt") / F.avg("dt"))).alias("regularity"))
 
 
 INTERVALS = f"""WITH x AS (SELECT user_id, epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) {W} AS dt FROM events)

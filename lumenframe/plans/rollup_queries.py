@@ -233,7 +233,7 @@ def horizons(spark, d):
     df = ev(spark, d).withColumn("us", us)
     end = df.agg(F.max("us").alias("end"))
     got = df.withColumn("d1", after(1)).withColumn("d3", after(3)).filter("event_type = 'purchase'")
-    return got.crossJoin(F.broadcast(end)).select("event_id", r(F.log1p("d1")).alias("within_1d"), r(F.log1p("d3")).alias("within_3d"), r((F.col("end") - F.col("us")) / HOUR).alias("age_hours"))
+    return got.crossJoin(end).select("event_id", r(F.log1p("d1")).alias("within_1d"), r(F.log1p("d3")).alias("within_3d"), r((F.col("end") - F.col("us")) / HOUR).alias("age_hours"))
 
 
 HORIZONS = f"""WITH a AS (SELECT *, epoch_us(ts) AS us, {', '.join(f'coalesce(sum(value) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 1 FOLLOWING AND {n * 86_400_000_000} FOLLOWING), 0) AS d{n}' for n in (1, 3))} FROM events)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import signal as G
 from ..functions import vectors as V
+from ..operators import quantiles as Q
+from ..operators import series
 from ..operators import timeline as T
 from .flow_queries import W, by_user, ev, r
 
-LAGS = range(1, 11)
-
 
 def whole():
     return Window.partitionBy("user_id")
@@ -43,17 +43,13 @@ FROM events WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN
 
 
 def autocorrelation(spark, d):
-    """The lag of 1 to 10 rows with the highest autocorrelation per user."""
-    df = ev(spark, d).withColumn("x", F.col("value") - F.avg("value").over(whole()))
-    df = df.select("user_id", "x", *(F.lag("x", k).over(by_user()).alias(f"x{k}") for k in LAGS))
-    got = df.groupBy("user_id").agg(F.array(*(F.coalesce(F.sum(F.col("x") * F.col(f"x{k}")) / F.sum(F.col("x") * F.col("x")), F.lit(-2.0)) for k in LAGS)).alias("c"))
-    return got.select("user_id", F.array_position("c", F.array_max("c")).alias("lag"), r(F.array_max("c")).alias("correlation"))
+    """The lag of a row or more with the highest autocorrelation of each user's values, over all lags there are."""
+    return series.best_lag(ev(spark, d), "user_id", ["ts", "event_id"], "value").select("user_id", "lag", r("correlation").alias("correlation"))
 
 
-AUTOCORRELATION = f"""WITH x AS (SELECT user_id, ts, event_id, value - avg(value) OVER (PARTITION BY user_id) AS x FROM events),
-l AS (SELECT user_id, x, {', '.join(f'lag(x, {k}) {W} AS x{k}' for k in LAGS)} FROM x),
-c AS (SELECT user_id, [{', '.join(f'CASE WHEN sum(x * x) > 0 THEN coalesce(sum(x * x{k}) / sum(x * x), -2.0) ELSE -2.0 END' for k in LAGS)}] AS c FROM l GROUP BY 1)
-SELECT user_id, CAST(list_position(c, list_max(c)) AS BIGINT) AS lag, round(list_max(c), 6) AS correlation FROM c"""
+AUTOCORRELATION = f"""WITH x AS (SELECT user_id, value - avg(value) OVER (PARTITION BY user_id) AS x, row_number() {W} AS k FROM events), v AS (SELECT user_id, sum(x * x) AS v FROM x GROUP BY 1),
+c AS (SELECT a.user_id, b.k - a.k AS lag, sum(a.x * b.x) AS c FROM x a JOIN x b ON a.user_id = b.user_id AND b.k > a.k GROUP BY 1, 2), m AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, lag) AS n FROM c)
+SELECT user_id, lag, round(CASE WHEN v > 0 THEN c / v ELSE 0 END, 6) AS correlation FROM m JOIN v USING (user_id) WHERE n = 1"""
 
 
 def circular(spark, d):
@@ -74,8 +70,8 @@ SELECT user_id, round(atan2(s, c), 6) AS mean_angle, round(sqrt(greatest(-2 * ln
 
 def stable_mean(spark, d):
     """Mean of the values within four median absolute deviations of their user's median, and the spikes above."""
-    df = ev(spark, d).select("user_id", "value").withColumn("med", F.percentile("value", F.lit(0.5)).over(whole()))
-    df = df.withColumn("mad", F.percentile(F.abs(F.col("value") - F.col("med")), F.lit(0.5)).over(whole()))
+    df = Q.beside(ev(spark, d).select("user_id", "value"), ["user_id"], "value", {"med": 0.5})
+    df = Q.beside(df.withColumn("dev", F.abs(F.col("value") - F.col("med"))), ["user_id"], "dev", {"mad": 0.5})
     own = F.abs(F.col("value") - F.col("med")) <= 4 * F.col("mad")
     return df.groupBy("user_id").agg(r(F.avg(F.when(own, F.col("value")))).alias("stable_mean"), F.sum(F.when(F.col("value") > F.col("med") + 4 * F.col("mad"), 1).otherwise(0)).alias("spikes"))
 
@@ -88,7 +84,7 @@ SELECT user_id, round(avg(value) FILTER (abs(value - med) <= 4 * mad), 6) AS sta
 def story(spark, d):
     """Per user: mean of the first 15 % of the time, the climax and its place, the share of rows at the 90th percentile or over."""
     t, w = F.unix_micros("ts"), whole()
-    df = ev(spark, d).withColumn("a", F.min(t).over(w)).withColumn("b", F.max(t).over(w)).withColumn("p90", F.percentile("value", F.lit(0.9)).over(w))
+    df = Q.beside(ev(spark, d), ["user_id"], "value", {"p90": 0.9}).withColumn("a", F.min(t).over(w)).withColumn("b", F.max(t).over(w))
     df = df.withColumn("at", F.when(F.col("b") > F.col("a"), (t - F.col("a")) / (F.col("b") - F.col("a"))).otherwise(F.lit(0.0)))
     top = F.max(F.struct("value", "event_id", "at"))
     got = df.groupBy("user_id").agg(F.avg(F.when(F.col("at") <= 0.15, F.col("value"))).alias("hook"), top.alias("top"), F.avg((F.col("value") >= F.col("p90")).cast("int")).alias("peaks"))
@@ -130,7 +126,7 @@ def quarters(spark, d):
     """Median value of each quarter of a user's rows."""
     n = F.count("*").over(whole())
     df = ev(spark, d).select("user_id", "value", F.floor((F.row_number().over(by_user()) - 1) * 4 / n).alias("quarter"))
-    return df.groupBy("user_id", "quarter").agg(r(F.percentile("value", 0.5)).alias("median"), F.count("*").alias("n"))
+    return Q.ranked(df, ["user_id", "quarter"], "value").groupBy("user_id", "quarter").agg(r(Q.at("value", 0.5)).alias("median"), F.count("*").alias("n"))
 
 
 QUARTERS = f"""WITH q AS (SELECT user_id, value, (row_number() {W} - 1) * 4 // count(*) OVER (PARTITION BY user_id) AS quarter FROM events)

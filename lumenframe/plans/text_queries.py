@@ -56,13 +56,19 @@ TAG = r"#[\p{L}\p{N}_-]+"
 
 
 def hashtags(spark, d):
-    tags = F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TAG), F.lit(0)), F.lower))
-    return docs(spark, d).select("doc_id", F.size(tags).cast("long").alias("n_tags"), F.array_join(F.array_sort(tags), " ").alias("tags"), F.char_length(T.clean(F.regexp_replace("text", TAG, " "))).cast("long").alias("n_without"))
+    """Tags in lower case, each once, those of the title (first line) before those of the rest, in their order."""
+    text = F.coalesce("text", F.lit(""))
+    title = F.substring_index(text, "\n", 1)
+    rest = F.expr("substring(coalesce(text, ''), length(substring_index(coalesce(text, ''), '\\n', 1)) + 1)")
+    found = lambda c: F.transform(F.regexp_extract_all(c, F.lit(TAG), F.lit(0)), F.lower)
+    tags = F.array_distinct(F.concat(found(title), found(rest)))
+    return docs(spark, d).select("doc_id", F.size(tags).cast("long").alias("n_tags"), F.array_join(tags, " ").alias("tags"), F.char_length(T.clean(F.regexp_replace("text", TAG, " "))).cast("long").alias("n_without"))
 
 
 HASHTAGS = rf"""
-WITH t AS (SELECT doc_id, text, list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '{TAG}'), lambda x: lower(x))) AS g FROM documents)
-SELECT doc_id, len(g) AS n_tags, coalesce(array_to_string(list_sort(g), ' '), '') AS tags, length({SQL_CLEAN.format(f"regexp_replace(text, '{TAG}', ' ', 'g')")}) AS n_without FROM t"""
+WITH t AS (SELECT doc_id, text, list_transform(regexp_extract_all(split_part(coalesce(text, ''), chr(10), 1), '{TAG}') || regexp_extract_all(substring(coalesce(text, ''), length(split_part(coalesce(text, ''), chr(10), 1)) + 1), '{TAG}'), lambda x: lower(x)) AS g FROM documents),
+u AS (SELECT doc_id, text, list_filter(g, lambda x, i: list_position(g, x) = i) AS g FROM t)
+SELECT doc_id, len(g) AS n_tags, coalesce(array_to_string(g, ' '), '') AS tags, length({SQL_CLEAN.format(f"regexp_replace(text, '{TAG}', ' ', 'g')")}) AS n_without FROM u"""
 
 PATTERNS = {"n_urls": r"https?://[^ \t\n\r\"'<>]+", "n_mentions": r"@[A-Za-z0-9_.]+", "n_times": r"[0-9]{1,2}:[0-9]{2}", "n_numbers": r"[0-9]+", "n_exclamations": "!", "n_questions": r"\?"}
 
@@ -76,28 +82,35 @@ PATTERNS_SQL = "SELECT page_id, " + ", ".join("len(regexp_extract_all(coalesce(h
 
 
 def chunks(spark, d, size: int = 40):
-    df = docs(spark, d).withColumn("w", F.filter(F.split(T.clean(F.col("text")), " "), lambda x: x != ""))
-    parts = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.floor((F.size("w") - 1) / size).cast("int")))
-    df = df.select("doc_id", "w", F.explode(parts).alias("chunk"))
-    own = F.slice("w", F.col("chunk") * size + 1, F.lit(size))
-    return df.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.size(own).cast("long").alias("n_words"), F.sha1(F.array_join(own, " ")).alias("chunk_hash"))
+    """The sentences between full stops, or chunks of 40 words where there are fewer than three."""
+    df = docs(spark, d).withColumn("x", T.clean(F.col("text"))).filter("x <> ''")
+    parts = F.filter(F.transform(F.split("x", "[.]"), lambda s: F.trim(s)), lambda s: s != "")
+    w = F.filter(F.split("x", " "), lambda s: s != "")
+    starts = F.sequence(F.lit(0), F.floor((F.size(w) - 1) / size).cast("int"))
+    fallback = F.transform(starts, lambda k: F.array_join(F.slice(w, k * size + 1, F.lit(size)), " "))
+    df = df.select("doc_id", F.posexplode(F.when(F.size(parts) < 3, fallback).otherwise(parts)).alias("chunk", "c"))
+    return df.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.size(F.split("c", " ")).cast("long").alias("n_words"), F.sha1("c").alias("chunk_hash"))
 
 
 CHUNKS = rf"""
-WITH t AS (SELECT doc_id, list_filter(string_split({SQL_CLEAN.format('text')}, ' '), lambda x: x <> '') AS w FROM documents),
-c AS (SELECT doc_id, w, unnest(range(0, (len(w) + 39) // 40)) AS chunk FROM t)
-SELECT doc_id, chunk, len(w[chunk * 40 + 1 : chunk * 40 + 40]) AS n_words, sha1(array_to_string(w[chunk * 40 + 1 : chunk * 40 + 40], ' ')) AS chunk_hash FROM c"""
+WITH t AS (SELECT doc_id, {SQL_CLEAN.format('text')} AS x FROM documents), s AS (SELECT doc_id, list_filter(list_transform(string_split(x, '.'), lambda s: trim(s, ' ')), lambda s: s <> '') AS s, list_filter(string_split(x, ' '), lambda s: s <> '') AS w FROM t WHERE x <> ''),
+c AS (SELECT doc_id, CASE WHEN len(s) < 3 THEN list_transform(range(0, (len(w) + 39) // 40), lambda k: array_to_string(w[k * 40 + 1 : k * 40 + 40], ' ')) ELSE s END AS c FROM s), e AS (SELECT doc_id, unnest(range(len(c))) AS chunk, unnest(c) AS c FROM c)
+SELECT doc_id, chunk, len(string_split(c, ' ')) AS n_words, sha1(c) AS chunk_hash FROM e"""
 
 
 def keyphrases(spark, d, k: int = 10):
-    terms = docs(spark, d).select("source", F.explode(F.transform(T.words(F.col("text")), F.lower)).alias("term")).filter(F.char_length("term") > 2)
+    """The most frequent terms of three letters or more in each source's dominant cluster (its commonest language)."""
+    df = docs(spark, d)
+    tops = df.filter("lang is not null").groupBy("source", "lang").agg(F.count("*").alias("c")).groupBy("source").agg(F.min(F.struct((-F.col("c")).alias("less"), "lang")).alias("x")).select("source", F.col("x.lang").alias("lang"))
+    terms = df.join(tops, ["source", "lang"]).select("source", F.explode(F.filter(F.transform(T.words(F.col("text")), F.lower), lambda x: F.char_length(x) > 2)).alias("term"))
     n = terms.groupBy("source", "term").agg(F.count("*").alias("n"))
     w = Window.partitionBy("source").orderBy(F.col("n").desc(), "term")
     return n.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
 KEYPHRASES = rf"""
-WITH t AS (SELECT source, unnest(list_transform(regexp_extract_all({SQL_CLEAN.format('text')}, '{SQL_WORD}'), lambda x: lower(x))) AS term FROM documents),
+WITH c AS (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS k FROM documents WHERE lang IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT d.source, unnest(list_transform(regexp_extract_all({SQL_CLEAN.format('text')}, '{SQL_WORD}'), lambda x: lower(x))) AS term FROM documents d JOIN c ON c.source = d.source AND c.lang = d.lang AND k = 1),
 n AS (SELECT source, term, count(*) AS n FROM t WHERE length(term) > 2 GROUP BY 1, 2)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, term) AS rank FROM n) WHERE rank <= 10"""
 

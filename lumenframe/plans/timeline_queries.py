@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..operators import features as X
+from ..operators import quantiles as Q
 from ..operators import timeline as T
 from ..sources import files
 
@@ -24,7 +25,9 @@ S = "epoch_us(ts)"
 
 
 def summary(spark, d):
-    return ev(spark, d).groupBy("event_type").agg(*stats.summary(F.col("value"), "value"))
+    df = ev(spark, d).withColumn("value", stats.finite(F.col("value")))
+    q = Q.grouped(df, ["event_type"], "value", {"value__p50": 0.5, "value__p90": 0.9})
+    return df.groupBy("event_type").agg(*stats.summary(F.col("value"), "value")).join(q, "event_type").withColumns({k: r(k) for k in ("value__p50", "value__p90")})
 
 
 SUMMARY = """SELECT event_type, round(avg(value), 6) AS value__mean, round(stddev_pop(value), 6) AS value__std, round(min(value), 6) AS value__min, round(max(value), 6) AS value__max,
@@ -92,8 +95,8 @@ def intervals(spark, d):
     """Interval statistics per user: mean, median, deviation, variation, Gini, share of short ones."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     df = ev(spark, d).withColumn("x", (F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(w)) / 1e6).filter("x is not null")
-    df = df.withColumn("k", F.row_number().over(Window.partitionBy("user_id").orderBy("x", "event_id"))).withColumn("c", F.count("*").over(Window.partitionBy("user_id")))
-    return df.groupBy("user_id").agg(F.count("*").alias("n"), r(F.avg("x")).alias("mean"), r(F.percentile("x", 0.5)).alias("median"), r(F.stddev_pop("x") / F.greatest(F.avg("x"), F.lit(1e-9))).alias("variation"), r(stats.gini(F.col("x"), F.col("k"), F.col("c"))).alias("gini"), r(F.avg((F.col("x") < 3600).cast("double"))).alias("short_share"))
+    df = Q.ranked(df, ["user_id"], "x").withColumn("k", F.col("_k") + 1).withColumn("c", F.col("_n"))
+    return df.groupBy("user_id").agg(F.count("*").alias("n"), r(F.avg("x")).alias("mean"), r(Q.at("x", 0.5)).alias("median"), r(F.stddev_pop("x") / F.greatest(F.avg("x"), F.lit(1e-9))).alias("variation"), r(stats.gini(F.col("x"), F.col("k"), F.col("c"))).alias("gini"), r(F.avg((F.col("x") < 3600).cast("double"))).alias("short_share"))
 
 
 INTERVALS = f"""WITH l AS (SELECT user_id, event_id, ({S} - lag({S}) {W}) / 1e6 AS x FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY x, event_id) AS k, count(*) OVER (PARTITION BY user_id) AS c FROM l WHERE x IS NOT NULL)
@@ -112,10 +115,8 @@ TREND = f"SELECT user_id, round(regr_slope(value, {S} / 1e6 / 86400), 6) AS slop
 def outliers(spark, d):
     """Rows over three median absolute deviations from their type's median; medians are aggregates joined back, a row per type."""
     df = ev(spark, d)
-    med = df.groupBy("event_type").agg(F.percentile("value", 0.5).alias("med"))
-    dev = df.join(F.broadcast(med), "event_type")
-    mad = dev.groupBy("event_type").agg(F.percentile(F.abs(F.col("value") - F.col("med")), 0.5).alias("mad"))
-    return dev.join(F.broadcast(mad), "event_type").filter(F.abs(F.col("value") - F.col("med")) > 3 * F.col("mad")).select("event_id", "event_type", r("med").alias("median"), r("mad").alias("mad"))
+    dev = df.join(Q.grouped(df, ["event_type"], "value", {"med": 0.5}), "event_type").withColumn("dev", F.abs(F.col("value") - F.col("med")))
+    return dev.join(Q.grouped(dev, ["event_type"], "dev", {"mad": 0.5}), "event_type").filter(F.abs(F.col("value") - F.col("med")) > 3 * F.col("mad")).select("event_id", "event_type", r("med").alias("median"), r("mad").alias("mad"))
 
 
 OUTLIERS = """WITH m AS (SELECT *, quantile_cont(value, 0.5) OVER (PARTITION BY event_type) AS med FROM events), a AS (SELECT *, quantile_cont(abs(value - med), 0.5) OVER (PARTITION BY event_type) AS mad FROM m)
@@ -126,8 +127,8 @@ def cuts(spark, d, k: float = 1.5, around: int = 3):
     """Adaptive threshold on the jump between rows: median plus k deviations; a cut with no other within 3 rows is isolated."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     df = ev(spark, d).withColumn("jump", F.abs(F.col("value") - F.lag("value").over(w))).filter("jump is not null")
-    level = df.groupBy("user_id").agg((F.percentile("jump", 0.5) + k * F.stddev_pop("jump")).alias("level"))
-    df = df.join(level, "user_id").withColumn("cut", (F.col("jump") > F.col("level")).cast("long"))
+    df = Q.beside(df, ["user_id"], "jump", {"middle": 0.5}).withColumn("level", F.col("middle") + k * F.stddev_pop("jump").over(Window.partitionBy("user_id")))
+    df = df.withColumn("cut", (F.col("jump") > F.col("level")).cast("long"))
     return df.withColumn("beside", F.sum("cut").over(w.rowsBetween(-around, around)) - F.col("cut")).filter("cut = 1").select("event_id", r("jump").alias("strength"), "beside")
 
 
@@ -141,7 +142,7 @@ def histogram(spark, d, bins: int = 20):
     df = ev(spark, d)
     span = df.groupBy("event_type").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     b = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / bins)))).otherwise(bins // 2)
-    n = df.join(F.broadcast(span), "event_type").groupBy("event_type", b.cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    n = df.join(span, "event_type").groupBy("event_type", b.cast("long").alias("bin")).agg(F.count("*").alias("n"))
     p = F.col("n") / F.sum("n").over(Window.partitionBy("event_type"))
     return n.withColumn("share", r(p))
 
@@ -217,8 +218,9 @@ BEST_WORST = "SELECT event_type, event_id, low, high FROM (SELECT *, row_number(
 
 def quantiles(spark, d):
     li = spark.read.parquet(f"{d}/lineitem.parquet")
-    p = lambda q: r(F.percentile("l_extendedprice", q))
-    return li.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), r(F.avg("l_extendedprice")).alias("mean"), p(0.5).alias("p50"), p(0.9).alias("p90"), p(0.99).alias("p99"))
+    keys, p = ["l_returnflag", "l_linestatus"], {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    got = li.groupBy(*keys).agg(F.count("*").alias("n"), r(F.avg("l_extendedprice")).alias("mean")).join(Q.grouped(li, keys, "l_extendedprice", p), keys)
+    return got.withColumns({k: r(k) for k in p})
 
 
 QUANTILES = "SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(l_extendedprice), 6) AS mean, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99 FROM lineitem GROUP BY 1, 2"

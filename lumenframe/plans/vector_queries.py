@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..operators import quantiles as Q
 from ..operators import similarity as S
 
 
@@ -43,8 +44,8 @@ SELECT vec_id, label, round(c, 6) AS similarity, round(1 - c, 6) AS distance FRO
 
 def centroid(spark, d):
     df, c = emb(spark, d), S.centroids(emb(spark, d), "label", "embedding")
-    sim = df.join(c, "label").select("label", V.cosine(F.col("embedding"), F.col("centroid")).alias("s"))
-    return sim.groupBy("label").agg(F.count("*").alias("n"), r(F.avg("s")).alias("mean"), r(F.stddev_pop("s")).alias("std"), r(F.percentile("s", 0.1)).alias("p10"), r(F.percentile("s", 0.9)).alias("p90"))
+    sim = Q.ranked(df.join(c, "label").select("label", V.cosine(F.col("embedding"), F.col("centroid")).alias("s")), ["label"], "s")
+    return sim.groupBy("label").agg(F.count("*").alias("n"), r(F.avg("s")).alias("mean"), r(F.stddev_pop("s")).alias("std"), r(Q.at("s", 0.1)).alias("p10"), r(Q.at("s", 0.9)).alias("p90"))
 
 
 CENTROID_CTE = f"""e AS (SELECT vec_id, label, {E} AS v FROM embeddings),
@@ -59,7 +60,7 @@ def cluster_entropy(spark, d, k: int = 5, temperature: float = 0.1):
     """Softmax entropy over the k nearest of the label centroids (one row per label: a table as short as the labels)."""
     c = S.centroids(emb(spark, d), "label", "embedding").select(F.col("label").alias("cluster"), "centroid")
     sims = F.transform("cs", lambda x: F.struct(V.cosine(F.col("embedding"), x["centroid"]).alias("s"), x["cluster"].alias("cluster")))
-    df = emb(spark, d).crossJoin(F.broadcast(c.agg(F.collect_list(F.struct("cluster", "centroid")).alias("cs"))))
+    df = emb(spark, d).crossJoin(c.agg(F.collect_list(F.struct("cluster", "centroid")).alias("cs")))
     top = F.slice(F.sort_array(sims, asc=False), 1, k)
     df = df.select("vec_id", top.alias("top"))
     z = F.transform("top", lambda x: F.exp((x["s"] - F.col("top")[0]["s"]) / temperature))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions import lexicon as L
-from lumenframe.operators import folds
+from lumenframe.operators import folds, series, similarity
 from lumenframe.operators import payload as P
 from lumenframe.operators import quantiles as Q
 
@@ -86,3 +86,64 @@ def test_questions_emoji_and_captions(spark):
     assert got[0]["c"] == pytest.approx(1 / 3) and got[2]["c"] == 1.0 and got[0]["x"] == "how to do it" and got[3]["x"] == ""
     cta = spark.createDataFrame([("subscribee",), ("please like it",), ("nothing",), ("",)], "x string").select(L.call_to_action(F.col("x")).alias("c")).collect()
     assert [r["c"] for r in cta] == [True, True, False, False]
+
+
+def test_leaps(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, int(t)) for k in (3, -1, 7) for t in np.sort(rng.integers(0, 5000, 400 * (k > 0) + 1))] + [(None, 5), (3, None)]
+    df = spark.createDataFrame(rows, "k long, t long").repartition(5)
+    got = sorted((r["k"], r["t"], r["n"]) for r in series.leaps(df, "k", "t", 90).collect())
+    want = []
+    for k in (-1, 3, 7):
+        kept = []
+        for t in sorted(t for x, t in rows if x == k and t is not None):
+            if not kept or t - kept[-1][1] >= 90:
+                kept.append([k, t, 0])
+            kept[-1][2] += 1
+        want += [tuple(x) for x in kept]
+    assert got == want and series.leaps(df.limit(0), "k", "t", 90).count() == 0
+
+
+def test_best_lag_and_period(spark):
+    rng = np.random.default_rng(3)
+    values = {1: np.sin(np.arange(200) / 30 * 2 * np.pi), 2: rng.normal(size=37), 3: np.array([5.0]), 4: np.ones(9)}
+    df = spark.createDataFrame([(k, i, float(v)) for k, xs in values.items() for i, v in enumerate(xs)], "k long, i long, v double")
+    got = {r["k"]: (r["lag"], r["correlation"]) for r in series.best_lag(df, "k", ["i"], "v").collect()}
+    for k in (1, 2):
+        x = values[k] - values[k].mean()
+        c = [float((x[lag:] * x[: len(x) - lag]).sum() / (x * x).sum()) for lag in range(1, len(x))]
+        assert got[k][0] == int(np.argmax(c)) + 1 and got[k][1] == pytest.approx(max(c))
+    assert 3 not in got and got[4][1] == 0.0
+    daily = spark.createDataFrame([("a", h, 10 + round(5 * np.cos(h / 24 * 2 * np.pi))) for h in range(24 * 400)] + [("b", 7, 1)], "k string, h long, c long")
+    rows = series.strongest_period(daily, "k", "h", "c", 0.1 / 24, 5 / 24).collect()
+    assert [r["k"] for r in rows] == ["a"] and rows[0]["cycles"] == 400 and rows[0]["period"] == 24.0 and rows[0]["significance"] > 100
+
+
+def test_spread_peaks_and_tracks():
+    rng = np.random.default_rng(5)
+    rows = sorted((int(t), float(v), i) for i, (t, v) in enumerate(zip(rng.integers(0, 3000, 150), rng.integers(0, 9, 150), strict=True)))
+    kept = []
+    for t, _, i in sorted(rows, key=lambda x: (-x[1], x[2])):
+        if all(abs(t - u) >= 40 for u, _ in kept):
+            kept.append((t, i))
+    assert {i for (i,) in folds.spread_peaks(40)(rows)} == {i for _, i in kept}
+    a, b = (0.0, 0.0, 10.0, 10.0), (50.0, 50.0, 60.0, 60.0)
+    boxes = [(1, 0, *a), (2, 1, *b), (3, 2, *a), (4, 6, *a), (5, 7, 1.0, 1.0, 11.0, 11.0)]
+    assert list(folds.tracked(0.3, 3)(boxes)) == [(1, 1), (2, 2), (3, 1), (4, 3), (5, 3)]
+    found = list(folds.captions(0.6, 0.8)([(1, "sale now", *a), (2, "sale now!", *a), (3, "other", *a), (4, "sale now", *b)]))
+    assert found == [(1, 0), (2, 0), (3, 1), (4, 2)]
+
+
+def test_top_k_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 64)
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((300, 8)).astype(np.float32)
+    x[10:20] = x[0]
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    got = {}
+    for r in similarity.top_k(df.filter("vec_id % 7 = 0"), df, 5).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    u = x.astype(np.float64) / (np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True) + 1e-9)
+    for q in range(0, 300, 7):
+        near = sorted(((-round(float(u[q] @ u[i]), 12), i) for i in range(300) if i != q))[:5]
+        assert [got[q][k + 1][0] for k in range(5)] == [i for _, i in near]
