@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 
 
 def shared(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a temporary one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lumenframe-")
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``), under one folder an application, so
+    that all it wrote can be removed when its results have been read.
+
+    Where the session has no such setting, a temporary folder serves on one machine; on a cluster that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: it names the folder that the driver and the executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lumenframe-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/lumenframe-{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
 
 
 def wide_csv(df: DataFrame, keys: list[str], path: str) -> None:

@@ -76,3 +76,33 @@ def test_stream_runs_over_several_batches(spark, tmp_path):
     assert out == {(0, 0): 10, (0, 1): 10, (1200, 0): 5, (1200, 1): 5}
     twice = E.deduplicated(E.stream(spark, str(tmp_path / "e")), ["user_id"])
     assert sorted(r.user_id for r in E.replay(twice.select("user_id")).collect()) == [0, 1]
+
+
+def test_shared_folder_of_an_application(spark):
+    from lumenframe.sources import sinks
+
+    one, two = sinks.shared(spark, "x"), sinks.shared(spark, "x")
+    assert one != two and f"/lumenframe-{spark.sparkContext.applicationId}/x-" in one and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from lumenframe.sources import sinks
+
+    class Context:
+        master, applicationId = "yarn", "a"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError):
+        sinks.shared(Session(), "x")
