@@ -16,9 +16,9 @@ def leaps(df: DataFrame, key: str, time: str, step: int) -> DataFrame:
     in. Whole numbers; rows stream through Spark's sort, a task holds a batch and one open time."""
 
     def run(batches):
-        own, start, n = None, 0, 0
+        own, start, n, kind = None, 0, 0, None
         for batch in batches:
-            out, keys, times = [], batch[key], batch[time].to_numpy()
+            out, keys, times, kind = [], batch[key], batch[time].to_numpy(), batch[key].type
             ends = np.flatnonzero(np.diff(keys.dictionary_encode().indices.to_numpy(zero_copy_only=False))) + 1 if len(keys) > 1 else []
             for a, b in zip([0, *ends], [*ends, len(keys)], strict=True):
                 t, k = times[a:b], keys[int(a)].as_py()
@@ -35,12 +35,12 @@ def leaps(df: DataFrame, key: str, time: str, step: int) -> DataFrame:
                     out.append((own, start, n))
                     at, start, n = to, int(t[to]), 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64())], names=[key, "t", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], kind), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64())], names=[key, "t", "n"])
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), pa.array([start], pa.int64()), pa.array([n], pa.int64())], names=[key, "t", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([own], kind), pa.array([start], pa.int64()), pa.array([n], pa.int64())], names=[key, "t", "n"])
 
-    rows = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(F.col(key).cast("long").alias(key), F.col(time).cast("long").alias(time))
-    return rows.repartition(key).sortWithinPartitions(key, time).mapInArrow(run, f"{key} long, t long, n long")
+    rows = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(key, F.col(time).cast("long").alias(time))
+    return rows.repartition(key).sortWithinPartitions(key, time).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, t long, n long")
 
 
 def held(table: pa.Table, what: str) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .series import leaps
+
 
 def seconds(c: str = "ts") -> Column:
     return F.unix_micros(c) / F.lit(1e6)
@@ -31,6 +33,12 @@ def sessions(df: DataFrame, key: str, order: list[str], gap: float) -> DataFrame
     return df.withColumn("_l", late).withColumn("session", F.sum("_l").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_l")
 
 
+def spaced(df: DataFrame, key: str, gap: float) -> DataFrame:
+    """Times more than ``gap`` seconds after the last kept one of their key, the first being kept."""
+    kept = leaps(df.withColumn("_t", F.unix_micros("ts")), key, "_t", int(gap * 1_000_000) + 1)
+    return kept.select(key, F.timestamp_micros("t").alias("ts"))
+
+
 def as_of(left: DataFrame, right: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
     """Each left row with the latest right ``value`` at or before it: one union and one window, no range join."""
     both = left.select(key, order, F.lit(1).alias("_s"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.schema[value].dataType).alias(name))
