@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,3 +28,9 @@ def training_table(features: DataFrame, keys: list[str], registry: list[str]) ->
     The registry saves a pass for the names.
     """
     return features.groupBy(*keys).pivot("feature", sorted(registry)).agg(F.max("value"))
+
+
+def rolled_wide(df: DataFrame, keys: list[str], by: str, kinds: list[str], made: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """keys and a column kind__name for each kind of ``by`` and each aggregate, which is made of the test for its rows: one
+    shuffle of partial aggregates, no long table and no pivot."""
+    return df.groupBy(*keys).agg(*(f(F.col(by) == kind).alias(f"{kind}__{name}") for kind in kinds for name, f in made.items()))

@@ -21,15 +21,17 @@ def r(c):
 
 
 def lexical(spark: SparkSession, d: str) -> DataFrame:
-    df = docs(spark, d).withColumn("w", T.words(F.col("text"))).withColumn("s", T.sentences(F.col("text"))).withColumn("l", F.transform("w", F.lower))
-    w, n = F.col("w"), F.size("w")
-    length = F.char_length(F.array_join(w, ""))
+    """Word and sentence figures; words in capitals and long ones are counted in the text, without a look at each word."""
+    df = docs(spark, d).withColumn("c", T.clean(F.col("text"))).withColumn("w", F.regexp_extract_all("c", F.lit(T.WORD), F.lit(0))).withColumn("s", T.sentences(F.col("c"))).withColumn("l", F.when(F.size("w") > 0, F.split(F.lower(F.array_join("w", " ")), " ")).otherwise(F.col("w")))
+    n = F.size("w")
+    length = F.char_length(F.array_join("w", ""))
     avg_word, avg_sentence = T.ratio(length, n), T.ratio(n, F.size("s"))
     chars = F.char_length(F.coalesce("text", F.lit("")))
+    count = lambda pattern: F.regexp_count("c", F.lit(pattern))
     return df.select(
         "doc_id", n.cast("long").alias("n_words"), F.size("s").cast("long").alias("n_sentences"), r(avg_word).alias("avg_word_len"), r(avg_sentence).alias("avg_sentence_len"),
         r(T.ratio(F.size(F.array_distinct("l")), n)).alias("type_token_ratio"), r(T.ratio(T.marks(F.col("text")), chars)).alias("mark_ratio"),
-        r(T.share(w, lambda x: (F.upper(x) == x) & (F.lower(x) != x))).alias("caps_ratio"), r(T.share(w, lambda x: F.char_length(x) > T.RARE_LENGTH)).alias("rare_ratio"),
+        r(T.ratio(count(T.CAPS_WORD), n)).alias("caps_ratio"), r(T.ratio(count(T.LONG_WORD), n)).alias("rare_ratio"),
         r(T.share(F.col("l"), lambda x: x.isin(*T.STOPWORDS))).alias("stopword_ratio"), r(F.when(F.size("s") > 0, avg_sentence / F.greatest(F.lit(1e-6), avg_word)).otherwise(0.0)).alias("readability"),
     )
 

@@ -241,13 +241,12 @@ REGISTRY = [f"{f}__{v}" for f in FLAGS for v in VALUES] + ["order__status", "ord
 
 def training_table(spark, d):
     """One row per order: status code and totals, and the rolled-up lines of each return flag as features of their own."""
-    li = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("run_id"), "l_returnflag").agg(F.count("*").alias("n_lines"), F.avg("l_extendedprice").alias("mean_price"), F.max("l_discount").alias("max_discount"))
-    lines = X.long_features(li, ["run_id", "l_returnflag"], list(VALUES), "x").select("run_id", F.concat("l_returnflag", F.substring("feature", 2, 100)).alias("feature"), "value")
-    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("run_id"), "o_custkey", F.when(F.col("o_orderstatus") == "F", "ok").when(F.col("o_orderstatus") == "O", "empty").otherwise("error").alias("status"), "o_totalprice")
-    own = X.long_features(orders.select("run_id", X.status_code("status").alias("status"), F.col("o_totalprice").alias("total")), ["run_id"], ["status", "total"], "order")
-    wide = X.training_table(lines.union(own), ["run_id"], REGISTRY)
-    out = orders.select("run_id", "o_custkey").join(wide, "run_id", "left")
-    return out.select("run_id", F.col("o_custkey").alias("custkey"), *(r(c).alias(c) for c in sorted(REGISTRY)))
+    v = F.col("l_extendedprice")
+    made = {"n_lines": lambda own: F.nullif(F.count_if(own), F.lit(0)).cast("double"), "mean_price": lambda own: F.avg(F.when(own, v)), "max_discount": lambda own: F.max(F.when(own, F.col("l_discount")))}
+    wide = X.rolled_wide(spark.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey"], "l_returnflag", list(FLAGS), made)
+    orders = spark.read.parquet(f"{d}/orders.parquet").withColumn("status", F.when(F.col("o_orderstatus") == "F", "ok").when(F.col("o_orderstatus") == "O", "empty").otherwise("error"))
+    out = orders.join(wide, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumns({"order__status": X.status_code("status"), "order__total": F.col("o_totalprice")})
+    return out.select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("custkey"), *(r(c).alias(c) for c in sorted(REGISTRY)))
 
 
 TRAINING_TABLE = "WITH l AS (SELECT l_orderkey AS run_id, l_returnflag AS f, count(*) AS n_lines, avg(l_extendedprice) AS mean_price, max(l_discount) AS max_discount FROM lineitem GROUP BY 1, 2), p AS (SELECT run_id, " + ", ".join(f"round(max({v}) FILTER (WHERE f = '{f}'), 6)::DOUBLE AS \"{f}__{v}\"" for f in FLAGS for v in VALUES) + " FROM l GROUP BY 1) SELECT o_orderkey AS run_id, o_custkey AS custkey, p.* EXCLUDE (run_id), CASE o_orderstatus WHEN 'F' THEN 1.0 WHEN 'O' THEN 0.0 ELSE -1.0 END::DOUBLE AS order__status, round(o_totalprice, 6) AS order__total FROM orders LEFT JOIN p ON p.run_id = o_orderkey"
