@@ -90,3 +90,81 @@ def strongest_period(counts: DataFrame, key: str, place: str, value: str, slowes
         return pa.table({key: table[key][: len(rows)], "cycles": pa.array([x[0] for x in rows], pa.int64()), "period": pa.array([x[1] for x in rows], pa.float64()), "significance": pa.array([x[2] for x in rows], pa.float64())})
 
     return counts.select(key, F.col(place).cast("long").alias(place), F.col(value).cast("double").alias(value)).groupBy(key).applyInArrow(work, f"{key} {counts.schema[key].dataType.simpleString()}, cycles long, period double, significance double")
+
+
+def local_peaks(x: np.ndarray) -> np.ndarray:
+    """Places of the values higher than both neighbours; of a level stretch the middle one."""
+    if len(x) < 3:
+        return np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(x) != 0]))
+    ends = np.append(starts[1:], len(x)) - 1
+    v = x[starts]
+    top = np.flatnonzero((v[1:-1] > v[:-2]) & (v[1:-1] > v[2:])) + 1
+    return (starts[top] + ends[top]) // 2
+
+
+def apart(at: np.ndarray, height: np.ndarray, distance: int) -> np.ndarray:
+    """Which peaks stay when none may be closer than ``distance`` to a higher one that stays; of equal ones the last goes first."""
+    keep = np.ones(len(at), bool)
+    for k in np.argsort(height, kind="stable")[::-1]:
+        if keep[k]:
+            for step in (-1, 1):
+                n = k + step
+                while 0 <= n < len(at) and abs(at[n] - at[k]) < distance:
+                    keep[n] = False
+                    n += step
+    return keep
+
+
+def prominences(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How far each peak stands above the higher of the lowest values on its sides, up to the next higher value or the end."""
+
+    def lowest(values: np.ndarray) -> np.ndarray:
+        """At each place, the least value since the last higher one: a stack of falling values, each with the least since it."""
+        out, stack = np.empty(len(values)), []
+        for i, v in enumerate(values.tolist()):
+            least = v
+            while stack and stack[-1][0] <= v:
+                least = min(least, stack.pop()[1])
+            out[i] = least
+            stack.append((v, least))
+        return out
+
+    return x[at] - np.maximum(lowest(x)[at], lowest(x[::-1])[::-1][at])
+
+
+def find_peaks(x: np.ndarray, distance: int = 1, prominence: float = 0.0) -> np.ndarray:
+    at = local_peaks(x)
+    at = at[apart(at, x[at], distance)]
+    return at[prominences(x, at) >= prominence] if len(at) else at
+
+
+def normed(x: np.ndarray) -> np.ndarray:
+    return (x - x.min()) / (x.max() - x.min()) if len(x) and x.max() > x.min() else x
+
+
+def keyframes(df: DataFrame, key: str, order: list[str], sigma: float = 5 / 3, prominence: float = 0.1, distance: int = 8) -> DataFrame:
+    """key, place, kind, score: peaks of the smoothed intensity of (valence, arousal) and of its change, each between 0 and 1; of
+    two at one place the higher score stays, an emotion_peak before a transition of the same."""
+    reach = int(4 * sigma + 0.5)
+    taps = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    taps /= taps.sum()
+
+    def smooth(x):
+        return np.convolve(np.concatenate([np.full(reach, x[0]), x, np.full(reach, x[-1])]), taps, "valid")
+
+    def work(table: pa.Table) -> pa.Table:
+        held(table, "frames")
+        table = table.sort_by([(c, "ascending") for c in order])
+        v, a = (smooth(table[c].to_numpy()) for c in ("valence", "arousal"))
+        found = {}
+        level, change = normed(np.hypot(v, a)), normed(np.hypot(np.diff(v), np.diff(a)))
+        for k in find_peaks(level, distance, prominence).tolist():
+            found[k] = ("emotion_peak", float(level[k]))
+        for k in find_peaks(change, distance, prominence).tolist():
+            if k + 1 not in found or change[k] > found[k + 1][1]:
+                found[k + 1] = ("transition", float(change[k]))
+        places = sorted(found)
+        return pa.table({key: pa.array([table[key][0].as_py()] * len(places), pa.int64()), "place": pa.array(places, pa.int64()), "kind": pa.array([found[k][0] for k in places], pa.string()), "score": pa.array([found[k][1] for k in places], pa.float64())})
+
+    return df.select(F.col(key).cast("long").alias(key), *order, *(F.col(c).cast("double").alias(c) for c in ("valence", "arousal"))).groupBy(key).applyInArrow(work, f"{key} long, place long, kind string, score double")
