@@ -128,10 +128,10 @@ def lookups(spark, d):
     read = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
     c = read("customer").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(read("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "r_name")
     got = read("orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return got.groupBy(F.coalesce("r_name", F.lit("unmapped")).alias("region")).agg(F.count("*").alias("orders"), r(F.sum("o_totalprice")).alias("total"))
+    return got.groupBy(F.coalesce("r_name", F.lit("unmapped")).alias("region")).agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-LOOKUPS = "SELECT coalesce(r_name, 'unmapped') AS region, count(*) AS orders, round(sum(o_totalprice), 6) AS total FROM orders LEFT JOIN (SELECT c_custkey, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) ON o_custkey = c_custkey GROUP BY 1"
+LOOKUPS = "SELECT coalesce(r_name, 'unmapped') AS region, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders LEFT JOIN (SELECT c_custkey, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) ON o_custkey = c_custkey GROUP BY 1"
 
 
 def remapped(spark, d):

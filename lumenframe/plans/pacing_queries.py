@@ -12,7 +12,7 @@ from ..functions import stats
 from ..operators import folds
 from ..operators import quantiles as Q
 from ..operators import series
-from .timeline_queries import W, ev, r
+from .timeline_queries import W, ev, r, up, up_sql
 
 HOUR = 3_600_000_000
 EPS = 1e-9
@@ -272,12 +272,12 @@ SCENE_FIGURES = f"WITH {FRAMES}, {SCENES} SELECT user_id, scene, n, {', '.join(f
 def video_figures(spark, d):
     """Mean, deviation, least and greatest of every figure of a video's scenes; hue entropy in 36 bins, Gini, speeds, strobes."""
     df, whole = frames(spark, d), Window.partitionBy("user_id")
-    rolled = scenes(df).groupBy("user_id").agg(F.count("*").alias("scenes"), *(r(f(c)).alias(f"{c}_{k}") for c in _SCENE for k, f in (("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))))
+    rolled = scenes(df).groupBy("user_id").agg(F.count("*").alias("scenes"), *(up(f(c)).alias(f"{c}_{k}") for c in _SCENE for k, f in (("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))))
     w = by_user()
     turn = F.abs(F.col("hue") - F.lag("hue").over(w))
     all_ = Q.ranked(df.select("user_id", "ts", "event_id", "bright", "hue"), ["user_id"], "hue").withColumn("db", F.abs(F.col("bright") - F.lag("bright").over(w))).withColumn("dh", F.least(turn, 180 - turn)).withColumn("bin", stats.bin_of(F.col("hue"), F.min("hue").over(whole), F.max("hue").over(whole), 36)).withColumn("limit", F.avg("bright").over(whole) + 1.5 * F.stddev_pop("bright").over(whole))
-    g = all_.groupBy("user_id").agg(stats.bin_counts(F.col("bin"), 36).alias("c"), F.count("*").alias("n"), r(stats.gini(F.col("hue"), F.col("_k") + 1, F.col("_n"))).alias("hue_gini"), r(F.avg("db")).alias("global_change_speed"), r(F.avg("dh")).alias("global_colour_speed"), r(F.when(F.count("*") > 2, F.count_if(F.col("db") > F.col("limit")) / (F.count("*") - 1))).alias("strobe_frequency"))
-    g = g.select("user_id", r(stats.counts_entropy(F.transform("c", lambda x: x / F.col("n")), 1e-10)).alias("hue_entropy"), "hue_gini", "global_change_speed", "global_colour_speed", "strobe_frequency")
+    g = all_.groupBy("user_id").agg(stats.bin_counts(F.col("bin"), 36).alias("c"), F.count("*").alias("n"), up(stats.gini(F.col("hue"), F.col("_k") + 1, F.col("_n"))).alias("hue_gini"), up(F.avg("db")).alias("global_change_speed"), up(F.avg("dh")).alias("global_colour_speed"), up(F.when(F.count("*") > 2, F.count_if(F.col("db") > F.col("limit")) / (F.count("*") - 1))).alias("strobe_frequency"))
+    g = g.select("user_id", up(stats.counts_entropy(F.transform("c", lambda x: x / F.col("n")), 1e-10)).alias("hue_entropy"), "hue_gini", "global_change_speed", "global_colour_speed", "strobe_frequency")
     return rolled.join(g, "user_id")
 
 
@@ -345,7 +345,7 @@ SELECT user_id, place, strength::BIGINT AS strength FROM f JOIN c USING (user_id
 _ALL = {
     "e2_families": (families, FAMILIES_SQL), "e5_hard_cuts": (hard_cuts, HARD_CUTS),
     "a1_shot_statistics": (shot_statistics, SHOT_STATISTICS), "a2_cut_timing": (cut_timing, CUT_TIMING), "a4_edit_style": (edit_style, EDIT_STYLE), "a13_content_change": (content_change, CONTENT_CHANGE), "a14_light_spikes": (light_spikes, LIGHT_SPIKES),
-    "a17_profile": (profile, PROFILE), "a18_sequence_quality": (sequence_quality, SEQUENCE_QUALITY), "a7_scene_figures": (scene_figures, SCENE_FIGURES), "a8_video_figures": (video_figures, VIDEO_FIGURES), "e3_bounded_segments": (segments, SEGMENTS),
+    "a17_profile": (profile, PROFILE), "a18_sequence_quality": (sequence_quality, SEQUENCE_QUALITY), "a7_scene_figures": (scene_figures, SCENE_FIGURES), "a8_video_figures": (video_figures, up_sql(VIDEO_FIGURES)), "e3_bounded_segments": (segments, SEGMENTS),
 }
 QUERIES = {k: v[0] for k, v in _ALL.items()}
 ORACLES = {k: v[1] for k, v in _ALL.items()}

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..operators import quantiles as Q
 from .pacing_queries import HOUR, by_user
-from .timeline_queries import W, ev, r
+from .timeline_queries import W, ev, up_sql
+from .timeline_queries import up as r
 from .vector_queries import emb
 
 WHOLE = "OVER (PARTITION BY user_id)"
@@ -293,4 +294,4 @@ _ALL = {
     "a38_expressions": (expressions, EXPRESSIONS), "a39_topics": (topics, _topics_sql()), "m7_trimmed": (trimmed, TRIMMED), "m20_keys": (keys_of, _keys_sql()), "m23_horizons": (horizons, HORIZONS), "o4_index_sets": (index_sets, INDEX_SETS), "e6_gated": (gated, GATED), "a9_leaf_figures": (leaf_figures, LEAF_FIGURES),
 }
 QUERIES = {k: v[0] for k, v in _ALL.items()}
-ORACLES = {k: v[1] for k, v in _ALL.items()}
+ORACLES = {k: up_sql(v[1]) for k, v in _ALL.items()}

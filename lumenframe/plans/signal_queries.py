@@ -11,6 +11,7 @@ from ..operators import quantiles as Q
 from ..operators import series
 from ..operators import timeline as T
 from .flow_queries import W, by_user, ev, r
+from .timeline_queries import up
 
 
 def whole():
@@ -73,12 +74,12 @@ def stable_mean(spark, d):
     df = Q.beside(ev(spark, d).select("user_id", "value"), ["user_id"], "value", {"med": 0.5})
     df = Q.beside(df.withColumn("dev", F.abs(F.col("value") - F.col("med"))), ["user_id"], "dev", {"mad": 0.5})
     own = F.abs(F.col("value") - F.col("med")) <= 4 * F.col("mad")
-    return df.groupBy("user_id").agg(r(F.avg(F.when(own, F.col("value")))).alias("stable_mean"), F.sum(F.when(F.col("value") > F.col("med") + 4 * F.col("mad"), 1).otherwise(0)).alias("spikes"))
+    return df.groupBy("user_id").agg(up(F.avg(F.when(own, F.col("value")))).alias("stable_mean"), F.sum(F.when(F.col("value") > F.col("med") + 4 * F.col("mad"), 1).otherwise(0)).alias("spikes"))
 
 
 STABLE_MEAN = """WITH m AS (SELECT user_id, value, quantile_cont(value, 0.5) OVER (PARTITION BY user_id) AS med FROM events),
 n AS (SELECT *, quantile_cont(abs(value - med), 0.5) OVER (PARTITION BY user_id) AS mad FROM m)
-SELECT user_id, round(avg(value) FILTER (abs(value - med) <= 4 * mad), 6) AS stable_mean, count(*) FILTER (value > med + 4 * mad) AS spikes FROM n GROUP BY 1"""
+SELECT user_id, round(avg(value) FILTER (abs(value - med) <= 4 * mad) + 1e-9, 6) AS stable_mean, count(*) FILTER (value > med + 4 * mad) AS spikes FROM n GROUP BY 1"""
 
 
 def story(spark, d):

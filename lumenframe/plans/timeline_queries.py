@@ -20,6 +20,15 @@ def r(c):
     return F.round(c, 6)
 
 
+def up(c):
+    """Six places, where a half at the seventh goes up whatever order a sum was made in."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + 1e-9, 6)
+
+
+def up_sql(sql: str) -> str:
+    return sql.replace(", 6)", " + 1e-9, 6)")
+
+
 W = "OVER (PARTITION BY user_id ORDER BY ts, event_id)"
 S = "epoch_us(ts)"
 
@@ -96,11 +105,11 @@ def intervals(spark, d):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     df = ev(spark, d).withColumn("x", (F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(w)) / 1e6).filter("x is not null")
     df = Q.ranked(df, ["user_id"], "x").withColumn("k", F.col("_k") + 1).withColumn("c", F.col("_n"))
-    return df.groupBy("user_id").agg(F.count("*").alias("n"), r(F.avg("x")).alias("mean"), r(Q.at("x", 0.5)).alias("median"), r(F.stddev_pop("x") / F.greatest(F.avg("x"), F.lit(1e-9))).alias("variation"), r(stats.gini(F.col("x"), F.col("k"), F.col("c"))).alias("gini"), r(F.avg((F.col("x") < 3600).cast("double"))).alias("short_share"))
+    return df.groupBy("user_id").agg(F.count("*").alias("n"), r(F.avg("x")).alias("mean"), up(Q.at("x", 0.5)).alias("median"), r(F.stddev_pop("x") / F.greatest(F.avg("x"), F.lit(1e-9))).alias("variation"), r(stats.gini(F.col("x"), F.col("k"), F.col("c"))).alias("gini"), r(F.avg((F.col("x") < 3600).cast("double"))).alias("short_share"))
 
 
 INTERVALS = f"""WITH l AS (SELECT user_id, event_id, ({S} - lag({S}) {W}) / 1e6 AS x FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY x, event_id) AS k, count(*) OVER (PARTITION BY user_id) AS c FROM l WHERE x IS NOT NULL)
-SELECT user_id, count(*) AS n, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5), 6) AS median, round(stddev_pop(x) / greatest(avg(x), 1e-9), 6) AS variation,
+SELECT user_id, count(*) AS n, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5) + 1e-9, 6) AS median, round(stddev_pop(x) / greatest(avg(x), 1e-9), 6) AS variation,
 round(CASE WHEN sum(x) > 0 THEN sum((2 * k - c - 1) * x) / (max(c) * sum(x)) ELSE 0 END, 6) AS gini, round(avg((x < 3600)::INT), 6) AS short_share FROM k GROUP BY 1"""
 
 
