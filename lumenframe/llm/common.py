@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import sinks
+
 #: What one Arrow batch may hold; a batch of very long texts stays small.
-BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 2 << 20
 
 
 def tuned(spark: SparkSession) -> SparkSession:
@@ -23,16 +23,7 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Where the session has no such setting (tests, one machine) a temporary folder is set as the checkpoint folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="lumenframe-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+shared_dir = sinks.shared
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

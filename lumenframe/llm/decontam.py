@@ -34,7 +34,7 @@ BREAK = len(KINDS)
 KIND_HASH = np.array([0, *map(xxhash.xxh3_64_intdigest, KINDS[1:])], np.uint64)
 SEEDS = {False: np.uint64(0), True: np.uint64(0x9E3779B97F4A7C15)}
 #: Written forms that a Python worker keeps.
-KEPT = 900_000
+KEPT = 300_000
 
 
 class Words(dict):

@@ -24,7 +24,7 @@ from . import common
 
 PERMUTATIONS, ROWS = 80, 5
 #: Rows and bytes of shingles of a block; a task holds two blocks.
-BLOCK, BLOCK_BYTES = 512, 16 << 20
+BLOCK, BLOCK_BYTES = 128, 4 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
