@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Cells that a group's values are cut into, and the accuracy of the sketch that cuts them.
+#: Cells that a group's values are cut into (a power of two), and the accuracy of the sketch that cuts them.
 CELLS, ACCURACY = 256, 10_000
 
 
@@ -31,7 +31,8 @@ def grouped(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]
     """
     df = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
     cuts = df.groupBy(*keys).agg(F.percentile_approx("_v", [i / CELLS for i in range(1, CELLS)], ACCURACY).alias("_cuts"))
-    cell = F.aggregate(F.col("_cuts"), F.lit(0), lambda n, x: n + (x < F.col("_v")).cast("int"))
+    steps = F.array(*(F.lit(1 << k) for k in range(CELLS.bit_length() - 2, -1, -1)))  # a search by halves: how many cuts are less
+    cell = F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(F.get("_cuts", n + step - 1) < F.col("_v"), step).otherwise(0))
     values = df.join(cuts, keys).select(*keys, cell.alias("_cell"), "_v")
     sizes = values.groupBy(*keys, "_cell").agg(F.count("*").alias("_size"))
     w = Window.partitionBy(*keys)
