@@ -169,7 +169,7 @@ def window_table(rows: DataFrame, asked: set[tuple[bool, int]] | None = None, wa
     return common.mapped(rows, WINDOWS, work)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text", filter_max: int = FILTER_MAX) -> DataFrame:
     """doc_id, item_id, n_windows (distinct windows of the item found), of_item (its share), consistent (share of slot
     contents of the item that stand for one content throughout the occurrence, and the reverse), reparameterised, run
     (whether RUN tokens of the item, or all of a shorter one, stand in a row).
@@ -177,13 +177,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
     An occurrence is what matches at one shift between document and item, or at shifts within a band of BAND (bands
     overlap by half); the whole document counts as one too, for an item dealt over it. The row is of the best one.
 
-    Hashes of a benchmark of up to FILTER_MAX windows go to the tasks, so that only windows that meet one leave a document;
+    Hashes of a benchmark of up to ``filter_max`` windows go to the tasks, so that only windows that meet one leave a document;
     a larger one is joined by shuffle on the hash. Documents have windows of all lengths that items' windows have.
     """
     bench = common.stored(window_table(benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).dropDuplicates()), "benchmark")
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     asked = {(r["raw"], r["length"]) for r in bench.select("raw", "length").distinct().collect()}  # 2 * WINDOW at most
-    wanted, small = None, bench.count() <= FILTER_MAX
+    wanted, small = None, bench.count() <= filter_max
     if small:
         got = bench.select("hash").distinct().toArrow()["hash"].to_numpy()
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(got))
@@ -217,13 +217,13 @@ def leaks(found: DataFrame, cover: float = COVER) -> DataFrame:
     return found.filter(((F.col("of_item") >= cover) | F.col("run")) & (F.col("consistent") >= CONSISTENT))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", filter_max: int = FILTER_MAX) -> DataFrame:
     """doc_id, contaminated, n_items, n_windows, reparameterised and item_ids (sorted) of every document.
 
     Null and empty texts, and all documents beside an empty benchmark, are clean; equal texts get equal verdicts, a null id
     is never contaminated; columns other than those named are not read.
     """
-    bad = leaks(matches(docs, benchmark, text=text, doc_id=doc_id)).groupBy("doc_id").agg(F.count("*").alias("n_items"), F.sum("n_windows").alias("n_windows"), F.max("reparameterised").alias("reparameterised"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    bad = leaks(matches(docs, benchmark, text=text, doc_id=doc_id, filter_max=filter_max)).groupBy("doc_id").agg(F.count("*").alias("n_items"), F.sum("n_windows").alias("n_windows"), F.max("reparameterised").alias("reparameterised"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id")).join(bad, "doc_id", "left")
     return out.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("n_windows", F.lit(0)).cast("long").alias("n_windows"), F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"))
 

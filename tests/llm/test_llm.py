@@ -221,6 +221,14 @@ def test_decontamination_short_items(spark):
     assert [got[i]["item_ids"] for i in range(1, 8)] == [[1], [2], [3], [4], [], [2], []]
 
 
+def test_decontamination_by_shuffle(spark, sf):
+    """A benchmark beyond the number of windows that are broadcast gives the same verdicts."""
+    docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    few = docs.filter("n_chars < 3000")
+    one, two = (sorted(map(str, decontam.contamination(few, bench, filter_max=n).collect())) for n in (decontam.FILTER_MAX, 0))
+    assert one == two and any("contaminated=True" in r for r in one)
+
+
 def test_decontamination_by_occurrence(spark):
     """An exact copy counts beside re-parameterised variants; slots that contradict each other within one occurrence do not."""
     told = "The baker {0} sells {1} loaves to {2} and later {0} gives {3} rolls to {2} for free on market day"
@@ -668,3 +676,24 @@ def test_personal_data_in_long_texts(text):
     found = pii.spans(text)
     assert time.process_time() - began < 6 and len(found) == (51_000 if "GB82" in text else 0)
     assert len(pii.masked(text, found)) <= len(text)
+
+
+def test_pipeline_stages_on_edge_rows(spark, sf, edge, empty):
+    """Each stage on nulls, empty and long texts, repeated rows and rows without an id; and on no rows."""
+    import corpus_pipeline
+
+    columns = ["doc_id", "text", "lang", "source", "n_chars", "term"]
+    docs, none = edge.select(*columns), empty.select(*columns)
+    stages = dict(corpus_pipeline.STAGES)
+    run = lambda name, rows: stages[name](spark, rows, sf)
+    ids = lambda rows: sorted((r["doc_id"] for r in rows.collect()), key=lambda i: (i is not None, i))
+    kept = run("quality_rules", docs)
+    assert kept.columns == columns and not set(ids(kept)) & {1, 2, 3, 7, 8}
+    one = run("near_dedup", docs)
+    assert one.columns == columns and ids(one) == [None, 1, 2, 3, 4, 7, 8]
+    clean = run("benchmark_decontamination", docs)
+    assert clean.columns == columns and ids(clean) == ids(docs)
+    masked = run("personal_data", docs)
+    assert sorted(map(str, masked.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
+    assert run("packing", docs).agg(F.sum("length")).first()[0] == sum(len(reference_ids(r["text"])) for r in docs.collect())
+    assert all(run(name, none).count() == 0 for name in stages)
