@@ -17,7 +17,7 @@ def leaps(df: DataFrame, key: str, time: str, step: int) -> DataFrame:
 
     def run(batches):
         own, start, n, kind = None, 0, 0, None
-        for batch in batches:
+        for batch in filter(len, batches):
             out, keys, times, kind = [], batch[key], batch[time].to_numpy(), batch[key].type
             ends = np.flatnonzero(np.diff(keys.dictionary_encode().indices.to_numpy(zero_copy_only=False))) + 1 if len(keys) > 1 else []
             for a, b in zip([0, *ends], [*ends, len(keys)], strict=True):
