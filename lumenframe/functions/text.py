@@ -10,9 +10,6 @@ WORD = r"[\p{L}\p{N}_]+"
 STOPWORDS = ("и", "в", "во", "не", "что", "он", "на", "я", "с", "со", "как", "а", "то", "все", "она", "так", "его", "но", "да", "ты", "к", "у", "the", "a", "an", "and", "or", "but", "if", "in", "on", "with", "for", "to", "of", "is", "are", "was", "were", "be", "been", "it")
 FILLERS = ("ээ", "мм", "ну", "типа", "короче", "значит", "э", "эээ", "mmm", "uh", "um")
 RARE_LENGTH = 12
-#: A word with a capital and no small letter; a rare word.
-CAPS_WORD = r"(?<![\p{L}\p{N}_])[[\p{L}\p{N}_]&&[^\p{Ll}\p{Lu}]]*+\p{Lu}[[\p{L}\p{N}_]&&[^\p{Ll}]]*+(?![\p{L}\p{N}_])"
-LONG_WORD = r"[\p{L}\p{N}_]{%d,}" % (RARE_LENGTH + 1)
 
 
 def clean(c: Column) -> Column:
