@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licences, neardup, packing, pii, quality, rules, runs, tokens, warc
+from . import decontam, langid, licences, neardup, packing, pii, quality, rules, runs, tokens, warc, whitening
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": pii.op9,
     "op10_near_duplicates": neardup.op10,
     "op11_periodic_runs": runs.op11,
+    "op12_whitening": whitening.op12,
     "pipeline": pipeline,
 }
 
