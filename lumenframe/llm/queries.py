@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licences, neardup, packing, pii, quality, rules, runs, tokens, warc, whitening
+from . import decontam, langid, licences, neardup, packing, pii, quality, rules, runs, tokens, vectors, warc, whitening
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_duplicates": neardup.op10,
     "op11_periodic_runs": runs.op11,
     "op12_whitening": whitening.op12,
+    "op13_embedding_duplicates": vectors.op13,
     "pipeline": pipeline,
 }
 
@@ -43,4 +44,4 @@ m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY 1)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, w.doc_id = m.component_id AS kept
 FROM w JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
-ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op8_licences": licences.op8_sql(), "op10_near_duplicates": OP10_SQL, "op11_periodic_runs": runs.OP11_SQL}
+ORACLES: dict[str, str] = {"op5_warc": warc.OP5_SQL, "op8_licences": licences.op8_sql(), "op10_near_duplicates": OP10_SQL, "op11_periodic_runs": runs.OP11_SQL, "op13_embedding_duplicates": vectors.OP13_SQL}
