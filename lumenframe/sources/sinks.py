@@ -24,6 +24,13 @@ def shared(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/lumenframe-{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """Write a frame as Parquet in the shared folder and read it again: lineage is cut, and lost executors cost nothing."""
+    path = shared(df.sparkSession, what)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def wide_csv(df: DataFrame, keys: list[str], path: str) -> None:
     """Keys first, the other columns sorted by name, nulls as empty fields."""
     rest = sorted(set(df.columns) - set(keys))
