@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranges import dealt, joined, parts
 from . import common
 from .neardup import components
 
@@ -27,7 +28,7 @@ LEAST = 0.98
 #: Vectors a pivot; pivots a label at most; vectors of a label that one task assigns; vectors of a block.
 CELL, PIVOTS, DEAL, BLOCK = 2048, 256, 16384, 2048
 #: Rows of a table that is sent to all tasks; beyond it, the join is by shuffle.
-BROADCAST_MAX, SALTS = 100_000, 64
+BROADCAST_MAX = 100_000
 #: Room for rounding: in a bound on distances, and around the least cosine, where a pair is looked at one by one.
 SLACK, CLOSE = 1e-9, 1e-12
 
@@ -70,15 +71,6 @@ def classes_of(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("vec_id", "digest"), common.stored(found, "classes")
 
 
-def joined(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join with a table of one row a key, whose size is looked at: sent to all tasks up to BROADCAST_MAX rows, beyond it
-    shuffled, where each key's rows of ``big`` are dealt to SALTS pieces."""
-    if small.count() <= BROADCAST_MAX:
-        return big.join(F.broadcast(small), keys, "left")
-    salted = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return big.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int")).join(salted, [*keys, "salt"], "left").drop("salt")
-
-
 def nearest(vectors: np.ndarray, numbers: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[np.ndarray, list[np.ndarray]]:
     """Each vector's home (number of its nearest pivot, ties: the least) and the other cells that it visits.
 
@@ -107,7 +99,7 @@ def cells_of(classes: DataFrame, reach: float) -> DataFrame:
     """digest, space, cell, visitor, rows and vector of each class in its home, and in each cell that it visits."""
     sizes = classes.groupBy("space").agg(F.count("*").alias("n")).filter(F.col("n") > CELL)
     sizes = common.stored(sizes.select("space", F.ceil(F.greatest(F.lit(CELL), F.col("n") / PIVOTS)).cast("long").alias("every"), F.ceil(F.col("n") / DEAL).cast("int").alias("deals")), "large_labels")
-    every = joined(classes.select("digest", "space", "rows", "vector"), sizes, ["space"]).withColumn("h", F.xxhash64("digest"))
+    every = joined(classes.select("digest", "space", "rows", "vector"), sizes, ["space"], "digest", BROADCAST_MAX).withColumn("h", F.xxhash64("digest"))
     small = every.filter("every is null").select("digest", "space", F.lit(0).alias("cell"), F.lit(False).alias("visitor"), "rows", "vector")
     large = every.filter("every is not null").withColumn("deal", F.pmod(F.xxhash64("h"), "deals").cast("int"))
     pivots = large.filter(F.pmod("h", "every") == 0).select(F.col("space").alias("of_space"), F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("of_deal"), F.col("h").alias("pivot"), F.col("vector").alias("pivot_vector"))
@@ -126,29 +118,6 @@ def cells_of(classes: DataFrame, reach: float) -> DataFrame:
     return common.stored(small.union(both.select("digest", "space", "x.cell", "x.visitor", "rows", "vector")), "cells")
 
 
-def dealt(cells: DataFrame) -> DataFrame:
-    """The rows of cells with the task (space, cell, i, j) in which they meet others, and the sides of it on which they are.
-
-    In a cell of one task its own vectors meet all. A larger cell is cut into blocks, and each pair of its own blocks, and each of
-    them with each block of visitors, is a task. Visitors never meet each other.
-    """
-    sizes = cells.groupBy("space", "cell").agg(F.count_if(~F.col("visitor")).alias("own"), F.count_if("visitor").alias("guests")).filter((F.col("own") > BLOCK) | (F.col("guests") > BLOCK))
-    sizes = common.stored(sizes.select("space", "cell", F.ceil(F.col("own") / BLOCK).cast("int").alias("own"), F.ceil(F.col("guests") / BLOCK).cast("int").alias("guests")), "large_cells")
-    rows = joined(cells, sizes, ["space", "cell"])
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("digest"), F.when(F.col("visitor"), F.col("guests")).otherwise(F.col("own"))).cast("int"))
-    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
-    pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
-    mine = F.col("block")
-    # Blocks of visitors are counted down from -1.
-    at_home = F.concat(F.transform(upto("own"), lambda k: pair(F.least(mine, k), F.greatest(mine, k))), F.transform(upto("guests"), lambda k: pair(mine, -1 - k)))
-    away = F.transform(upto("own"), lambda k: pair(k, -1 - mine))
-    one = F.col("block").isNull()
-    rows = rows.withColumn("at", F.explode(F.when(one, F.array(pair(F.lit(0), F.lit(0)))).when(F.col("visitor"), away).otherwise(at_home)))
-    left = ~F.col("visitor") & (one | (mine == F.col("at.i")))
-    right = one | F.col("visitor") | (mine == F.col("at.j"))
-    return rows.select("space", "cell", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "digest", "rows", left.alias("left"), right.alias("right"), "vector")
-
-
 def linked(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     """Which pairs of unit vectors have the least cosine; those too close to it for the order of additions are added one way."""
     s = a @ b.T
@@ -158,22 +127,6 @@ def linked(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     return out
 
 
-def parts(links: np.ndarray) -> np.ndarray:
-    """Connected parts of rows and columns of a table of links: for each row, then each column, its part's first row or column."""
-    rows, cols = links.shape
-    part = np.full(rows + cols, -1)
-    for start in range(rows):
-        if part[start] >= 0:
-            continue
-        part[start], front = start, np.array([start])
-        while len(front):
-            new = np.flatnonzero(links[front].any(axis=0) & (part[rows:] < 0))
-            part[rows + new] = start
-            front = np.flatnonzero(links[:, new].any(axis=1) & (part[:rows] < 0)) if len(new) else new
-            part[front] = start
-    return part
-
-
 def meetings(cells: DataFrame, least: float) -> DataFrame:
     """digest, n (rows linked with it in one task) and root (a class that its links lead to there)."""
 
@@ -196,7 +149,7 @@ def meetings(cells: DataFrame, least: float) -> DataFrame:
         met = np.flatnonzero(n > 0)
         return pa.table({"digest": pa.array(digest[met].tolist(), pa.binary()), "n": pa.array(n[met]), "root": pa.array(digest[root[met]].tolist(), pa.binary())})
 
-    return common.stored(dealt(cells).groupBy("space", "cell", "i", "j").applyInArrow(work, "digest binary, n long, root binary"), "meetings")
+    return common.stored(dealt(cells, ["space", "cell"], "digest", BLOCK, BROADCAST_MAX).groupBy("space", "cell", "i", "j").applyInArrow(work, "digest binary, n long, root binary"), "meetings")
 
 
 def near_duplicates(df: DataFrame, *, least: float = LEAST, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
