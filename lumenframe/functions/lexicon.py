@@ -47,16 +47,25 @@ def marked_sentences(clean: Column) -> Column:
 def overlap_chunks(sentences: Column, most: int, share: float) -> Column:
     """Arrays of words: sentences are added while a chunk has ``most`` words at most; the next one begins with the last
     ``most * share`` words of the one before. A longer sentence is a chunk of its own."""
-    tail, none = int(most * share), F.array().cast("array<string>")
-
-    def step(s, sentence):
-        words = F.split(sentence, " ")
-        over = F.size(s["held"]) + F.size(words) > most
-        carried = F.slice(s["held"], F.greatest(F.lit(1), F.size(s["held"]) - tail + 1), F.lit(tail)) if tail else none
-        return F.struct(F.when(over & (F.size(s["held"]) > 0), F.concat(s["done"], F.array(s["held"]))).otherwise(s["done"]).alias("done"), F.concat(F.when(over, carried).otherwise(s["held"]), words).alias("held"))
-
-    start = F.struct(F.array().cast("array<array<string>>").alias("done"), none.alias("held"))
-    return F.aggregate(sentences, start, step, lambda s: F.when(F.size(s["held"]) > 0, F.concat(s["done"], F.array(s["held"]))).otherwise(s["done"]))
+    tail = int(most * share)
+
+    def step(s, n):
+        """A chunk is a stretch of the text's words: where the open one begins, where it ends, and those that are closed."""
+        over = s["end"] - s["begin"] + n > most
+        closed = F.array(F.struct(s["begin"].alias("begin"), s["end"].alias("end")))
+        return F.struct(
+            F.when(over & (s["end"] > s["begin"]), F.concat(s["done"], closed)).otherwise(s["done"]).alias("done"),
+            F.when(over, F.greatest(s["begin"], s["end"] - tail)).otherwise(s["begin"]).alias("begin"),
+            (s["end"] + n).alias("end"),
+        )
+
+    def finish(s):
+        return F.when(s["end"] > s["begin"], F.concat(s["done"], F.array(F.struct(s["begin"].alias("begin"), s["end"].alias("end"))))).otherwise(s["done"])
+
+    start = F.struct(F.array().cast("array<struct<begin:int,end:int>>").alias("done"), F.lit(0).alias("begin"), F.lit(0).alias("end"))
+    stretches = F.aggregate(F.transform(sentences, lambda x: F.size(F.split(x, " "))), start, step, finish)
+    # Within transform the words are a variable, so they are split once.
+    return F.flatten(F.transform(F.array(F.split(F.array_join(sentences, " "), " ")), lambda words: F.transform(stretches, lambda c: F.slice(words, c["begin"] + 1, c["end"] - c["begin"]))))
 
 
 def is_rare(word: Column) -> Column:

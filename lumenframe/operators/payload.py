@@ -31,27 +31,36 @@ def percentile_of(ordered: Column, q: float) -> Column:
     return low + (F.get(ordered, F.ceil(at).cast("int")) - low) * (at - F.floor(at))
 
 
-def array_summary(name: str, c: Column, kind: S.DataType) -> list[tuple[str, Column]]:
-    """What a numeric array gives: __empty, the mean of truth values, __all_non_finite, or seven statistics of its finite values."""
+def pairs_of(features: list[tuple[str, Column]]) -> Column:
+    return F.array(*(F.struct(F.lit(k).alias("feature"), v.cast("double").alias("value")) for k, v in features))
+
+
+def array_summary(name: str, c: Column, kind: S.DataType) -> Column:
+    """What a numeric array gives, as pairs (feature, value): __empty, the mean of truth values, __all_non_finite, or seven statistics
+    of its finite values. What several of them need is a variable of a transform over one element, so it is found once."""
+    empty = (f"{name}__empty", F.when(F.size(c) == 0, 1.0))
     if isinstance(kind, S.BooleanType):
-        xs = F.transform(c, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
-        return [(f"{name}__empty", F.when(F.size(c) == 0, 1.0)), (f"{name}__mean", F.when(F.size(c) > 0, total(xs) / F.size(xs)))]
-    xs = F.array_sort(F.filter(F.transform(c, lambda x: scalar(x)), lambda x: x.isNotNull()))
-    n, some = F.size(xs), F.size(xs) > 0
-    mean = total(xs) / n
-    own = {"mean": mean, "std": F.sqrt(total(F.transform(xs, lambda x: (x - mean) * (x - mean))) / n), "min": F.array_min(xs), "max": F.array_max(xs), "p50": percentile_of(xs, 0.5), "p90": percentile_of(xs, 0.9), "count": n.cast("double")}
-    return [(f"{name}__empty", F.when(F.size(c) == 0, 1.0)), (f"{name}__all_non_finite", F.when((F.size(c) > 0) & (n == 0), 1.0)), *((f"{name}__{k}", F.when(some, own[k])) for k in ARRAY_STATS)]
+        return pairs_of([empty, (f"{name}__mean", F.when(F.size(c) > 0, F.aggregate(c, F.lit(0.0), lambda a, x: a + F.coalesce(x.cast("double"), F.lit(0.0))) / F.size(c)))])
+
+    def figures(xs: Column, mean: Column) -> Column:
+        deviation = F.sqrt(F.aggregate(xs, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / F.size(xs))
+        own = {"mean": mean, "std": deviation, "min": F.get(xs, F.lit(0)), "max": F.get(xs, F.size(xs) - 1), "p50": percentile_of(xs, 0.5), "p90": percentile_of(xs, 0.9), "count": F.size(xs)}
+        return pairs_of([empty, (f"{name}__all_non_finite", F.when((F.size(c) > 0) & (F.size(xs) == 0), 1.0)), *((f"{name}__{k}", F.when(F.size(xs) > 0, own[k])) for k in ARRAY_STATS)])
+
+    finite_values = F.array_sort(F.filter(F.transform(c, lambda x: scalar(x)), lambda x: x.isNotNull()))
+    one = lambda x, then: F.get(F.transform(F.array(x), then), F.lit(0))
+    return F.coalesce(one(finite_values, lambda xs: one(F.when(F.size(xs) > 0, total(xs) / F.size(xs)), lambda mean: figures(xs, mean))), pairs_of([empty]))
 
 
-def one_level(payload: str, kind: S.StructType, prefix: str) -> list[tuple[str, Column]]:
-    """prefix__field of numbers, truth values and numeric arrays; strings and nested fields are left out."""
+def one_level(payload: str, kind: S.StructType, prefix: str) -> list[tuple[str, Column] | Column]:
+    """prefix__field of numbers, truth values and numeric arrays (as pairs); strings and nested fields are left out."""
     out = []
     for f in kind.fields:
         c, name = F.col(payload)[f.name], f"{prefix}__{f.name}"
         if numeric(f.dataType):
             out.append((name, scalar(c)))
         elif isinstance(f.dataType, S.ArrayType) and numeric(f.dataType.elementType):
-            out += array_summary(name, c, f.dataType.elementType)
+            out.append(array_summary(name, c, f.dataType.elementType))
     return out
 
 
@@ -69,10 +78,11 @@ def leaves(c: Column, kind: S.StructType, path: str = "", lists: bool = False) -
     return out
 
 
-def long_rows(df: DataFrame, keys: list[str], features: list[tuple[str, Column]]) -> DataFrame:
-    """A row (keys, feature, value) for each feature that has a value."""
-    pairs = F.array(*(F.struct(F.lit(k).alias("feature"), v.alias("value")) for k, v in features))
-    return df.select(*keys, F.inline(F.filter(pairs, lambda x: x["value"].isNotNull())))
+def long_rows(df: DataFrame, keys: list[str], features: list[tuple[str, Column] | Column]) -> DataFrame:
+    """A row (keys, feature, value) for each feature that has a value; features are named columns or arrays of pairs."""
+    single = [x for x in features if isinstance(x, tuple)]
+    pairs = F.concat(*([pairs_of(single)] if single else []), *(x for x in features if not isinstance(x, tuple)))
+    return df.select(*keys, F.inline(pairs)).filter("value is not null")
 
 
 def artifact_features(df: DataFrame, keys: list[str], skip: tuple[str, ...] = ("meta", "embedding", "embeddings", "ocr_raw", "ocr_unique_elements")) -> DataFrame:
@@ -88,7 +98,7 @@ def artifact_features(df: DataFrame, keys: list[str], skip: tuple[str, ...] = ("
     mapped = rest.select(*keys, "component", F.explode("features").alias("k", "v")).select(*keys, name(F.col("k")).alias("feature"), F.col("v").cast("double").alias("value"))
     arrays = rest.select(*keys, "component", F.explode("arrays").alias("k", "xs")).filter(~F.col("k").isin(*skip))
     stats = array_summary("x", F.col("xs"), S.DoubleType())
-    summed = long_rows(arrays, [*keys, "component", "k"], stats).select(*keys, F.concat(name(F.col("k")), F.expr("substring(feature, 2)")).alias("feature"), "value")
+    summed = long_rows(arrays, [*keys, "component", "k"], [stats]).select(*keys, F.concat(name(F.col("k")), F.expr("substring(feature, 2)")).alias("feature"), "value")
     return paired.union(mapped).union(summed).withColumn("value", finite(F.col("value"))).filter("value is not null")
 
 

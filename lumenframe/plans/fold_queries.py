@@ -153,20 +153,31 @@ SELECT event_id, CASE WHEN first THEN 1 ELSE 2 END AS stage FROM n WHERE first O
 WEIGHTS = {"purchase": 1.0, "signup": 0.75, "click": 0.5, "view": 0.25, "error": 0.125}
 
 
+#: Deviations over the mean, and days apart, of a user's events.
+STRONG, APART = 1.5, 3
+
+
 def multimodal(spark, d):
-    """Days on which a user's weighted curve beats mean + 1 deviation and both neighbours, with the type that adds most."""
+    """Days whose weighted curve beats the user's mean by 1.5 deviations and both neighbouring days, three days apart at least (the
+    higher first), with the type that adds most."""
     part = {k: F.sum(F.when(F.col("event_type") == k, F.col("value") * v).otherwise(0.0)).alias(k) for k, v in WEIGHTS.items()}
-    df = ev(spark, d).groupBy("user_id", F.to_date("ts").alias("day")).agg(*part.values())
+    df = ev(spark, d).groupBy("user_id", F.floor(F.unix_micros("ts") / (24 * HOUR)).alias("day")).agg(*part.values())
     df = df.withColumn("score", sum((F.col(k) for k in WEIGHTS), F.lit(0.0))).withColumn("top", F.array_max(F.array(*(F.struct(r(k).alias("x"), F.lit(k).alias("k")) for k in WEIGHTS)))["k"])
     w, x = Window.partitionBy("user_id").orderBy("day"), F.col("score")
-    df = df.withColumns({"b": F.lag(x).over(w), "a": F.lead(x).over(w), "bar": F.avg(x).over(whole()) + F.stddev_pop(x).over(whole())})
-    return df.filter((x > F.col("bar")) & (x > F.coalesce("a", F.lit(0.0))) & (x > F.coalesce("b", F.lit(0.0)))).select("user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "top", r(x).alias("score"))
+    df = df.withColumns({"b": F.lag(x).over(w), "a": F.lead(x).over(w), "bar": F.avg(x).over(whole()) + STRONG * F.stddev_pop(x).over(whole())})
+    found = df.filter((x > F.col("bar")) & (x > F.coalesce("a", F.lit(0.0))) & (x > F.coalesce("b", F.lit(0.0))))
+    kept = D.folded(found, "user_id", ["day"], ["day", "score"], "user_id long, day long", lambda rows: D.spread_peaks(APART)((t, h, t) for t, h in rows))
+    return found.join(kept, ["user_id", "day"]).select("user_id", F.date_format(F.date_from_unix_date(F.col("day").cast("int")), "yyyy-MM-dd").alias("day"), "top", r(x).alias("score"))
 
 
-MULTIMODAL = f"""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, {', '.join(f"sum(CASE WHEN event_type = '{k}' THEN value * {v}::DOUBLE ELSE 0.0 END) AS {k}" for k, v in WEIGHTS.items())} FROM events GROUP BY 1, 2),
+MULTIMODAL = f"""WITH RECURSIVE d AS (SELECT user_id, epoch_us(ts) // {24 * HOUR} AS day, {', '.join(f"sum(CASE WHEN event_type = '{k}' THEN value * {v}::DOUBLE ELSE 0.0 END) AS {k}" for k, v in WEIGHTS.items())} FROM events GROUP BY 1, 2),
 s AS (SELECT *, {' + '.join(WEIGHTS)} AS score, list_max([{', '.join(f"{{'x': round({k}, 6), 'k': '{k}'}}" for k in WEIGHTS)}]).k AS top FROM d),
-w AS (SELECT *, lag(score) OVER o AS b, lead(score) OVER o AS a, avg(score) OVER (PARTITION BY user_id) + stddev_pop(score) OVER (PARTITION BY user_id) AS bar FROM s WINDOW o AS (PARTITION BY user_id ORDER BY day))
-SELECT user_id, strftime(day, '%Y-%m-%d') AS day, top, round(score, 6) AS score FROM w WHERE score > bar AND score > coalesce(a, 0) AND score > coalesce(b, 0)"""
+w AS (SELECT *, lag(score) OVER o AS b, lead(score) OVER o AS a, avg(score) OVER (PARTITION BY user_id) + {STRONG}::DOUBLE * stddev_pop(score) OVER (PARTITION BY user_id) AS bar FROM s WINDOW o AS (PARTITION BY user_id ORDER BY day)),
+c AS MATERIALIZED (SELECT user_id, day, top, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, day) AS k FROM w WHERE score > bar AND score > coalesce(a, 0) AND score > coalesce(b, 0)),
+f(user_id, k, kept, day) AS (SELECT user_id, k, [day], day FROM c WHERE k = 1 UNION ALL
+SELECT c.user_id, c.k, CASE WHEN o.near THEN f.kept ELSE list_append(f.kept, c.day) END, CASE WHEN o.near THEN NULL ELSE c.day END
+FROM f JOIN c ON c.user_id = f.user_id AND c.k = f.k + 1, LATERAL (SELECT len(list_filter(f.kept, lambda x: abs(x - c.day) < {APART})) > 0 AS near) o)
+SELECT c.user_id, strftime(DATE '1970-01-01' + c.day::INT, '%Y-%m-%d') AS day, c.top, round(c.score, 6) AS score FROM f JOIN c ON c.user_id = f.user_id AND c.day = f.day"""
 
 #: Cycles a day of a period that is looked for.
 SLOWEST, FASTEST = 0.1, 5.0

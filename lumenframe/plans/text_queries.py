@@ -70,15 +70,34 @@ WITH t AS (SELECT doc_id, text, list_transform(regexp_extract_all(split_part(coa
 u AS (SELECT doc_id, text, list_filter(g, lambda x, i: list_position(g, x) = i) AS g FROM t)
 SELECT doc_id, len(g) AS n_tags, coalesce(array_to_string(g, ' '), '') AS tags, length({SQL_CLEAN.format(f"regexp_replace(text, '{TAG}', ' ', 'g')")}) AS n_without FROM u"""
 
-PATTERNS = {"n_urls": r"https?://[^ \t\n\r\"'<>]+", "n_mentions": r"@[A-Za-z0-9_.]+", "n_times": r"[0-9]{1,2}:[0-9]{2}", "n_numbers": r"[0-9]+", "n_exclamations": "!", "n_questions": r"\?"}
+# What counts as an address, a mention (no word character before it), a time, a date or time of day.
+URL, MENTION, TIME = r"(?i)https?://\S+|(?i)www\.\S+", r"(?<![\p{L}\p{N}_])@([A-Za-z0-9_.]+)", r"\b(?:[0-9]{1,2}:){1,2}[0-9]{2}\b"
+DATE = r"\b([0-9]{1,2}[./-][0-9]{1,2}([./-][0-9]{2,4})?|[0-9]{1,2}:[0-9]{2})\b"
+PATTERNS = {"n_urls": URL, "n_mentions": MENTION, "n_times": TIME, "n_numbers": r"[0-9]+", "n_exclamations": "!", "n_questions": r"\?"}
 
 
 def patterns(spark, d):
+    """Addresses, mentions, times, numbers and marks of pages, whether a date or time of day is named, and the host."""
     pages = spark.read.parquet(f"{d}/pages.parquet")
-    return pages.select("page_id", *(T.occurrences(F.col("html"), p).cast("long").alias(k) for k, p in PATTERNS.items()), F.regexp_extract("url", r"^https?://([^/?#:]+)", 1).alias("host"))
+    return pages.select("page_id", *(T.occurrences(F.col("html"), p).cast("long").alias(k) for k, p in PATTERNS.items()), F.coalesce("html", F.lit("")).rlike(DATE).alias("names_time"), F.regexp_extract("url", r"^https?://([^/?#:]+)", 1).alias("host"))
 
 
-PATTERNS_SQL = "SELECT page_id, " + ", ".join("len(regexp_extract_all(coalesce(html, ''), '" + p.replace("'", "''") + f"')) AS {k}" for k, p in PATTERNS.items()) + r", regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host FROM pages"
+PATTERNS_SQL = r"""SELECT page_id, len(regexp_extract_all(h, '(?i)https?://\S+|(?i)www\.\S+')) AS n_urls, len(regexp_extract_all(regexp_replace(h, '([^\p{L}\p{N}_])@', '\1 @', 'g'), '(?:^|[^\p{L}\p{N}_])@([A-Za-z0-9_.]+)')) AS n_mentions,
+len(regexp_extract_all(h, '\b(?:[0-9]{1,2}:){1,2}[0-9]{2}\b')) AS n_times, len(regexp_extract_all(h, '[0-9]+')) AS n_numbers, length(h) - length(replace(h, '!', '')) AS n_exclamations, length(h) - length(replace(h, '?', '')) AS n_questions,
+regexp_matches(h, '\b([0-9]{1,2}[./-][0-9]{1,2}([./-][0-9]{2,4})?|[0-9]{1,2}:[0-9]{2})\b') AS names_time, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host FROM (SELECT *, coalesce(html, '') AS h FROM pages)"""
+
+
+def title_figures(spark, d):
+    """Of each text's first line: words, characters, mean word length, exclamation and question marks."""
+    title = F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)
+    words, count = F.regexp_extract_all(title, F.lit(T.WORD), F.lit(0)), lambda c: (F.char_length(title) - F.char_length(F.replace(title, F.lit(c), F.lit("")))).cast("long")
+    length = F.aggregate(words, F.lit(0), lambda s, x: s + F.char_length(x))
+    return docs(spark, d).select("doc_id", F.size(words).cast("long").alias("words"), F.char_length(title).cast("long").alias("chars"), F.round(F.when(F.size(words) > 0, length / F.size(words)).otherwise(0.0), 6).alias("mean_word_length"), count("!").alias("exclamations"), count("?").alias("questions"))
+
+
+TITLE_FIGURES = r"""WITH t AS (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) AS t FROM documents), w AS (SELECT *, regexp_extract_all(t, '[\p{L}\p{N}_]+') AS w FROM t)
+SELECT doc_id, len(w) AS words, length(t) AS chars, round(CASE WHEN len(w) > 0 THEN list_sum(list_transform(w, lambda x: length(x))) / len(w) ELSE 0 END, 6) AS mean_word_length,
+length(t) - length(replace(t, '!', '')) AS exclamations, length(t) - length(replace(t, '?', '')) AS questions FROM w"""
 
 
 def chunks(spark, d, size: int = 40):
@@ -168,5 +187,5 @@ SPEAKERS = """
 WITH n AS (SELECT conv_id, coalesce(nullif(trim(role), ''), 'unknown') AS role, count(*) AS turns, sum(length(coalesce(text, '')))::BIGINT AS chars FROM conversations GROUP BY 1, 2)
 SELECT *, round(CASE WHEN sum(chars) OVER (PARTITION BY conv_id) > 0 THEN chars / sum(chars) OVER (PARTITION BY conv_id) ELSE 0 END, 6) AS share FROM n"""
 
-QUERIES = {"t_lexical": lexical, "t13_content_hash": content_hash, "t7_hashtags": hashtags, "t8_patterns": patterns, "t31_chunks": chunks, "t32_keyphrases": keyphrases, "t23_mark_entropy": mark_entropy, "t20_orthography": orthography, "t27_speech": speech, "a28_speakers": speakers}
-ORACLES = {"t_lexical": LEXICAL, "t13_content_hash": CONTENT_HASH, "t7_hashtags": HASHTAGS, "t8_patterns": PATTERNS_SQL, "t31_chunks": CHUNKS, "t32_keyphrases": KEYPHRASES, "t23_mark_entropy": MARK_ENTROPY, "t20_orthography": ORTHOGRAPHY, "t27_speech": SPEECH, "a28_speakers": SPEAKERS}
+QUERIES = {"t_lexical": lexical, "t13_content_hash": content_hash, "t7_hashtags": hashtags, "t9_title_figures": title_figures, "t8_patterns": patterns, "t31_chunks": chunks, "t32_keyphrases": keyphrases, "t23_mark_entropy": mark_entropy, "t20_orthography": orthography, "t27_speech": speech, "a28_speakers": speakers}
+ORACLES = {"t_lexical": LEXICAL, "t13_content_hash": CONTENT_HASH, "t7_hashtags": HASHTAGS, "t9_title_figures": TITLE_FIGURES, "t8_patterns": PATTERNS_SQL, "t31_chunks": CHUNKS, "t32_keyphrases": KEYPHRASES, "t23_mark_entropy": MARK_ENTROPY, "t20_orthography": ORTHOGRAPHY, "t27_speech": SPEECH, "a28_speakers": SPEAKERS}

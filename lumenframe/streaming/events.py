@@ -27,6 +27,16 @@ def windowed(df: DataFrame, window: Column, keys: list[str], aggs: list[Column],
     return df.withWatermark("ts", delay).groupBy(window.alias("w"), *keys).agg(*aggs)
 
 
+def closed(df: DataFrame, ts: str) -> DataFrame:
+    """A stream with a closing row: null but for a time far ahead, after which all windows of a replay are final. It is one file read
+    with the others, so it is for replays that take all files in one batch; a stream that runs on needs no closing row."""
+    spark = df.sparkSession
+    kind = df.schema[ts].dataType.simpleString()
+    path = sinks.shared(spark, "closing")
+    spark.range(1).select(*(F.lit("9999-01-01").cast(kind).alias(c.name) if c.name == ts else F.lit(None).cast(c.dataType).alias(c.name) for c in df.schema)).coalesce(1).write.parquet(path)
+    return df.union(spark.readStream.schema(df.schema).parquet(path))
+
+
 def latest(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
     """The newest row of each key, for update mode."""
     return df.groupBy(*keys).agg(F.max(F.struct(*order, *values)).alias("x"))
