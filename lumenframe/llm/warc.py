@@ -2,7 +2,11 @@
 
 Files are written by Spark's text sink, a record a row and a gzip member a record (bytes pass unchanged; the line separator is
 an empty gzip member), and read by its binary-file source, so they may lie on any store that Spark reaches. A reader unzips as
-it goes, whatever the members, and cuts records by their declared lengths only; it holds a file as stored and one record.
+it goes, whatever the members, and cuts records by their declared lengths only; it holds a file as stored and one record. A file
+is a row of that source, so one of 2 GB or more cannot be read.
+
+An ARC record whose content begins with an HTTP status line is a response; any other (a DNS answer, a file without headers) is a
+resource of the content type that its header line states; the version block becomes the file's warcinfo.
 """
 
 from __future__ import annotations
@@ -47,7 +51,7 @@ class Archive:
     """An archive file taken from the front, plain or of any number of gzip members."""
 
     def __init__(self, data: bytes):
-        self.data, self.at, self.held, self.zipped, self.member = memoryview(data), 0, bytearray(), data[:2] == b"\x1f\x8b", None
+        self.data, self.at, self.held, self.zipped, self.member, self.taken = memoryview(data), 0, bytearray(), data[:2] == b"\x1f\x8b", None, 0
 
     def more(self) -> bool:
         chunk = self.data[self.at : self.at + CHUNK]
@@ -70,6 +74,7 @@ class Archive:
                 raise ValueError(f"a record is cut short: {n - len(self.held)} bytes are missing")
         out = bytes(self.held[:n])
         del self.held[:n]
+        self.taken += n
         return out
 
     def until(self, end: bytes) -> bytes | None:
@@ -82,7 +87,7 @@ class Archive:
                     raise ValueError(f"a record's header is cut short: {bytes(self.held[:80])!r}")
                 return None
         out = self.take(at)
-        del self.held[: len(end)]
+        self.take(len(end))
         return out
 
     def skip(self, end: bytes) -> None:
@@ -92,24 +97,62 @@ class Archive:
                 pass
             if self.held[: len(end)] != end:
                 return
-            del self.held[: len(end)]
+            self.take(len(end))
 
 
-def parse_arc(data: bytes) -> Iterator[dict]:
-    """The records after the version block, whose second line says which header fields follow; an empty file has none."""
-    file = Archive(data)
-    if (line := file.until(b"\n")) is None:
-        return
-    names = file.take(int(line.rsplit(b" ", 1)[1])).decode().splitlines()[1].split(" ")
+class Fault(ValueError):
+    """What is wrong with a record, and where its header line begins (in bytes of the unzipped archive)."""
+
+    def __init__(self, offset: int, reason: str):
+        super().__init__(f"{reason} (at byte {offset})")
+        self.offset, self.reason = offset, reason
+
+
+def parse_arc(data: bytes, faults: list[Fault] | None = None) -> Iterator[dict]:
+    """The records of an archive: its version block (a record whose URL begins with ``filedesc:``), whose second line says which
+    fields the header lines have, then the others; an empty file has none. Each has its fields, ``offset`` and ``content``.
+
+    A malformed record is an error; with a list of ``faults`` it is noted there, and the archive is read on behind it where its
+    header line ends with a length, else no further. A URL may hold blanks; it takes what the other fields leave.
+    """
+    file, names = Archive(data), FIELDS[1].split()
+
+    def note(offset: int, reason: str) -> None:
+        fault = Fault(offset, reason)
+        if faults is None:
+            raise fault
+        faults.append(fault)
+
     while True:
         file.skip(b"\n")
-        if (line := file.until(b"\n")) is None:
+        file.skip(b"\r\n")
+        offset = file.taken
+        try:
+            if (line := file.until(b"\n")) is None:
+                return
+            head = line.rstrip(b"\r")
+            if not (length := head.rsplit(b" ", 1)[-1]).isdigit():
+                raise ValueError(f"a header line without a length: {head[:120]!r}")
+            content = file.take(int(length))
+        except (ValueError, zlib.error) as e:
+            note(offset, str(e))
             return
-        values = line.decode().split(" ")
-        if len(values) != len(names):
-            raise ValueError(f"an ARC header line has {len(values)} fields, not {len(names)}: {line[:200]!r}")
-        head = dict(zip(names, values, strict=True))
-        yield head | {"content": file.take(int(head["Archive-length"]))}
+        if head.startswith(b"filedesc:"):
+            names = (content.decode("utf-8", "replace").splitlines() + ["", ""])[1].split() or names
+            fields = dict(zip(FIELDS[1].split()[:4], head.split(b" "), strict=False))
+        else:
+            values = head.rsplit(b" ", len(names) - 1)
+            fields = dict(zip(names, values, strict=True)) if len(values) == len(names) else {}
+        own = {k: quoted(v) for k, v in fields.items()}
+        if not re.fullmatch("[0-9]{4}([0-9]{2}){0,5}", own.get("Archive-date", "")):
+            note(offset, f"a header line without the fields {' '.join(names)}: {head[:120]!r}")
+            continue
+        yield own | {"offset": offset, "content": content}
+
+
+def quoted(raw: bytes) -> str:
+    """A header field as text; bytes that are no printable ASCII are percent-encoded."""
+    return "".join(chr(b) if 0x21 <= b <= 0x7E else f"%{b:02X}" for b in raw)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
@@ -118,7 +161,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
         lines = block.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no WARC record: {lines[0][:80]!r}")
-        head = dict(x.split(": ", 1) for x in lines[1:])
+        head = {k: v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
         yield head, file.take(int(head["Content-Length"]))
         if file.take(4) != WARC_END:
             raise ValueError("a WARC record does not end where it says")
@@ -128,13 +171,34 @@ def http(page_id, payload: bytes) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nX-Page-Id: {'' if page_id is None else page_id}\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
 
 
-def http_field(block: bytes, name: str) -> str:
-    got = re.search(rf"(?:^|\r\n){name}: ([^\r]*)\r\n".encode(), block[: block.index(WARC_END) + 2])
-    return got[1].decode() if got else ""
+def parted(content: bytes) -> tuple[bytes, bytes]:
+    """An HTTP response's header, with the blank line that ends it, and its payload; header lines end in CRLF or LF. Without a blank
+    line all is header."""
+    ends = [at + len(end) for end in (WARC_END, b"\n\n") if (at := content.find(end)) >= 0]
+    cut = min(ends, default=len(content))
+    return content[:cut], content[cut:]
+
+
+def http_field(header: bytes, name: str) -> str:
+    got = re.search(rf"(?:^|\n){name}:[ \t]*([^\r\n]*)".encode(), header, re.IGNORECASE)
+    return got[1].decode("utf-8", "replace").strip() if got else ""
+
+
+def page_of(header: bytes) -> int | None:
+    """The page that a header of ours names."""
+    named = http_field(header, "X-Page-Id")
+    return int(named) if re.fullmatch("-?[0-9]{1,18}", named) else None
+
 
+def record_id(path: str, offset: int) -> str:
+    """A name of its own for each record: its archive's path and place there, so that repeated rows have different ones."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{path}#{offset}')}>"
 
-def record_id(page_id, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+
+def warc_date(arc: str) -> str:
+    """An ARC date of 4 to 14 digits; what is missing is the first month or day, or midnight."""
+    d = arc + "00000101000000"[len(arc) :]
+    return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
 def zipped(record: bytes) -> bytes:
@@ -209,14 +273,14 @@ def write_arc(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str
 
 
 def parsed(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
-    """Rows that ``rows(data)`` makes of each archive file, plain or gzip."""
+    """Rows that ``rows(path, data)`` makes of each archive file, plain or gzip."""
     kinds = common.arrow_schema(spark, schema)
 
     def run(batches):
         for batch in batches:
-            for file in batch["content"]:
+            for name, file in zip(batch["path"], batch["content"], strict=True):
                 held, size = [], 0
-                for row in rows(file.as_py()):
+                for row in rows(name.as_py(), file.as_py()):
                     held.append(row)
                     size += 500 + len(row.get("block") or b"")
                     if size > common.BATCH_BYTES:
@@ -225,32 +289,59 @@ def parsed(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=kinds)
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(run, schema)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, schema)
+
+
+ARC = "record_id string, kind string, page_id long, url string, ip string, date string, content_type string, payload_bytes long, digest string"
+WARC = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string, warc_date string, content_type string"
+
+
+def arc_rows(path: str, data: bytes, block: bool, skip: bool) -> Iterator[dict]:
+    for r in parse_arc(data, [] if skip else None):
+        content, kind, page = r["content"], "resource", None
+        if r["URL"].startswith("filedesc:"):
+            kind, payload = "warcinfo", content
+        elif content[:5] == b"HTTP/":
+            kind = "response"
+            header, payload = parted(content)
+            page = page_of(header)
+        else:
+            payload = content
+        out = {"record_id": record_id(path, r["offset"]), "kind": kind, "page_id": page, "url": r["URL"], "ip": r["IP-address"], "date": r["Archive-date"], "content_type": r["Content-type"], "payload_bytes": len(payload), "digest": hashlib.sha256(payload).hexdigest()}
+        yield out | {"block": content} if block else out
 
 
-ARC = "page_id long, url string, ip string, date string, payload_bytes long, digest string"
+def arc_faults(spark: SparkSession, arc: str) -> DataFrame:
+    """path, offset and reason of each malformed record: all that a conversion with ``malformed="skip"`` leaves out, but for what
+    lies behind a record without a length or cut short, which ends its file."""
 
+    def rows(path: str, data: bytes) -> Iterator[dict]:
+        faults: list[Fault] = []
+        for _ in parse_arc(data, faults):
+            pass
+        return ({"path": path, "offset": f.offset, "reason": f.reason} for f in faults)
 
-def arc_rows(data: bytes, block: bool) -> Iterator[dict]:
-    for r in parse_arc(data):
-        payload = r["content"][r["content"].index(WARC_END) + 4 :]
-        i = http_field(r["content"], "X-Page-Id")
-        out = {"page_id": int(i) if i else None, "url": r["URL"], "ip": r["IP-address"], "date": r["Archive-date"], "payload_bytes": len(payload), "digest": hashlib.sha256(payload).hexdigest()}
-        yield out | {"block": r["content"]} if block else out
+    return parsed(spark, arc, "path string, offset long, reason string", rows)
 
 
-def convert(spark: SparkSession, arc: str, path: str, *, broadcast_max: int = BROADCAST_MAX) -> str:
+def convert(spark: SparkSession, arc: str, path: str, *, malformed: str = "raise", broadcast_max: int = BROADCAST_MAX) -> str:
     """ARC files of version 1 or 2 to WARC 1.1: identifiers, timestamps, types and digests are made from the records.
 
-    Of equal payloads of LEAST_BYTES or more the record of the smallest page is the response, the others are revisits of it
-    without the payload; rows that repeat that page stay responses, and pages without an id never become one for others.
-    An archive without records gives one without records.
+    HTTP responses become responses, other content resources of its own content type, version blocks warcinfo records. Of equal
+    payloads of pages of ours (LEAST_BYTES or more) the record of the smallest page is the response, the others are revisits of
+    it without the payload; rows that repeat that page stay responses, and records without a page never become one for
+    others, nor are they kept as revisits of each other. A malformed record is an error, or with ``malformed="skip"`` left
+    out (``arc_faults`` lists them). An archive without records gives one without records.
     """
-    known = parsed(spark, arc, ARC, lambda data: arc_rows(data, False))
-    first = known.filter(F.col("payload_bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first")
+    if malformed not in ("raise", "skip"):
+        raise ValueError("malformed records are raised or skipped")
+    skip = malformed == "skip"
+    known = parsed(spark, arc, ARC, lambda name, data: arc_rows(name, data, False, skip))
+    first = known.filter((F.col("payload_bytes") >= LEAST_BYTES) & (F.col("kind") == "response")).groupBy("digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id"))).alias("x"), F.count("*").alias("n"))
+    first = first.filter("n > 1 and x is not null").select("digest", F.col("x.page_id").alias("first"), F.col("x.record_id").alias("first_record"))
     first = common.stored(first, "repeated")
     first = F.broadcast(first) if first.count() <= broadcast_max else first
-    rows = parsed(spark, arc, f"{ARC}, block binary", lambda data: arc_rows(data, True)).join(first, "digest", "left")
+    rows = parsed(spark, arc, f"{ARC}, block binary", lambda name, data: arc_rows(name, data, True, skip)).join(first, "digest", "left")
 
     def run(batches):
         files = Files()
@@ -269,32 +360,47 @@ def convert(spark: SparkSession, arc: str, path: str, *, broadcast_max: int = BR
 
 
 def warc_record(r: dict) -> bytes:
-    block, d = r["block"], r["date"]
-    again = r["first"] is not None and r["page_id"] != r["first"]
-    if again:
-        block = block[: block.index(WARC_END) + 4]
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if again else 'response'}", f"WARC-Record-ID: {record_id(r['page_id'], r['digest'])}", f"WARC-Date: {d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z", f"WARC-Target-URI: {r['url']}", f"WARC-IP-Address: {r['ip']}", f"WARC-Payload-Digest: sha256:{r['digest']}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}"]
-    if again:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(r['first'], r['digest'])}", f"Refers-To-Page-Id: {r['first']}"]
-    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    block, kind = r["block"], r["kind"]
+    if kind == "warcinfo":
+        told = block.decode("utf-8", "replace").splitlines() or [""]
+        block = f"software: lumenframe\r\nformat: WARC File Format 1.1\r\ndescription: converted from {r['url']}, ARC {told[0]}\r\n".encode()
+    elif kind == "response" and r["first"] is not None and r["page_id"] != r["first"] and r["payload_bytes"] >= LEAST_BYTES:
+        kind, block = "revisit", parted(block)[0]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {r['record_id']}", f"WARC-Date: {warc_date(r['date'])}"]
+    if kind == "warcinfo":
+        head += [f"WARC-Filename: {r['url'].removeprefix('filedesc://')}"]
+    else:
+        head += [f"WARC-Target-URI: {r['url']}", *([f"WARC-IP-Address: {r['ip']}"] if r["ip"] and r["ip"] != "-" else []), f"WARC-Payload-Digest: sha256:{r['digest']}", f"Payload-Length: {r['payload_bytes']}"]
+    head += [f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}"]
+    if kind == "revisit":
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {r['first_record']}", f"Refers-To-Page-Id: {r['first']}"]
+    own = r["content_type"] if r["content_type"] not in (None, "", "-", "no-type") else "application/octet-stream"
+    head += [f"Content-Type: {'application/warc-fields' if kind == 'warcinfo' else own if kind == 'resource' else 'application/http; msgtype=response'}", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + WARC_END + block
 
 
-def warc_rows(data: bytes) -> Iterator[dict]:
-    """What the archive says of each record; a response's payload must have the length and the digest that it states."""
+def warc_rows(path: str, data: bytes) -> Iterator[dict]:
+    """What the archive says of each record; the payload of a response or resource must have the length and the digest stated."""
     for head, block in parse_warc(data):
-        if hashlib.sha256(block).hexdigest() != head["WARC-Block-Digest"].removeprefix("sha256:"):
+        if (stated := head.get("WARC-Block-Digest", "")).startswith("sha256:") and hashlib.sha256(block).hexdigest() != stated.removeprefix("sha256:"):
             raise ValueError(f"the block of {head['WARC-Record-ID']} has another digest")
-        i, size, digest = http_field(block, "X-Page-Id"), int(http_field(block, "Content-Length")), head["WARC-Payload-Digest"].removeprefix("sha256:")
-        if head["WARC-Type"] == "response":
-            payload = block[block.index(WARC_END) + 4 :]
-            if (len(payload), hashlib.sha256(payload).hexdigest()) != (size, digest):
+        kind, header, payload = head["WARC-Type"], b"", block
+        if kind in ("response", "revisit") and block[:5] == b"HTTP/":
+            header, payload = parted(block)
+        size, digest = head.get("Payload-Length") or (http_field(header, "Content-Length") if kind == "revisit" else ""), head.get("WARC-Payload-Digest", "")
+        if kind != "revisit":
+            own = hashlib.sha256(payload).hexdigest()
+            if (size.isdigit() and int(size) != len(payload)) or (digest.startswith("sha256:") and digest != f"sha256:{own}"):
                 raise ValueError(f"the payload of {head['WARC-Record-ID']} is not the one stated")
-        yield {"page_id": int(i) if i else None, "payload_bytes": size, "payload_digest": digest, "record_type": head["WARC-Type"], "refers_to": int(head["Refers-To-Page-Id"]) if "Refers-To-Page-Id" in head else None, "record_id": head["WARC-Record-ID"], "target_uri": head["WARC-Target-URI"], "warc_date": head["WARC-Date"]}
+            size, digest = str(len(payload)), own
+        refers = head.get("Refers-To-Page-Id")
+        yield {"page_id": page_of(header), "payload_bytes": int(size) if size.isdigit() else None, "payload_digest": digest.removeprefix("sha256:") or None, "record_type": kind, "refers_to": int(refers) if refers else None, "record_id": head["WARC-Record-ID"], "target_uri": head.get("WARC-Target-URI"), "warc_date": head["WARC-Date"], "content_type": head.get("Content-Type")}
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    return parsed(spark, path, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string, warc_date string", warc_rows)
+def read_warc(spark: SparkSession, path: str, *, info: bool = False) -> DataFrame:
+    """A row per record, those of ``warcinfo`` with ``info`` only."""
+    rows = parsed(spark, path, WARC, warc_rows)
+    return rows if info else rows.filter("record_type <> 'warcinfo'")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
