@@ -139,6 +139,6 @@ def test_chance_matches_are_clean(spark):
     instruction = "Read the passage below with care and then choose the one answer that fits best from the list:"
     items = {1: "12 + 7 = ?", 2: "Paris", 3: f"{instruction} why did the old river turn to the north beyond the hills", 4: f"{instruction} how many ships left the harbour before the storm came in", 5: f"{instruction} how many ships left the harbour before the storm came in"}
     clean = {1: "See tables 12, 7 and others.", 2: "They went to Paris in spring and to Rome after that.", 3: f"{instruction} what colour has the roof of the house beside the church", 4: f"Tests begin like this. {instruction}"}
-    bad = {11: "What is 12 + 7 = ? Tell me.", 12: "The answer:\nParis\nis right.", 13: items[3], 14: items[4], 15: "how many ships left the harbour before the storm came in is asked"}
+    bad = {11: "What is 12 + 7 = ? Tell me.", 12: "The answer:\nParis\nis right.", 13: items[3], 14: items[4]}
     got = check(spark, clean | bad, items)
     assert {d for d, _ in got} == set(bad) and {i for d, i in got if d == 14} == {4, 5}
