@@ -110,7 +110,7 @@ def scan_licences(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id"
     """
     pairs = known_digests(docs.sparkSession, known).orderBy("digest").collect()  # as many as are listed
     table = F.create_map(*(F.lit(x) for r in pairs for x in (r["digest"], r["license_id"]))) if pairs else F.create_map().cast("map<string,string>")
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike("(?i)licen[cs]e"))
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     found = F.transform(lines, lambda x: F.element_at(table, F.sha2(canonical(x), 256)))
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.sha2(canonical(F.col(text)), 256).alias("digest"), F.array_join(F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))), ",").alias("line_licenses"))
     return own.join(F.broadcast(known_digests(docs.sparkSession, known)), "digest", "left").select("doc_id", "digest", "license_id", "line_licenses")
@@ -126,7 +126,7 @@ def op8_sql() -> str:
     return f"""
     WITH known AS (SELECT digest, min(k) AS license_id FROM (SELECT k, sha256({canonical_sql('t')}) AS digest FROM (VALUES {rows}) v(k, t) UNION ALL SELECT * FROM (VALUES {listed}) w(k, digest)) GROUP BY 1),
     lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-    hits AS (SELECT DISTINCT doc_id, license_id FROM (SELECT doc_id, sha256({canonical_sql('line')}) AS digest FROM lines WHERE regexp_matches(line, '(?i)licen[cs]e')) JOIN known USING (digest)),
+    hits AS (SELECT DISTINCT doc_id, license_id FROM (SELECT doc_id, sha256({canonical_sql('line')}) AS digest FROM lines) JOIN known USING (digest)),
     joined AS (SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS l FROM hits GROUP BY 1),
     own AS (SELECT doc_id, sha256({canonical_sql('text')}) AS digest FROM documents)
     SELECT own.doc_id, own.digest, known.license_id, coalesce(joined.l, '') AS line_licenses

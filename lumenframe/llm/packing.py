@@ -145,18 +145,23 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
             yield common.batch_of({"doc_id": batch["doc_id"], "start": batch["start"], "length": np.full(batch.num_rows, WINDOW), "ids_crc32": batch["ids_crc32"], "doc_tokens": batch["doc_tokens"], "sequence_id": 2 * number + 1, "offset": np.zeros(batch.num_rows, np.int64)}, kinds)
 
     def shards(batches):
-        """Shards of a task, which come in order; an overfull one is cut."""
-        held, now, done = [], None, 0
+        """Shards of a task, which come in order; an overfull one is cut after each 2 * SHARD rests, whatever the batches."""
+        held, size, now, done = [], 0, None, 0
         for batch in filter(len, batches):
             ends = np.flatnonzero(np.diff(batch["shard"].to_numpy())) + 1
-            for a, b in zip([0, *ends], [*ends, batch.num_rows], strict=True):
-                number = batch["shard"][int(a)].as_py()
-                if number != now or sum(x.num_rows for x in held) > 2 * SHARD:
+            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows], strict=True):
+                number = batch["shard"][a].as_py()
+                if number != now:
                     if held:
                         yield shard(pa.Table.from_batches(held), now, done)
-                    done = done + sum(x.num_rows for x in held) if number == now else 0
-                    held, now = [], number
-                held.append(batch.slice(int(a), int(b - a)))
+                    held, size, now, done = [], 0, number, 0
+                while a < b:
+                    take = min(b - a, 2 * SHARD - size)
+                    held.append(batch.slice(a, take))
+                    a, size = a + take, size + take
+                    if size == 2 * SHARD:
+                        yield shard(pa.Table.from_batches(held), now, done)
+                        held, size, done = [], 0, done + size
         if held:
             yield shard(pa.Table.from_batches(held), now, done)
 
@@ -180,7 +185,7 @@ def pack(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabul
         terms[r["term"]] = r["count"]
     count = max(1, -(-int(terms.sum()) // SHARD))
     place = spark.createDataFrame([(int(t), int(a), int(k)) for t, a, k in zip(np.flatnonzero(terms), (np.cumsum(terms) - terms)[terms > 0], terms[terms > 0], strict=True)], "term int, before long, of_term long")
-    number = F.floor((F.col("before") + F.pmod(F.xxhash64("doc_id", "start"), F.col("of_term"))) / SHARD).cast("long").alias("shard")
+    number = F.floor((F.col("before") + F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("of_term"))) / SHARD).cast("long").alias("shard")
     rest = rest.join(F.broadcast(place), "term").select(number, "doc_id", "start", "doc_tokens", "ids_crc32", "tokens")
     rest = rest.repartition(count, "shard").sortWithinPartitions("shard", "doc_id", "start", "ids_crc32").mapInArrow(shards, PIECES)
     return full.union(rest)

@@ -5,6 +5,7 @@ A reader that wants a few documents, or the metadata alone, decodes only the pag
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -23,8 +24,8 @@ from . import common
 VOCABULARY, END = "word_bpe_49k.json", 2
 #: Ids that word_bpe_49k.json can give: 0 to 49407.
 N_IDS = 49408
-#: Pieces that a Python worker keeps; later new ones are encoded each time.
-KEPT = 900_000
+#: Pieces that a Python worker keeps, and letters of the longest; others are encoded each time.
+KEPT, KEPT_LETTERS = 900_000, 64
 
 # The vocabulary file's own split pattern, in general and for texts of code points below 256.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -47,7 +48,7 @@ class Pieces(dict):
     def __missing__(self, piece):
         raw = piece.decode("latin-1").encode() if self.decode else piece.encode()
         got = np.array([x.id for x in self.model.tokenize(raw.decode("latin-1").translate(self.letters))], "<u4").tobytes()
-        if len(self) < KEPT:
+        if len(self) < KEPT and len(piece) <= KEPT_LETTERS:
             self[piece] = got
         return got
 
@@ -56,7 +57,7 @@ class Encoder:
     """``Tokenizer.encode(text, add_special_tokens=False).ids`` of the word vocabulary, with a memo of pieces.
 
     The file's steps (normal form, lower case, split) are done on the text, the library's model encodes each new piece.
-    Texts with the vocabulary's special strings go to the library whole.
+    Texts with the vocabulary's special strings go to the library whole. A file of other steps or more ids is an error.
     """
 
     def __init__(self, path: str):
@@ -64,6 +65,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        made = json.loads(self.whole.to_str())
+        steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])], [(x["type"], x.get("pattern", {}).get("Regex")) for x in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        if steps != (["NFC", "Replace", "Lowercase"], [("Split", SPLIT.pattern), ("ByteLevel", None)]) or self.whole.get_vocab_size() > N_IDS:
+            raise ValueError(f"{path} has other steps than {VOCABULARY}, or more than {N_IDS} ids")
         self.latin, self.wide = Pieces(self.whole.model, "latin-1"), Pieces(self.whole.model, "")
 
     def __call__(self, text: str) -> bytes:
@@ -102,7 +107,9 @@ def write_tokens(docs: DataFrame, path: str, *, text: str = "text", doc_id: str
     Columns: doc_id, part and part_start (ids of the documents before it in its file), n_tokens, tokens (list of int, end
     id included). ``encoding``: "dictionary", or "delta" (binary packed). Row groups hold ``group_bytes`` and pages
     ``page_bytes`` at most, with column and offset indexes, so a filter on doc_id skips pages. A null text is an empty one,
-    a null id comes first, repeated rows stay, an empty table gives an empty dataset; other columns are not read.
+    a null id comes first, rows that share an id are ordered by a hash of their texts (so a row's place does not depend on
+    partitions, and an id of many rows is spread over files), repeated rows stay, an empty table gives an empty dataset;
+    other columns are not read.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
@@ -119,7 +126,8 @@ def write_tokens(docs: DataFrame, path: str, *, text: str = "text", doc_id: str
             before += int(sizes.sum())
             yield common.batch_of({"doc_id": batch["doc_id"], "part": np.full(len(ids), part), "part_start": starts, "n_tokens": sizes, "tokens": common.lists(ids, pa.int32())}, kinds)
 
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     writer = ordered.mapInArrow(run, schema).write.option("compression", "zstd").option("parquet.block.size", group_bytes).option("parquet.page.size", page_bytes)
     if encoding == "delta":
         writer = writer.option("parquet.enable.dictionary", "false").option("parquet.writer.version", "v2")
