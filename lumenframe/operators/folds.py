@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 import itertools
+import math
 from collections.abc import Callable, Iterable, Iterator
 from operator import itemgetter
 
@@ -202,25 +204,88 @@ def likeness(a: str, b: str) -> float:
     return 1 - row[-1] / max(len(a), len(b))
 
 
+class Middle:
+    """The median of numbers that come one by one, from a heap of the lower half and one of the upper."""
+
+    def __init__(self):
+        self.low, self.high = [], []
+
+    def add(self, x: float) -> float:
+        if self.low and x > -self.low[0]:
+            heapq.heappush(self.high, x)
+        else:
+            heapq.heappush(self.low, -x)
+        if len(self.low) > len(self.high) + 1:
+            heapq.heappush(self.high, -heapq.heappop(self.low))
+        elif len(self.high) > len(self.low):
+            heapq.heappush(self.low, -heapq.heappop(self.high))
+        return -self.low[0] if len(self.low) > len(self.high) else (self.high[0] - self.low[0]) / 2
+
+
+class Boxes:
+    """Boxes by number, found by overlap: each lies in the cell of its centre, in a grid of its own width's and height's power of two.
+
+    If two boxes' intersection is a share ``t`` (over 0.5) of their union, their widths differ by less than 1 / t, a factor under
+    two, and their centres by (1 - t) of the greater width at most; heights alike. So few cells are looked into.
+    """
+
+    def __init__(self, t: float):
+        self.t, self.cells, self.of = t, {}, {}
+
+    @staticmethod
+    def spans(box):
+        return ((box[2] - box[0], (box[0] + box[2]) / 2), (box[3] - box[1], (box[1] + box[3]) / 2))
+
+    def put(self, n: int, box) -> None:
+        cell = None
+        if all(size > 0 for size, _ in self.spans(box)):
+            cell = tuple((level := math.frexp(size)[1], math.floor(at / 2.0**level)) for size, at in self.spans(box))
+        if self.of.get(n) != cell:
+            if self.of.get(n) is not None:
+                self.cells[self.of[n]].discard(n)
+            if cell is not None:
+                self.cells.setdefault(cell, set()).add(n)
+            self.of[n] = cell
+
+    def near(self, box) -> list[int]:
+        """The numbers of all boxes that may overlap this one by the share, in order."""
+        sides = []
+        for size, at in self.spans(box):
+            if size <= 0:
+                return []
+            reach = (1 - self.t) * size / self.t
+            level = math.frexp(size)[1]
+            sides.append([(k, c) for k in (level - 1, level, level + 1) for c in range(math.floor((at - reach) / 2.0**k), math.floor((at + reach) / 2.0**k) + 1)])
+        return sorted(n for x in sides[0] for y in sides[1] for n in self.cells.get((x, y), ()))
+
+
 def captions(overlap: float, least: float) -> Callable:
-    """(id, element) of (id, text, x1, y1, x2, y2): a detection joins the element whose middle box overlaps it by ``overlap``
-    or more with the best mean of overlap and likeness above ``least``; else it begins one."""
+    """(id, element) of (id, text, x1, y1, x2, y2): a detection joins the element whose middle box overlaps it by ``overlap`` (over 0.5)
+    or more with the best mean of overlap and likeness above ``least``, of equal ones the first; else it begins one.
+
+    An element keeps its text and the numbers of its boxes in heaps; a detection is held against the elements in its reach only.
+    """
+    if overlap <= 0.5:
+        raise ValueError("boxes are found by an overlap of more than half")
 
     def machine(rows):
-        elements: list[tuple[str, list[tuple]]] = []
+        elements: list[tuple[str, list[Middle]]] = []
+        boxes, middles = Boxes(overlap), []
         for i, text, *box in rows:
             best, found = least, None
-            for n, (own, boxes) in enumerate(elements):
-                middle = tuple((v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2 for v in map(sorted, zip(*boxes, strict=True)))
+            for n in boxes.near(box):
+                middle = middles[n]
                 area = (box[2] - box[0]) * (box[3] - box[1]) + (middle[2] - middle[0]) * (middle[3] - middle[1])
                 inter = max(0.0, min(box[2], middle[2]) - max(box[0], middle[0])) * max(0.0, min(box[3], middle[3]) - max(box[1], middle[1]))
                 got = inter / (area - inter + 1e-6)
-                if got >= overlap and (score := 0.5 * got + 0.5 * likeness(text, own)) > best:
+                if got >= overlap and 0.5 * got + 0.5 > best and (score := 0.5 * got + 0.5 * likeness(text, elements[n][0])) > best:
                     best, found = score, n
             if found is None:
                 found = len(elements)
-                elements.append((text, []))
-            elements[found][1].append(tuple(box))
+                elements.append((text, [Middle() for _ in box]))
+                middles.append(None)
+            middles[found] = tuple(m.add(v) for m, v in zip(elements[found][1], box, strict=True))
+            boxes.put(found, middles[found])
             yield i, found
 
     return machine

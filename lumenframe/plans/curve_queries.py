@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import signal as G
 from ..operators import curves as C
-from ..operators import decoding
+from ..operators import cuts as K
+from ..operators import decoding, folds
 from ..streaming import events as E
 from .flow_queries import HOURS, W, by_user, ev, r
 from .fold_queries import HOUR, timed
@@ -108,6 +109,22 @@ def decoded_tokens(spark, d):
     return text.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"), F.substring("text", 1, 40).alias("head"))
 
 
+def soft_cuts(spark, d):
+    """Fades and dissolves of a user's rows: light and tone are means of the last rows, picture change is that of the light."""
+    w = by_user()
+    df = timed(spark, d).withColumns({"light": F.avg("value").over(w.rowsBetween(-7, 0)) / 2500, "tone": F.avg("value").over(w.rowsBetween(-11, 0)) / 2500})
+    df = df.withColumns({"change": F.abs(F.col("light") - F.lag("light").over(w)) * 8, "motion": F.pmod("event_id", F.lit(5)) / 2})
+    return K.soft_cuts(df, "user_id", ["t", "event_id"], "light", "tone", "change", "motion", K.Rules(change=0.04, follow=0.1))
+
+
+def caption_groups(spark, d):
+    """Elements that a user's captions (event types, every other with a mark) belong to, by the overlap of their boxes and likeness."""
+    i = F.col("event_id")
+    box = {"x1": i * 37 % 4 * 30 + i % 3, "y1": i * 11 % 3 * 20.0, "x2": i * 37 % 4 * 30 + 40 + i % 5, "y2": i * 11 % 3 * 20 + 15.0 + i % 2}
+    df = timed(spark, d).select("user_id", "t", "event_id", F.concat("event_type", F.when(i % 2 == 1, "!").otherwise("")).alias("caption"), *(v.cast("double").alias(k) for k, v in box.items()))
+    return folds.folded(df, "user_id", ["t", "event_id"], ["event_id", "caption", *box], "user_id long, event_id long, element long", folds.captions(0.6, 0.8))
+
+
 _ALL = {"m11_cross_correlation": (cross_correlation, CROSS_CORRELATION), "m14_local_fit": (local_fit, LOCAL_FIT), "r7_stream_sessions": (stream_sessions, STREAM_SESSIONS)}
-QUERIES = {k: v[0] for k, v in _ALL.items()} | {"m11_time_warping": time_warping, "e15_unit_flashes": unit_flashes, "p7_decoded_tokens": decoded_tokens}
+QUERIES = {k: v[0] for k, v in _ALL.items()} | {"m11_time_warping": time_warping, "e15_unit_flashes": unit_flashes, "p7_decoded_tokens": decoded_tokens, "e7_soft_cuts": soft_cuts, "j8_caption_groups": caption_groups}
 ORACLES = {k: v[1] for k, v in _ALL.items()}
