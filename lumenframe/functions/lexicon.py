@@ -63,9 +63,12 @@ def overlap_chunks(sentences: Column, most: int, share: float) -> Column:
         return F.when(s["end"] > s["begin"], F.concat(s["done"], F.array(F.struct(s["begin"].alias("begin"), s["end"].alias("end"))))).otherwise(s["done"])
 
     start = F.struct(F.array().cast("array<struct<begin:int,end:int>>").alias("done"), F.lit(0).alias("begin"), F.lit(0).alias("end"))
-    stretches = F.aggregate(F.transform(sentences, lambda x: F.size(F.split(x, " "))), start, step, finish)
-    # Within transform the words are a variable, so they are split once.
-    return F.flatten(F.transform(F.array(F.split(F.array_join(sentences, " "), " ")), lambda words: F.transform(stretches, lambda c: F.slice(words, c["begin"] + 1, c["end"] - c["begin"]))))
+    def chunks(own):
+        stretches = F.aggregate(F.transform(own, lambda x: F.size(F.split(x, " "))), start, step, finish)
+        return F.flatten(F.transform(F.array(F.split(F.array_join(own, " "), " ")), lambda words: F.transform(stretches, lambda c: F.slice(words, c["begin"] + 1, c["end"] - c["begin"]))))
+
+    # Within transform the sentences and the words are variables, so they are found once.
+    return F.flatten(F.transform(F.array(sentences), chunks))
 
 
 def is_rare(word: Column) -> Column:

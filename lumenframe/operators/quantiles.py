@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Cells that a group's values are cut into (a power of two), and the accuracy of the sketch that cuts them.
-CELLS, ACCURACY = 256, 10_000
+#: Accuracy of the sketch that bounds the wanted places, and the share of a group's values that is kept on either side of them,
+#: well beyond what the sketch may be off; groups of fewer than SMALL values are kept whole.
+ACCURACY, MARGIN, SMALL = 10_000, 0.002, 1_000
 
 
 def ranked(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -26,26 +27,31 @@ def at(value: str, q: float) -> Column:
 def grouped(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
     """keys and a column for each wanted quantile, for few keys with any number of rows.
 
-    A sketch of fixed size cuts each key's values into CELLS; their sizes say which cells hold the wanted places, and only
-    those cells are looked at value by value. Equal values share a cell and are counted before they are moved.
+    One pass makes a sketch of fixed size, which says between which values each wanted place surely lies; another counts the
+    values below and keeps those between, equal ones as a count, before anything is moved. Only these are ranked. That they hold
+    the wanted places is checked; if they did not, the query would fail.
     """
     df = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    cuts = df.groupBy(*keys).agg(F.percentile_approx("_v", [i / CELLS for i in range(1, CELLS)], ACCURACY).alias("_cuts"))
-    steps = F.array(*(F.lit(1 << k) for k in range(CELLS.bit_length() - 2, -1, -1)))  # a search by halves: how many cuts are less
-    cell = F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(F.get("_cuts", n + step - 1) < F.col("_v"), step).otherwise(0))
-    values = df.join(cuts, keys).select(*keys, cell.alias("_cell"), "_v")
-    sizes = values.groupBy(*keys, "_cell").agg(F.count("*").alias("_size"))
-    w = Window.partitionBy(*keys)
-    sizes = sizes.withColumn("_n", F.sum("_size").over(w)).withColumn("_before", F.sum("_size").over(w.orderBy("_cell")) - F.col("_size"))
-    places = F.array(*(F.struct(F.lit(k).alias("name"), ((F.col("_n") - 1) * F.lit(q)).alias("place")) for k, q in wanted.items()))
-    asked = sizes.select(*keys, "_cell", "_size", "_before", F.explode(places).alias("_p")).select(*keys, "_cell", "_size", "_before", F.explode(F.array(F.struct("_p.name", F.floor("_p.place").alias("at"), (1 - (F.col("_p.place") - F.floor("_p.place"))).alias("weight")), F.struct("_p.name", (F.floor("_p.place") + 1).alias("at"), (F.col("_p.place") - F.floor("_p.place")).alias("weight")))).alias("_a"))
-    asked = asked.filter("_a.weight > 0 and _a.at >= _before and _a.at < _before + _size")
-    cells = asked.groupBy(*keys, "_cell").agg(F.max("_before").alias("_before"), F.collect_list("_a").alias("_asked"))  # as many as are wanted, twice
-    own = values.join(cells.select(*keys, "_cell"), [*keys, "_cell"], "left_semi").groupBy(*keys, "_cell", "_v").agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*keys, "_cell").orderBy("_v"))
-    own = own.withColumn("_to", upto).join(cells, [*keys, "_cell"])
-    hit = own.select(*keys, "_v", (F.col("_before") + F.col("_to") - F.col("_c")).alias("_from"), (F.col("_before") + F.col("_to")).alias("_to"), F.explode("_asked").alias("_a")).filter("_a.at >= _from and _a.at < _to")
-    return hit.groupBy(*keys).agg(*(F.sum(F.when(F.col("_a.name") == k, F.col("_v") * F.col("_a.weight"))).alias(k) for k in wanted))
+    shares = [min(1.0, max(0.0, q + side)) for q in wanted.values() for side in (-MARGIN, MARGIN)]
+    bounds = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.percentile_approx("_v", shares, ACCURACY).alias("_b"))
+    kept = []
+    for i, (k, q) in enumerate(wanted.items()):
+        low, high = F.get("_b", F.lit(2 * i)), F.get("_b", F.lit(2 * i + 1))
+        below = (F.col("_n") >= SMALL) & F.lit(q > MARGIN) & (F.col("_v") < low)
+        above = (F.col("_n") >= SMALL) & F.lit(q < 1 - MARGIN) & (F.col("_v") > high)
+        kept.append(F.when(below, F.struct(F.lit(k).alias("name"), F.lit(None).cast("double").alias("v"))).when(~above, F.struct(F.lit(k).alias("name"), F.col("_v").alias("v"))))
+    rows = df.join(bounds, keys).select(*keys, "_n", F.explode(F.array_compact(F.array(*kept))).alias("_x")).groupBy(*keys, "_n", "_x").agg(F.count("*").alias("_c")).select(*keys, "_n", "_x.name", "_x.v", "_c")
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "name").orderBy(F.col("v").asc_nulls_first()))
+    rows = rows.withColumn("_to", upto).filter("v is not null")
+    place = (F.col("_n") - 1) * F.create_map(*(F.lit(x) for k, q in wanted.items() for x in (k, float(q))))[F.col("name")]
+    weight = lambda at, w: F.when((at >= F.col("_to") - F.col("_c")) & (at < F.col("_to")), w).otherwise(0.0)
+    rows = rows.withColumn("_p", place).withColumn("_w", weight(F.floor("_p"), 1 - (F.col("_p") - F.floor("_p"))) + weight(F.floor("_p") + 1, F.col("_p") - F.floor("_p"))).filter("_w > 0")
+
+    def found(k: str) -> Column:
+        own = F.col("name") == k
+        return F.when(F.abs(F.sum(F.when(own, F.col("_w"))) - 1) < 1e-6, F.sum(F.when(own, F.col("v") * F.col("_w")))).otherwise(F.raise_error(F.lit(f"the sketch does not bound the place of {k}")).cast("double"))
+
+    return rows.groupBy(*keys).agg(*(found(k).alias(k) for k in wanted))
 
 
 def beside(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:

@@ -68,12 +68,13 @@ f AS (SELECT user_id, count(*) AS elements, round(avg(stays), 6) AS mean_stay, r
 def zero_shot(spark, d, prompts: int = 4, temperature: float = 0.07):
     """Shares of four stated prompts (the first vectors) in each label's rows by softmax: their means, the dominant prompt, the
     entropy of the means, and how often the best prompt changes along the rows."""
-    p = emb(spark, d).filter(F.col("vec_id") < prompts).select(F.col("vec_id").alias("prompt"), F.col("embedding").alias("e"))
-    df = emb(spark, d).crossJoin(F.broadcast(p)).select("label", "vec_id", "prompt", V.cosine(F.col("embedding"), F.col("e")).alias("s"))
-    own = Window.partitionBy("label", "vec_id")
-    df = df.withColumn("z", F.exp((F.col("s") - F.max("s").over(own)) / temperature)).withColumn("p", F.col("z") / F.sum("z").over(own))
-    means = df.groupBy("label").agg(*(F.avg(F.when(F.col("prompt") == i, F.col("p"))).alias(f"m{i}") for i in range(prompts)))
-    best = df.groupBy("label", "vec_id").agg(F.min(F.struct((-F.col("s")).alias("less"), "prompt")).alias("b")).select("label", "vec_id", "b.prompt")
+    told = emb(spark, d).filter(F.col("vec_id") < prompts).agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("told"))
+    # One row with the stated prompts: cosines, softmax and the best prompt are found in the row.
+    df = emb(spark, d).crossJoin(F.broadcast(told)).select("label", "vec_id", F.transform("told", lambda e: V.cosine(F.col("embedding"), e)).alias("s"))
+    df = df.withColumn("z", F.transform("s", lambda x: F.exp((x - F.array_max("s")) / temperature)))
+    df = df.select("label", "vec_id", F.array_position("s", F.array_max("s")).alias("prompt"), F.transform("z", lambda x: x / F.aggregate("z", F.lit(0.0), lambda a, y: a + y)).alias("p"))
+    means = df.groupBy("label").agg(*(F.avg(F.get("p", F.lit(i))).alias(f"m{i}") for i in range(prompts)))
+    best = df.select("label", "vec_id", "prompt")
     best = best.withColumn("turn", F.col("prompt") != F.lag("prompt").over(Window.partitionBy("label").orderBy("vec_id"))).groupBy("label").agg(r(F.count_if("turn") / F.greatest(F.lit(1), F.count("*") - 1)).alias("transition_rate"))
     m = [F.col(f"m{i}") for i in range(prompts)]
     top = F.array_position(F.array(*m), F.greatest(*m)) - 1

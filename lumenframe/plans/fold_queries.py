@@ -121,18 +121,20 @@ SELECT user_id, min(event_id) AS least_event, count(*) AS steps, round(sum(step)
 
 
 def motion(spark, d):
-    """Rows whose variance over five rows is beyond the user's 90th percentile (speed_ramp), or else whose step is (whip)."""
+    """Steps beyond a user's 90th percentile by kind: speed_ramp if the variance over five rows is beyond its own, else whip_pan if over
+    0.6 of the steps around go one way, else zoom."""
     w = by_user()
-    df = ev(spark, d).withColumns({"var": F.var_pop("value").over(w.rowsBetween(-2, 2)), "step": F.abs(F.col("value") - F.lag("value").over(w))})
-    df = Q.beside(Q.beside(df, ["user_id"], "var", {"var90": 0.9}), ["user_id"], "step", {"step90": 0.9})
-    kind = F.when(F.col("var") > F.col("var90"), "speed_ramp").when(F.col("step") > F.col("step90"), "whip")
-    return df.select("event_id", kind.alias("kind"), r("var").alias("variance")).filter("kind is not null")
+    df = ev(spark, d).withColumns({"var": F.var_pop("value").over(w.rowsBetween(-2, 2)), "signed": F.col("value") - F.lag("value").over(w)})
+    df = df.withColumns({"step": F.abs("signed"), "way": F.abs(F.avg(F.signum("signed")).over(w.rowsBetween(-2, 2)))})
+    df = Q.beside(Q.beside(df, ["user_id"], "var", {"var90": 0.9}), ["user_id"], "step", {"step90": 0.9}).filter("step > step90")
+    kind = F.when(F.col("var") > F.col("var90"), "speed_ramp").when(F.col("way") > 0.6 + 1e-9, "whip_pan").otherwise("zoom")
+    return df.select("event_id", kind.alias("kind"), r("var").alias("variance"))
 
 
-MOTION = f"""WITH v AS (SELECT user_id, event_id, var_pop(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS var, abs(value - lag(value) {W}) AS step FROM events),
-q AS (SELECT *, quantile_cont(var, 0.9) OVER (PARTITION BY user_id) AS var90, quantile_cont(step, 0.9) OVER (PARTITION BY user_id) AS step90 FROM v),
-k AS (SELECT event_id, CASE WHEN var > var90 THEN 'speed_ramp' WHEN step > step90 THEN 'whip' END AS kind, round(var, 6) AS variance FROM q)
-SELECT * FROM k WHERE kind IS NOT NULL"""
+MOTION = f"""WITH v AS (SELECT user_id, event_id, ts, var_pop(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS var, value - lag(value) {W} AS signed FROM events),
+s AS (SELECT *, abs(signed) AS step, abs(avg(sign(signed)) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) AS way FROM v),
+q AS (SELECT *, quantile_cont(var, 0.9) OVER (PARTITION BY user_id) AS var90, quantile_cont(step, 0.9) OVER (PARTITION BY user_id) AS step90 FROM s)
+SELECT event_id, CASE WHEN var > var90 THEN 'speed_ramp' WHEN way > 0.6 + 1e-9 THEN 'whip_pan' ELSE 'zoom' END AS kind, round(var, 6) AS variance FROM q WHERE step > step90"""
 
 
 def two_stage(spark, d):

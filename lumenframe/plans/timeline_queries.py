@@ -217,12 +217,16 @@ SELECT event_id, i AS position FROM p WHERE list_contains(list_transform(range(0
 
 
 def best_worst(spark, d, k: int = 3):
-    up, down = (Window.partitionBy("event_type").orderBy(c, "event_id") for c in (F.col("value").asc(), F.col("value").desc()))
-    df = ev(spark, d).withColumn("low", F.row_number().over(up)).withColumn("high", F.row_number().over(down))
-    return df.filter(f"low <= {k} or high <= {k}").select("event_type", "event_id", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
+    """The k rows of least and of greatest value of each type; a row's place at an end it is not at is null."""
 
+    def end(by, name):
+        w = Window.partitionBy("event_type").orderBy(by, "event_id")
+        return ev(spark, d).withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k).select("event_type", "event_id", F.col(name).cast("long").alias(name))
 
-BEST_WORST = "SELECT event_type, event_id, low, high FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) AS low, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS high FROM events) WHERE low <= 3 OR high <= 3"
+    return end(F.col("value").asc(), "low").join(end(F.col("value").desc(), "high"), ["event_type", "event_id"], "full")
+
+
+BEST_WORST = "SELECT event_type, event_id, CASE WHEN low <= 3 THEN low END AS low, CASE WHEN high <= 3 THEN high END AS high FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) AS low, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS high FROM events) WHERE low <= 3 OR high <= 3"
 
 
 def quantiles(spark, d):

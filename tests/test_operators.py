@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,19 @@ def test_top_k_blocks(spark, monkeypatch):
     for q in range(0, 300, 7):
         near = sorted(((-round(float(u[q] @ u[i]), 12), i) for i in range(300) if i != q))[:5]
         assert [got[q][k + 1][0] for k in range(5)] == [i for _, i in near]
+
+
+def test_grouped_quantiles_of_large_small_and_tied_groups(spark):
+    """Linear quantiles of groups beyond the sketch's exact size, of few values, of one value, with ties and nulls."""
+    rng = np.random.default_rng(3)
+    groups = {"wide": rng.normal(size=60_000), "ties": rng.integers(0, 4, 30_000).astype(float), "skew": np.concatenate([np.zeros(20_000), rng.exponential(size=50) * 1e9]), "few": rng.normal(size=7), "one": np.array([2.5]), "edge": rng.normal(size=1_000)}
+    pdf = pd.DataFrame([(k, v) for k, x in groups.items() for v in x.tolist()] + [("few", None), ("none", None)], columns=["k", "v"])
+    df = spark.createDataFrame(pdf, "k string, v double").filter("not isnan(v)").union(spark.createDataFrame([("none", None)], "k string, v double"))
+    wanted = {"p0": 0.0, "p1": 0.001, "p10": 0.1, "p50": 0.5, "p999": 0.999, "p100": 1.0}
+    got = {r["k"]: r for r in Q.grouped(df.repartition(6), ["k"], "v", wanted).collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        for name, q in wanted.items():
+            low, high = np.sort(x)[int(np.floor(q * (len(x) - 1)))], np.sort(x)[int(np.ceil(q * (len(x) - 1)))]
+            want = low if low == high else np.quantile(x, q)
+            assert got[k][name] == want or abs(got[k][name] - want) <= 1e-9 * max(1.0, abs(want)), (k, name)
