@@ -103,16 +103,22 @@ TRAILING = f"SELECT event_id, round(avg(value) OVER w, 6) AS trailing_mean, roun
 
 
 def mad(spark, d):
-    """Values over their user's median by more than 1.5 median absolute deviations."""
-    df = ev(spark, d).select("event_id", "user_id", "value")
-    df = Q.beside(df, ["user_id"], "value", {"med": 0.5})
-    df = Q.beside(df.withColumn("dev", F.abs(F.col("value") - F.col("med"))), ["user_id"], "dev", {"mad": 0.5})
-    return df.select("event_id", r("med").alias("med"), r("mad").alias("mad"), (F.col("value") > F.col("med") + 1.5 * F.col("mad")).alias("high"))
-
-
-MAD = """WITH m AS (SELECT event_id, user_id, value, quantile_cont(value, 0.5) OVER (PARTITION BY user_id) AS med FROM events),
-n AS (SELECT *, quantile_cont(abs(value - med), 0.5) OVER (PARTITION BY user_id) AS mad FROM m)
-SELECT event_id, round(med, 6) AS med, round(mad, 6) AS mad, value > med + 1.5 * mad AS high FROM n"""
+    """Values over their user's median by more than 1.5 median absolute deviations, and cuts: values as far below it at which the change
+    or the time since the row before is as far above its own."""
+    df = ev(spark, d).select("event_id", "user_id", "value", F.abs(F.col("value") - F.lag("value").over(by_user())).alias("change"), ((F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(by_user())) / 3_600_000_000).alias("hours"))
+    for c in ("value", "change", "hours"):
+        df = Q.beside(df, ["user_id"], c, {f"{c}_med": 0.5})
+        df = Q.beside(df.withColumn("dev", F.abs(F.col(c) - F.col(f"{c}_med"))), ["user_id"], "dev", {f"{c}_mad": 0.5})
+    far = lambda c: F.coalesce(F.col(c) > F.col(f"{c}_med") + 1.5 * F.col(f"{c}_mad"), F.lit(False))
+    low = F.col("value") < F.col("value_med") - 1.5 * F.col("value_mad")
+    return df.select("event_id", r("value_med").alias("med"), r("value_mad").alias("mad"), far("value").alias("high"), (low & (far("change") | far("hours"))).alias("cut"))
+
+
+_DEV = ", ".join(f"quantile_cont(abs({c} - {c}_med), 0.5) OVER (PARTITION BY user_id) AS {c}_mad" for c in ("value", "change", "hours"))
+MAD = f"""WITH c AS (SELECT event_id, user_id, value, abs(value - lag(value) {W}) AS change, (epoch_us(ts) - lag(epoch_us(ts)) {W}) / 3600000000 AS hours FROM events),
+m AS (SELECT *, {", ".join(f"quantile_cont({c}, 0.5) OVER (PARTITION BY user_id) AS {c}_med" for c in ("value", "change", "hours"))} FROM c), n AS (SELECT *, {_DEV} FROM m)
+SELECT event_id, round(value_med, 6) AS med, round(value_mad, 6) AS mad, value > value_med + 1.5 * value_mad AS high,
+value < value_med - 1.5 * value_mad AND (coalesce(change > change_med + 1.5 * change_mad, false) OR coalesce(hours > hours_med + 1.5 * hours_mad, false)) AS cut FROM n"""
 
 
 def cumulative(spark, d):

@@ -105,7 +105,41 @@ def run_keys(spark, d):
 
 RUN_KEYS = "SELECT DISTINCT sha256(" + " || '|' || ".join(f"coalesce(({v})::VARCHAR, '\\N')" for v in RUN_KEY.values()) + ") AS run_key, user_id, event_type FROM events"
 
+def entropies(spark, d):
+    """The entropy of a user's event types by five rules: a small number added in the logarithm, shares of at least a small number, no
+    empty shares, in bits, and over the greatest there could be."""
+    counts = ev(spark, d).groupBy("user_id").agg(*(F.count_if(F.col("event_type") == k).cast("double").alias(k) for k in KINDS))
+    n = sum((F.col(k) for k in KINDS), F.lit(0.0))
+    p = F.transform(F.array(*KINDS), lambda x: x / n)
+    total = lambda term: F.aggregate(F.transform(p, term), F.lit(0.0), lambda s, x: s - x)
+    plain = total(lambda x: F.when(x > 0, x * F.log(x)).otherwise(0.0))
+    return counts.select("user_id", r(total(lambda x: x * F.log(x + 1e-9))).alias("added"), r(total(lambda x: F.greatest(x, F.lit(1e-12)) * F.log(F.greatest(x, F.lit(1e-12))))).alias("clipped"), r(plain).alias("plain"), r(total(lambda x: x * F.log2(x + 1e-8))).alias("bits"), r(plain / F.log(F.lit(float(len(KINDS))))).alias("normal"))
+
+
+KINDS = ("click", "error", "purchase", "signup", "view")
+ENTROPIES = f"""WITH c AS (SELECT user_id, [{', '.join(f"count(*) FILTER (event_type = '{k}')" for k in KINDS)}] AS c, count(*) FILTER (event_type IN {KINDS}) AS n FROM events GROUP BY 1), p AS (SELECT user_id, list_transform(c, lambda x: x / n) AS p FROM c)
+SELECT user_id, round(-list_sum(list_transform(p, lambda x: x * ln(x + 1e-9))), 6) + 0 AS added, round(-list_sum(list_transform(p, lambda x: greatest(x, 1e-12) * ln(greatest(x, 1e-12)))), 6) + 0 AS clipped, round(-list_sum(list_transform(p, lambda x: CASE WHEN x > 0 THEN x * ln(x) ELSE 0 END)), 6) + 0 AS plain,
+round(-list_sum(list_transform(p, lambda x: x * log2(x + 1e-8))), 6) + 0 AS bits, round(-list_sum(list_transform(p, lambda x: CASE WHEN x > 0 THEN x * ln(x) ELSE 0 END)) / ln(5), 6) + 0 AS normal FROM p"""
+
+
+def trends(spark, d):
+    """Slope of two series of a user over hours, by kind (under 0.001 an hour either way is stable), with mean, deviation, range and
+    how steady it is (1 / (1 + deviation over mean))."""
+    us = F.unix_micros("ts")
+    df = ev(spark, d).withColumns({"hours": (us - F.min(us).over(Window.partitionBy("user_id"))) / 3_600_000_000, "change": F.abs(F.col("value") - F.lag("value").over(by_user()))})
+    long = df.select("user_id", "hours", F.inline(F.array(*(F.struct(F.lit(c).alias("series"), F.col(c).alias("x")) for c in ("value", "change"))))).filter("x is not null")
+    slope = F.regr_slope("x", "hours")
+    kind = F.when(F.abs(slope) < 0.001, "stable").when(slope > 0, "increasing").otherwise("decreasing")
+    return long.groupBy("user_id", "series").agg(r(slope).alias("slope"), kind.alias("trend"), r(F.avg("x")).alias("mean"), r(F.stddev_pop("x")).alias("std"), r(F.max("x") - F.min("x")).alias("range"), r(1 / (1 + F.stddev_pop("x") / (F.avg("x") + 1e-9))).alias("steady"), (F.abs(slope) > 0.001).alias("has_trend"))
+
+
+TRENDS = f"""WITH h AS (SELECT user_id, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id)) / 3600000000 AS hours, value, abs(value - lag(value) {W}) AS change FROM events),
+l AS (SELECT user_id, hours, 'value' AS series, value AS x FROM h UNION ALL SELECT user_id, hours, 'change', change FROM h WHERE change IS NOT NULL)
+SELECT user_id, series, round(regr_slope(x, hours), 6) AS slope, CASE WHEN abs(regr_slope(x, hours)) < 0.001 THEN 'stable' WHEN regr_slope(x, hours) > 0 THEN 'increasing' ELSE 'decreasing' END AS trend,
+round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(max(x) - min(x), 6) AS range, round(1 / (1 + stddev_pop(x) / (avg(x) + 1e-9)), 6) AS steady, abs(regr_slope(x, hours)) > 0.001 AS has_trend FROM l GROUP BY 1, 2"""
+
 _ALL = {
+    "m1_entropies": (entropies, ENTROPIES), "a23_trends": (trends, TRENDS),
     "p17_compressed": (compressed, COMPRESSED), "p17_expanded": (expanded, EXPANDED), "w3_standing_out": (standing_out, STANDING_OUT), "v12_pooled_units": (pooled_units, POOLED_UNITS),
     "j16_checked_positions": (checked_positions, CHECKED_POSITIONS), "r5_run_keys": (run_keys, RUN_KEYS),
 }

@@ -139,12 +139,15 @@ def pooled(spark, d):
     i = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
     df = spark.read.parquet(f"{d}/embeddings.parquet").withColumn("w", F.exp(i * -0.01))
     df = df.select("label", "w", F.posexplode("embedding").alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    return df.groupBy("label", "dim").agg(r(F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"), r(F.stddev_samp("x")).alias("std"), r(F.max("x")).alias("top"))
+    pools = df.groupBy("label", "dim").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"), r(F.stddev_samp("x")).alias("std"), F.max("x").alias("top"))
+    length = lambda c: F.sqrt(F.sum(F.col(c) * F.col(c)).over(Window.partitionBy("label")))
+    return pools.select("label", "dim", r("mean").alias("mean"), "std", r("top").alias("top"), *(r(F.col(c) / (length(c) + 1e-9)).alias(f"unit_{c}") for c in ("mean", "top")))
 
 
 POOLED = """WITH i AS (SELECT label, embedding, exp((row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) * -0.01) AS w FROM embeddings),
-x AS (SELECT label, w, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM i)
-SELECT label, dim, round(sum(w * x) / sum(w), 6) AS mean, round(stddev_samp(x), 6) AS std, round(max(x), 6) AS top FROM x GROUP BY 1, 2"""
+x AS (SELECT label, w, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM i),
+g AS (SELECT label, dim, sum(w * x) / sum(w) AS mean, round(stddev_samp(x), 6) AS std, max(x) AS top FROM x GROUP BY 1, 2), l AS (SELECT label, sqrt(sum(mean * mean)) + 1e-9 AS m, sqrt(sum(top * top)) + 1e-9 AS t FROM g GROUP BY 1)
+SELECT label, dim, round(mean, 6) AS mean, std, round(top, 6) AS top, round(mean / m, 6) AS unit_mean, round(top / t, 6) AS unit_top FROM g JOIN l USING (label)"""
 
 
 def sequence(spark, d):

@@ -77,13 +77,15 @@ SELECT vec_id, max(cluster) FILTER (WHERE rank = 1)::BIGINT AS nearest, round(ma
 
 
 def variance(spark, d):
+    """How far a label's vectors vary: the length of the entries' variances, the five greatest of them, and the greatest entries' length."""
     flat = emb(spark, d).select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.var_pop(F.col("x").cast("double")).alias("v"), F.max(F.col("x").cast("double")).alias("m"))
-    return flat.groupBy("label").agg(r(F.sqrt(F.sum(F.col("v") * F.col("v")))).alias("variance_norm"), r(F.max("v")).alias("top_variance"), r(F.sqrt(F.sum(F.col("m") * F.col("m")))).alias("max_pool_norm"))
+    top = F.sort_array(F.collect_list("v"), asc=False)  # as many as a vector has entries
+    return flat.groupBy("label").agg(r(F.sqrt(F.sum(F.col("v") * F.col("v")))).alias("variance_norm"), *(r(F.get(top, F.lit(k))).alias(f"variance{k + 1}") for k in range(5)), r(F.sqrt(F.sum(F.col("m") * F.col("m")))).alias("max_pool_norm"))
 
 
 VARIANCE = f"""
 WITH f AS (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM (SELECT label, {E} AS v FROM embeddings)), g AS (SELECT label, i, var_pop(v[i]) AS v, max(v[i]) AS m FROM f GROUP BY 1, 2)
-SELECT label, round(sqrt(sum(v * v)), 6) AS variance_norm, round(max(v), 6) AS top_variance, round(sqrt(sum(m * m)), 6) AS max_pool_norm FROM g GROUP BY 1"""
+SELECT label, round(sqrt(sum(v * v)), 6) AS variance_norm, {', '.join(f'round(list(v ORDER BY v DESC)[{k}], 6) AS variance{k}' for k in range(1, 6))}, round(sqrt(sum(m * m)), 6) AS max_pool_norm FROM g GROUP BY 1"""
 
 
 def topk(spark, d):
