@@ -111,8 +111,8 @@ def drawn(ids: np.ndarray, step: int) -> np.ndarray:
     return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0**53 + 2.0**-54
 
 
-def seeded(blocks: DataFrame, k: int) -> DataFrame:
-    """key, centres (bytes, ``k`` at most): k-means++ by races. The next centre is the row with the least -ln(u) / squared distance to
+def seeded(blocks: DataFrame, k: int, of_key: DataFrame | None = None) -> DataFrame:
+    """key, centres (bytes, ``k`` at most, or as many as ``of_key`` (key, k) says): k-means++ by races. The next centre is the row with the least -ln(u) / squared distance to
     the centres so far, u drawn from its id: so each row wins with a chance in proportion to its squared distance."""
 
     def race(step):
@@ -136,6 +136,7 @@ def seeded(blocks: DataFrame, k: int) -> DataFrame:
     centres, held = None, blocks
     for step in range(k):
         won = held.mapInArrow(race(step), "key string, time double, id long, x binary").groupBy("key").agg(F.min(F.struct("time", "id", "x"))["x"].alias("x"))
+        won = won if of_key is None else won.join(of_key.filter(F.col("k") > step), "key", "left_semi")
         if centres is None:
             centres = stored(won.select("key", F.col("x").alias("centres")), "centres")
         else:
@@ -163,10 +164,10 @@ def first_of(batch: pa.RecordBatch, i: int, x: np.ndarray) -> np.ndarray:
     return gaps(x, np.frombuffer(batch["centres"][i].as_py()).reshape(-1, x.shape[1])).argmin(axis=1)
 
 
-def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4) -> DataFrame:
+def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4, of_key: DataFrame | None = None) -> DataFrame:
     """key, id, cluster of every row of the blocks: Lloyd's rounds from ``seeded`` centres, until the squared moves of no key's centres
     come to more than ``tolerance`` of the mean variance of its entries, or ``rounds`` are done. A centre without rows stays.
-    A key with fewer than ``k`` different vectors has as many clusters as those."""
+    A key with fewer than ``k`` different vectors has as many clusters as those; ``of_key`` (key, k) may name fewer for some keys."""
     cells = "key string, cell int, n long, s double, q double"
 
     def labelled(batches):
@@ -186,7 +187,7 @@ def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4)
     added = [F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")]
     whole = blocks.mapInArrow(lambda b: sums(b, lambda batch, i, x: np.zeros(len(x), np.int64)), cells).groupBy("key", "cell").agg(*added)
     spread = stored(whole.groupBy("key").agg(F.avg(F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n"))).alias("spread")), "spread")
-    centres = stored(seeded(blocks, k).mapInArrow(unpacked, "key string, flat array<double>").withColumn("moving", F.lit(True)).mapInArrow(packed, "key string, centres binary, flat array<double>, moving boolean"), "centres")
+    centres = stored(seeded(blocks, k, of_key).mapInArrow(unpacked, "key string, flat array<double>").withColumn("moving", F.lit(True)).mapInArrow(packed, "key string, centres binary, flat array<double>, moving boolean"), "centres")
     for _ in range(rounds):
         means = joined(blocks, centres.select("key", "centres"), ["key"], "ids").mapInArrow(lambda b: sums(b, first_of), cells).groupBy("key", "cell").agg(*added)
         old = centres.select("key", F.posexplode("flat").alias("cell", "old"))

@@ -84,9 +84,8 @@ def label_runs(spark, d):
     longest run in order, and how often the cluster changes. Labels of under three rows are stable."""
     df = emb(spark, d).filter("label is not null")
     sizes = df.groupBy("label").agg(F.count("*").alias("n"), F.least(F.lit(5), F.greatest(F.lit(1), F.expr("count(*) div 2"))).cast("int").alias("k"))
-    out = None
     blocks = C.principal(C.blocks_of(df.join(sizes.filter("n >= 3"), "label"), "label", "vec_id", "embedding"), 32)
-    clusters = C.kmeans(blocks, 5)
+    clusters = C.kmeans(blocks, 5, of_key=sizes.select(F.col("label").cast("string").alias("key"), "k"))
     w = Window.partitionBy("key").orderBy("id")
     runs = clusters.withColumn("new", F.when(F.col("cluster") == F.lag("cluster").over(w), 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
     runs = runs.groupBy("key", "run").agg(F.count("*").alias("length")).groupBy("key").agg((F.max("length") / F.sum("length")).alias("stability"), (F.count("*") - 1).alias("switches"))

@@ -113,6 +113,8 @@ def test_kmeans_against_brute_force(spark):
     for k, x in keys.items():
         assert [got[k, i] for i in range(len(x))] == brute_kmeans(np.arange(len(x)), x, 4).tolist()
     assert C.kmeans(C.blocks_of(df.limit(0), "k", "i", "v"), 4).count() == 0
+    few = C.kmeans(C.blocks_of(df.filter("k in ('b', 'd')"), "k", "i", "v"), 4, of_key=spark.createDataFrame([("b", 4), ("d", 2)], "key string, k int")).collect()
+    assert [r["cluster"] for r in sorted(few) if r["key"] == "d"] == brute_kmeans(np.arange(3), keys["d"], 2).tolist()
 
 
 def test_components_of_blocks_against_numpy(spark):
