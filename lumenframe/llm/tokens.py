@@ -25,7 +25,7 @@ VOCABULARY, END = "word_bpe_49k.json", 2
 #: Ids that word_bpe_49k.json can give: 0 to 49407.
 N_IDS = 49408
 #: Pieces that a Python worker keeps, and letters of the longest; others are encoded each time.
-KEPT, KEPT_LETTERS = 900_000, 64
+KEPT, KEPT_LETTERS = 400_000, 64
 
 # The vocabulary file's own split pattern, in general and for texts of code points below 256.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
