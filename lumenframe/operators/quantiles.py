@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Accuracy of the sketch that bounds the wanted places, and the share of a group's values that is kept on either side of them,
@@ -17,11 +17,24 @@ def ranked(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.withColumn("_n", F.count(value).over(some)).withColumn("_k", F.when(F.col(value).isNotNull(), F.row_number().over(some.orderBy(F.col(value).asc_nulls_last())) - 1))
 
 
-def at(value: str, q: float) -> Column:
+def between(low: Column, high: Column, rest: Column, part: Column) -> Column:
+    """low * rest + high * part, where the first product is not rounded before the sum, as a fused multiply-add has it: a place
+    between equal values has their value, where rounded products would put the quantile beside values that are compared with it."""
+    one, two = low * rest, high * part
+    (a, b), (c, d) = ((x.cast("float").cast("double"), x - x.cast("float").cast("double")) for x in (low, rest))
+    whole = one + two
+    back = whole - one
+    lost = (((a * c - one) + a * d + b * c) + b * d) + ((one - (whole - back)) + (two - back))
+    # Values beyond a float's range have no halves.
+    return F.when(low == high, low).otherwise(F.nanvl(whole + lost, whole))
+
+
+def at(value: str, q: float, over: WindowSpec | None = None) -> Column:
     """The quantile of ranked rows, as an aggregate or over their window."""
-    place = (F.col("_n") - 1) * F.lit(q)
+    place, x = (F.col("_n") - 1) * F.lit(q), F.col(value).cast("double")
     low = F.floor(place)
-    return F.sum(F.when(F.col("_k") == low, F.col(value) * (1 - (place - low))).when(F.col("_k") == low + 1, F.col(value) * (place - low)))
+    made = [F.max(F.when(F.col("_k") == low, x)), F.max(F.when(F.col("_k") == F.ceil(place), x)), F.max(1 - (place - low)), F.max(place - low)]
+    return between(*(made if over is None else [c.over(over) for c in made]))
 
 
 def grouped(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
@@ -49,7 +62,9 @@ def grouped(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]
 
     def found(k: str) -> Column:
         own = F.col("name") == k
-        return F.when(F.abs(F.sum(F.when(own, F.col("_w"))) - 1) < 1e-6, F.sum(F.when(own, F.col("v") * F.col("_w")))).otherwise(F.raise_error(F.lit(f"the sketch does not bound the place of {k}")).cast("double"))
+        part = F.max(F.when(own, F.col("_p") - F.floor("_p")))
+        value = between(F.min(F.when(own, F.col("v"))), F.max(F.when(own, F.col("v"))), 1 - part, part)
+        return F.when(F.abs(F.sum(F.when(own, F.col("_w"))) - 1) < 1e-6, value).otherwise(F.raise_error(F.lit(f"the sketch does not bound the place of {k}")).cast("double"))
 
     return rows.groupBy(*keys).agg(*(found(k).alias(k) for k in wanted))
 
@@ -57,4 +72,4 @@ def grouped(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]
 def beside(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
     """The rows with the wanted quantiles of their key beside them, by the sorted window of ``ranked``."""
     w = Window.partitionBy(*keys)
-    return ranked(df, keys, value).withColumns({k: at(value, q).over(w) for k, q in wanted.items()}).drop("_k", "_n")
+    return ranked(df, keys, value).withColumns({k: at(value, q, w) for k, q in wanted.items()}).drop("_k", "_n")

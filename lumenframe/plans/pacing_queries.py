@@ -155,7 +155,7 @@ def content_change(spark, d):
     df = changes(spark, d)
     smooth = F.when(F.count("*").over(whole) >= 7, F.sum("rate").over(w.rowsBetween(-2, 2)) / 5).otherwise(F.col("rate"))
     df = Q.ranked(df.withColumn("s", smooth), ["user_id"], "s")
-    df = df.withColumn("m", F.avg("s").over(whole)).withColumn("d", F.stddev_pop("s").over(whole)).withColumn("q", Q.at("s", 0.75).over(whole))
+    df = df.withColumn("m", F.avg("s").over(whole)).withColumn("d", F.stddev_pop("s").over(whole)).withColumn("q", Q.at("s", 0.75, whole))
     high = F.col("s") > F.col("m") + 2 * F.col("d")
     g = df.groupBy("user_id").agg(r(F.first("m")).alias("mean"), r(F.first("d")).alias("std"), r(F.avg((F.col("s") > F.col("q")).cast("double"))).alias("high_ratio"), F.count_if(high).alias("jumps"))
     found = folds.folded(df.filter(high), "user_id", ["mid"], ["mid"], "user_id long, bursts long", folds.bursts(5.0, 3))
@@ -172,8 +172,8 @@ b AS (SELECT f.user_id, count(*) FILTER (c >= 3) AS bursts FROM f JOIN h ON h.us
 def light_spikes(spark, d):
     """Change rates beyond the median by its size and six median deviations, a minute; and means of the rates."""
     whole = Window.partitionBy("user_id")
-    df = Q.ranked(changes(spark, d), ["user_id"], "signed").withColumn("med", Q.at("signed", 0.5).over(whole)).withColumn("dev", F.abs(F.col("signed") - F.col("med")))
-    df = Q.ranked(df, ["user_id"], "dev").withColumn("mad", Q.at("dev", 0.5).over(whole))
+    df = Q.ranked(changes(spark, d), ["user_id"], "signed").withColumn("med", Q.at("signed", 0.5, whole)).withColumn("dev", F.abs(F.col("signed") - F.col("med")))
+    df = Q.ranked(df, ["user_id"], "dev").withColumn("mad", Q.at("dev", 0.5, whole))
     spike = F.col("dev") > F.abs("med") + 6 * (F.col("mad") + EPS)
     return df.groupBy("user_id").agg(r(F.count_if(spike) / F.greatest(F.max("length_s") / 60, F.lit(1e-6))).alias("spikes_per_minute"), r(F.avg("rate")).alias("rate_mean"), r(F.stddev_pop("rate")).alias("rate_std"), r(F.stddev_pop("signed")).alias("signed_std"))
 

@@ -129,8 +129,8 @@ def robust(spark, d):
     """Values less the user's median over its median deviation, z-scores, values between 0 and 1, and logarithms of rates."""
     w = Window.partitionBy("user_id")
     df = T.rates(ev(spark, d), "user_id", ["ts", "event_id"], "value")
-    df = Q.ranked(df, ["user_id"], "value").withColumn("med", Q.at("value", 0.5).over(w)).withColumn("dev", F.abs(F.col("value") - F.col("med")))
-    df = Q.ranked(df, ["user_id"], "dev").withColumn("mad", Q.at("dev", 0.5).over(w))
+    df = Q.ranked(df, ["user_id"], "value").withColumn("med", Q.at("value", 0.5, w)).withColumn("dev", F.abs(F.col("value") - F.col("med")))
+    df = Q.ranked(df, ["user_id"], "dev").withColumn("mad", Q.at("dev", 0.5, w))
     lo, hi = F.min("value").over(w), F.max("value").over(w)
     return df.select("event_id", r((F.col("value") - F.col("med")) / (F.col("mad") + 1e-9)).alias("robust"), r((F.col("value") - F.avg("value").over(w)) / (F.stddev_pop("value").over(w) + 1e-6)).alias("z"), r(F.when(hi - lo < 1e-9, 0.0).otherwise((F.col("value") - lo) / (hi - lo))).alias("unit"), r(F.log1p(F.abs("rate"))).alias("log_rate"), r(1 / (1 + F.exp(-F.col("value") / 100))).alias("sigmoid"), r(20 * F.log10(F.greatest("value", F.lit(1e-9)))).alias("decibel"))
 

@@ -164,3 +164,19 @@ def test_grouped_quantiles_of_large_small_and_tied_groups(spark):
             low, high = np.sort(x)[int(np.floor(q * (len(x) - 1)))], np.sort(x)[int(np.ceil(q * (len(x) - 1)))]
             want = low if low == high else np.quantile(x, q)
             assert got[k][name] == want or abs(got[k][name] - want) <= 1e-9 * max(1.0, abs(want)), (k, name)
+
+
+def test_quantiles_between_equal_and_close_values(spark):
+    """A place between equal values has their value, and others are as the SQL engine has them, to the last bit."""
+    import duckdb
+
+    rng = np.random.default_rng(3)
+    groups = {k: np.round(rng.exponential(50, n), 2) for k, n in enumerate(range(2, 60))} | {100 + k: np.abs(np.round(rng.exponential(2, n), 1) - 0.3) for k, n in enumerate(range(2, 160))}
+    rows = [(k, float(v)) for k, xs in groups.items() for v in xs]
+    df = spark.createDataFrame(rows, "k int, v double")
+    wanted = {"p20": 0.2, "p75": 0.75, "p85": 0.85, "p90": 0.9}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT unnest(?::INT[]) AS k, unnest(?::DOUBLE[]) AS v", [[k for k, _ in rows], [v for _, v in rows]])
+    want = {x[0]: x[1:] for x in con.execute(f"SELECT k, {', '.join(f'quantile_cont(v, {q})' for q in wanted.values())} FROM t GROUP BY k").fetchall()}
+    for got in (Q.grouped(df, ["k"], "v", wanted), Q.ranked(df, ["k"], "v").groupBy("k").agg(*(Q.at("v", q).alias(n) for n, q in wanted.items())), Q.beside(df, ["k"], "v", wanted).drop("v").distinct()):
+        assert {r["k"]: tuple(r[n] for n in wanted) for r in got.collect()} == want
