@@ -15,7 +15,9 @@ def seconds(c: str = "ts") -> Column:
 def rates(df: DataFrame, key: str, order: list[str], value: str, least: float = 1e-3) -> DataFrame:
     """Difference to the row before and its rate per second, the time step being ``least`` at least; a key's first row goes."""
     w = Window.partitionBy(key).orderBy(*order)
-    out = df.withColumn("diff", F.col(value) - F.lag(value).over(w)).withColumn("dt", seconds() - F.lag(seconds()).over(w))
+    # The step is taken in whole microseconds: seconds since 1970 as doubles are a quarter of one apart.
+    step = (F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(w)) / F.lit(1e6)
+    out = df.withColumn("diff", F.col(value) - F.lag(value).over(w)).withColumn("dt", step)
     return out.filter("diff is not null").withColumn("rate", F.col("diff") / F.greatest("dt", F.lit(least)))
 
 
@@ -29,7 +31,7 @@ def runs(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
 def sessions(df: DataFrame, key: str, order: list[str], gap: float) -> DataFrame:
     """Session numbers per key: a row more than ``gap`` seconds after the one before begins a new one."""
     w = Window.partitionBy(key).orderBy(*order)
-    late = F.when(seconds() - F.lag(seconds()).over(w) <= gap, 0).otherwise(1)
+    late = F.when((F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(w)) / F.lit(1e6) <= gap, 0).otherwise(1)
     return df.withColumn("_l", late).withColumn("session", F.sum("_l").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_l")
 
 

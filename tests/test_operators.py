@@ -180,3 +180,12 @@ def test_quantiles_between_equal_and_close_values(spark):
     want = {x[0]: x[1:] for x in con.execute(f"SELECT k, {', '.join(f'quantile_cont(v, {q})' for q in wanted.values())} FROM t GROUP BY k").fetchall()}
     for got in (Q.grouped(df, ["k"], "v", wanted), Q.ranked(df, ["k"], "v").groupBy("k").agg(*(Q.at("v", q).alias(n) for n, q in wanted.items())), Q.beside(df, ["k"], "v", wanted).drop("v").distinct()):
         assert {r["k"]: tuple(r[n] for n in wanted) for r in got.collect()} == want
+
+
+def test_rates_of_close_times(spark):
+    """Steps of a few microseconds are exact, far from 1970 too."""
+    from lumenframe.operators import timeline as T
+
+    df = spark.sql("SELECT 1 AS k, timestamp_micros(1704067211172425 + 1107 * i) AS ts, double(i * i) AS v, i FROM (SELECT explode(sequence(0, 40)) AS i)")
+    got = {r["i"]: r["rate"] for r in T.rates(df, "k", ["ts"], "v", 1e-6).collect()}
+    assert got == {i: (2 * i - 1) / (1107 / 1e6) for i in range(1, 41)}
