@@ -41,6 +41,19 @@ def test_keyframes(spark, sf):
     assert all(abs(got[k][1] - want[k][1]) < 1e-5 for k in want) and set(QUERIES) - set(ORACLES) == {"w14_keyframes", "v5_similar_rows", "e18_temporal_segments", "v25_label_runs", "v30_merged_speakers", "m11_time_warping", "e15_unit_flashes", "p7_decoded_tokens", "e7_soft_cuts", "j8_caption_groups"}
 
 
+def test_best_and_worst_rows_have_places_from_both_ends(spark, tmp_path):
+    """Places are whole, with ties, nulls and numbers that are none; nulls come last from either end."""
+    rows = [(i, k, v) for k, vs in {"a": [5.0, 1.0, 1.0, 2.0, 9.0, 9.0, 3.0, 4.0, None, float("nan")], "b": [None, None, 7.0], None: [1.0, 2.0]}.items() for i, v in enumerate(vs, 100 * len(vs))]
+    spark.createDataFrame(rows, "event_id long, event_type string, value double").selectExpr("*", "timestamp'2024-01-01' AS ts").write.parquet(f"{tmp_path}/events.parquet")
+    order = {"low": lambda x: (x[2] is None, x[2] != x[2], x[2] if x[2] == x[2] else 0, x[0]), "high": lambda x: (x[2] is None, x[2] == x[2], -x[2] if x[2] is not None and x[2] == x[2] else 0, x[0])}
+    want = {}
+    for kind in ("a", "b", None):
+        own = [x for x in rows if x[1] == kind]
+        places = {n: {x[0]: i for i, x in enumerate(sorted(own, key=f), 1)} for n, f in order.items()}
+        want |= {(kind, x[0]): (places["low"][x[0]], places["high"][x[0]]) for x in own if min(p[x[0]] for p in places.values()) <= 3}
+    assert {(r["event_type"], r["event_id"]): (r["low"], r["high"]) for r in QUERIES["w9_best_worst"](spark, str(tmp_path)).collect()} == want
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
