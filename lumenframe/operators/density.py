@@ -21,7 +21,7 @@ def standardized(df: DataFrame, key: str, values: list[str]) -> DataFrame:
     stats = df.groupBy(key).agg(*(f(c).alias(f"_{n}{i}") for i, c in enumerate(values) for n, f in (("m", F.avg), ("s", F.stddev_pop))))
     parts = [(F.col(c) - F.col(f"_m{i}")) / F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0) for i, c in enumerate(values)]
     x = F.when(F.greatest(*(F.col(c).isNull().cast("int") for c in [values[0], *values])) == 0, F.array(*parts))
-    return df.join(stats, key).withColumn("x", x).select(*df.columns, "x")
+    return df.join(stats.hint("merge"), key).withColumn("x", x).select(*df.columns, "x")
 
 
 def cells_of(points: DataFrame, eps: float) -> DataFrame:
@@ -119,11 +119,12 @@ def dbscan(df: DataFrame, key: str, id: str, vector: str, eps: float, least: int
     marked = cells.join(cores.withColumn("core", F.lit(True)).hint("merge"), "node", "left").withColumn("core", F.coalesce("core", F.lit(False))).select(*cells.columns, "core")
     links = stored(dealt(marked, ["key", "cell"], "node", block).groupBy("key", "cell", "i", "j").applyInArrow(unite, "a string, b string, core boolean"), "density_links")
     found = components(links.filter("core and a <> b"))
-    of_core = stored(cores.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "core_clusters")
-    border = links.filter("not core").select(F.col("a").alias("border"), F.col("b").alias("node")).join(of_core, "node").groupBy(F.col("border").alias("node")).agg(F.min("component").alias("component"))
+    # Small files may hold many rows: what grows with the input is never sent to all tasks.
+    of_core = stored(cores.join(found.hint("merge"), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "core_clusters")
+    border = links.filter("not core").select(F.col("a").alias("border"), F.col("b").alias("node")).join(of_core.hint("merge"), "node").groupBy(F.col("border").alias("node")).agg(F.min("component").alias("component"))
     named = of_core.union(border)
     # One row a cluster: its key's clusters are numbered by their least core.
     heads = named.select("component").distinct().withColumn("of", F.expr("substring(component, 22)"))
     number = heads.withColumn("cluster", F.row_number().over(Window.partitionBy("of").orderBy("component")).cast("long") - 1).drop("of")
-    labels = named.join(number, "component").select("node", "cluster")
-    return df.select(key, id).withColumn("node", node).join(labels, "node", "left").select(key, id, F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))
+    labels = named.join(number.hint("merge"), "component").select("node", "cluster")
+    return df.select(key, id).withColumn("node", node).join(labels.hint("merge"), "node", "left").select(key, id, F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))

@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import stored
 
-#: Rows of a table that is sent to all tasks; pieces of a key where it is shuffled instead; rows of a block.
-BROADCAST_MAX, SALTS, BLOCK = 100_000, 64, 2048
+#: Rows of a table that is sent to all tasks; pieces of a key where it is shuffled instead, and rows from which on a key is cut; rows of a block.
+BROADCAST_MAX, SALTS, HOT, BLOCK = 100_000, 64, 100_000, 2048
 
 
-def joined(big: DataFrame, small: DataFrame, keys: list[str], salt: str, most: int = BROADCAST_MAX) -> DataFrame:
+def joined(big: DataFrame, small: DataFrame, keys: list[str], salt: str, most: int = BROADCAST_MAX, hot: int = HOT) -> DataFrame:
     """Left join with a table of one row a key, whose size is looked at: sent to all tasks up to ``most`` rows, beyond it
-    shuffled, where each key's rows of ``big`` are dealt to SALTS pieces by the column ``salt``."""
+    shuffled, where the rows of ``big`` of a key with more than ``hot`` of them are dealt to SALTS pieces by the column ``salt``.
+
+    Only such keys, of which there are few, are copied to the pieces. The join is named: by their files' sizes Spark would take
+    large tables for small ones.
+    """
     if small.count() <= most:
         return big.join(F.broadcast(small), keys, "left")
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return big.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int")).join(salted, [*keys, "_salt"], "left").drop("_salt")
+    cut = F.broadcast(stored(big.groupBy(*keys).agg(F.count("*").alias("_c")).filter(F.col("_c") > hot).select(*keys, F.lit(True).alias("_cut")), "hot_keys"))
+    salted = small.join(cut, keys, "left").withColumn("_salt", F.explode(F.when(F.col("_cut"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_cut")
+    dealt_out = big.join(cut, keys, "left").withColumn("_salt", F.when(F.col("_cut"), F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_cut")
+    return dealt_out.join(salted.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
 
 
 def dealt(cells: DataFrame, keys: list[str], salt: str, block: int = BLOCK, most: int = BROADCAST_MAX) -> DataFrame:

@@ -36,11 +36,11 @@ def density_scenes(spark, d):
     own = shots(spark, d)
     labels = D.dbscan(D.standardized(own, "user_id", ["value", "hours"]), "user_id", "place", "x", EPS, SHOTS)
     w = Window.partitionBy("user_id").orderBy("place")
-    df = own.join(labels, ["user_id", "place"]).withColumn("new", F.when(F.col("cluster") == F.lag("cluster").over(w), 0).otherwise(1))
+    df = own.join(labels.hint("merge"), ["user_id", "place"]).withColumn("new", F.when(F.col("cluster") == F.lag("cluster").over(w), 0).otherwise(1))
     df = df.withColumn("run", F.sum("new").over(w)).filter("cluster >= 0")
     runs = df.groupBy("user_id", "run").agg(F.min_by("event_id", "place").alias("first_event"), F.count("*").alias("shots"), r(F.sum("hours")).alias("hours"))
     found = runs.select("user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("run")) - 1).cast("long").alias("scene"), "first_event", "shots", "hours", F.lit("density").alias("method"))
-    rest = own.join(labels.filter("cluster >= 0").select("user_id").distinct(), "user_id", "left_anti")
+    rest = own.join(labels.filter("cluster >= 0").select("user_id").distinct().hint("merge"), "user_id", "left_anti")
     grown = folds.folded(rest, "user_id", ["t", "event_id"], ["event_id", "hours"], "user_id long, scene long, first_event long, shots long, hours double", folds.scenes(24.0, 12.0, 2))
     return found.union(grown.select("user_id", "scene", "first_event", "shots", r("hours"), F.lit("greedy")))
 

@@ -184,3 +184,17 @@ def test_ward_against_brute_force(spark, sf):
     far = 1 - (u @ u.T)[np.triu_indices(len(u), 1)].mean()
     k = 3 if far > 0.32 else 2 if far > 0.24 else 1
     assert len(got) == len(rows) and [got[r["vec_id"]]["speaker"] for r in own] == brute_ward(x, k).tolist() and got[own[0]["vec_id"]]["speakers"] == k
+
+
+@pytest.mark.parametrize("hot", [5, 1000])
+def test_large_tables_are_joined_by_shuffle(spark, hot):
+    """Beyond the stated size a table is not sent to the tasks, whatever its file's size, and only hot keys are copied to pieces."""
+    from lumenframe.operators import ranges
+
+    big = spark.range(400).selectExpr("id AS row", "if(id % 2 = 0, 0, id % 50) AS k")
+    small = ranges.stored(spark.range(0, 40).selectExpr("id AS k", "id * 3 AS v"), "small_table")
+    got = ranges.joined(big, small, ["k"], "row", 10, hot)
+    rows = {r["row"]: r["v"] for r in got.collect()}
+    assert rows == {i: (k * 3 if (k := 0 if i % 2 == 0 else i % 50) < 40 else None) for i in range(400)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan.split("Join LeftOuter")[1].splitlines()[0]
