@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,10 +43,33 @@ def decoded(df: DataFrame, key: str, ids: str, words: DataFrame) -> DataFrame:
     """``key`` and text of every row of ``df``, whose ``ids`` (an array) are decoded: special and unknown ids are left out, bytes that
     are no text become replacement marks, blanks at the ends go. No ids, or null, give an empty text. Keys are not repeated.
 
-    The vocabulary is sent to the tasks; a row's ids meet again in one group, as large as the row was.
+    The vocabulary is sent to the tasks; the ids' bytes are put in order by a sort that spills, and a task holds one row's text.
     """
+
+    def run(batches):
+        last, parts = None, []
+        for batch in filter(len, batches):
+            column = batch["bytes"]
+            ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+            data, runs, at, out = column.buffers()[2], pc.run_end_encode(batch[key]), 0, []
+            for k, end in zip(runs.values, runs.run_ends.to_pylist(), strict=True):
+                if parts and k != last:
+                    out.append((last, b"".join(parts)))
+                    parts = []
+                # The bytes of neighbouring rows lie side by side.
+                parts.append(data[int(ends[at]) : int(ends[end])].to_pybytes() if data else b"")
+                last, at = k, end
+            if out:
+                yield made(out)
+        if parts:
+            yield made([(last, b"".join(parts))])
+
+    def made(rows):
+        return pa.RecordBatch.from_arrays([pa.array([k.as_py() for k, _ in rows], rows[0][0].type), pa.array([x for _, x in rows], pa.binary())], names=[key, "bytes"])
+
     flat = df.select(key, F.posexplode(ids).alias("place", "id"))
-    pieces = flat.join(F.broadcast(words.filter("not special").select("id", "bytes")), "id")
-    texts = pieces.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "bytes"))), lambda x: x["bytes"]), "").alias("hex"))
-    text = F.trim(F.expr("make_valid_utf8(cast(unhex(hex) as string))"))
+    pieces = flat.join(F.broadcast(words.filter("not special").select("id", F.unhex("bytes").alias("bytes"))), "id").select(key, "place", "bytes")
+    kind = df.select(key).schema[0].dataType.simpleString()
+    texts = pieces.repartition(key).sortWithinPartitions(key, "place").select(key, "bytes").mapInArrow(run, f"{key} {kind}, bytes binary")
+    text = F.trim(F.expr("make_valid_utf8(cast(bytes as string))"))
     return df.select(key).join(texts.select(key, text.alias("text")), key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))

@@ -88,6 +88,8 @@ s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS U
 SELECT user_id, min(epoch_us(ts)) AS start_us, max(epoch_us(ts)) + {HOURS * 3_600_000_000} AS end_us, count(*) AS n, round(sum(value), 6) AS total FROM s GROUP BY user_id, s"""
 
 TOKENS = "word_bpe_49k.json"
+#: Texts whose ids make a batch.
+TEXTS = 256
 
 
 def decoded_tokens(spark, d):
@@ -101,8 +103,11 @@ def decoded_tokens(spark, d):
 
         tokenizer = Tokenizer.from_file(path)
         for batch in filter(len, batches):
-            ids = [x.ids for x in tokenizer.encode_batch([t or "" for t in batch["text"].to_pylist()], add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            # An encoding takes many times its text, so a few texts are encoded at a time.
+            for at in range(0, len(batch), TEXTS):
+                part = batch.slice(at, TEXTS)
+                ids = [tokenizer.encode(t.as_py() or "", add_special_tokens=False).ids for t in part["text"]]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     ids = docs(spark, d).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids array<int>")
     text = decoding.decoded(ids, "doc_id", "ids", decoding.vocabulary(spark, path))

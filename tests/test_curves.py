@@ -195,3 +195,19 @@ def test_patterns_of_addresses_and_mentions(spark):
     df = spark.createDataFrame([("mail a.b@example.com, see www.site.org or HTTP://x.y @me @@you x@z.@w 1:02:03 12:3",)], "t string")
     got = df.select(*(T.occurrences(F.col("t"), p).alias(k) for k, p in PATTERNS.items())).first()
     assert (got["n_urls"], got["n_mentions"], got["n_times"]) == (2, 3, 1)
+
+
+def test_decoded_texts_span_batches(spark):
+    """Texts of more tokens than a batch has, and of none, are put together whole and in order."""
+    words = spark.createDataFrame([(i, f"w{i} ".encode().hex(), False) for i in range(50)] + [(99, b"<s>".hex(), True)], "id int, bytes string, special boolean")
+    rows = [("long", [i * 7 % 50 for i in range(1000)]), ("short", [3, 99, 4]), ("none", []), ("null", None), ("only", [99])]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    try:
+        frame = decoding.decoded(spark.createDataFrame(rows, "k string, ids array<int>"), "k", "ids", words)
+        got = {r["k"]: r["text"] for r in frame.collect()}
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {k: " ".join(f"w{i}" for i in ids or [] if i != 99) for k, ids in rows}
+    # No row's pieces are gathered as a list.
+    assert "collect_list" not in plan
