@@ -86,7 +86,7 @@ g AS (SELECT label, speaker, dim, avg(v[dim + 1]) AS m, max(v[dim + 1]) AS g, co
 
 
 def self_similarity(spark, d):
-    got = S.self_similarity(emb(spark, d), "label", "vec_id", "embedding", 20_000, 0.5)
+    got = S.self_similarity(emb(spark, d), "label", "vec_id", "embedding", 0.5)
     return got.select("label", "n", r("repetition").alias("repetition"), r("mean").alias("mean"), r("p95").alias("p95"), r(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1 - F.coalesce("mean", F.lit(0.0))))).alias("diversity"))
 
 

@@ -198,3 +198,19 @@ def test_large_tables_are_joined_by_shuffle(spark, hot):
     assert rows == {i: (k * 3 if (k := 0 if i % 2 == 0 else i % 50) < 40 else None) for i in range(400)}
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=merge" in plan.split("Join LeftOuter")[1].splitlines()[0]
+
+
+def test_self_similarity_of_many_blocks(spark):
+    """Blocks, copies and keys of one row give what a matrix of all pairs gives."""
+    rng = np.random.default_rng(5)
+    keys = {1: rng.normal(size=(90, 6)), 2: np.repeat(rng.normal(size=(4, 6)), 10, axis=0), 3: rng.normal(size=(1, 6)), 4: rng.normal(size=(2, 6))}
+    rows = [(k, 1000 * k + i, x.tolist()) for k, xs in keys.items() for i, x in enumerate(xs)]
+    got = {r["k"]: r for r in S.self_similarity(spark.createDataFrame(rows, "k int, id long, v array<double>"), "k", "id", "v", 0.5, 16).collect()}
+    for k, x in keys.items():
+        x = x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-9)
+        sim = x @ x.T
+        pairs = sim[np.triu_indices(len(x), 1)]
+        np.fill_diagonal(sim, -np.inf)
+        want = ((sim.max(axis=1) >= 0.5).mean(), *((pairs.mean(), np.percentile(pairs, 95)) if len(pairs) else (None, None)))
+        assert got[k]["n"] == len(x)
+        assert all(a == b if b is None else a == pytest.approx(b, rel=1e-9) for a, b in zip((got[k][c] for c in ("repetition", "mean", "p95")), want, strict=True))
