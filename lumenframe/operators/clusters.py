@@ -1,4 +1,4 @@
-"""Clusters of each key's vectors: k-means and principal components over blocks of rows, Ward's trees in a key's task.
+"""Clusters of each key's vectors: k-means and principal components over blocks of rows, Ward's merges in rounds.
 
 A key's vectors are packed into blocks of BLOCK rows once; each round sends a key's centres to its blocks and adds up partial
 sums, so a key of any size is spread over tasks. Nothing but a count comes to the driver.
@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import vectors as V
 from ..sources.sinks import stored
 from .ranges import joined
 
-#: Rows of a block; groups that partial sums of a key meet in first; rows of a key that Ward's method takes.
-BLOCK, GROUPS, MOST = 1024, 64, 20_000
+#: Rows of a block; groups that partial sums of a key meet in first; clusters of a key that are merged in one task.
+BLOCK, GROUPS, APART = 1024, 64, 8192
 BLOCKS = "key string, block int, ids binary, x binary"
 MOMENTS = "key string, n long, mean binary, square binary"
 
@@ -200,71 +202,202 @@ def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4,
     return joined(blocks, centres.select("key", "centres"), ["key"], "ids").mapInArrow(labelled, "key string, id long, cluster int")
 
 
-def ward(x: np.ndarray, clusters: int) -> np.ndarray:
-    """Cluster of each row when the two clusters that add least to the squared distances within are merged until ``clusters`` are
-    left, numbered by their first rows. Chains of nearest neighbours find the same merges in n * n steps and n * d memory;
-    a cluster is held by its centre and size, which give Ward's distance (the Lance-Williams update) at once."""
-    n = len(x)
-    centre, size, live = x.astype(np.float64).copy(), np.ones(n), np.ones(n, bool)
-    merges, chain = [], []
-    while len(merges) < n - 1:
-        if not chain:
-            chain = [int(np.argmax(live))]
-        top = chain[-1]
-        cost = np.where(live, size * size[top] / (size + size[top]) * ((centre - centre[top]) ** 2).sum(axis=1), np.inf)
-        cost[top] = np.inf
-        best = int(np.argmin(cost))
-        # Of equal ones the one before in the chain, so that the chain ends.
-        if len(chain) > 1 and cost[chain[-2]] <= cost[best]:
-            best = chain[-2]
-        if len(chain) > 1 and best == chain[-2]:
-            chain = chain[:-2]
-            a, b = min(top, best), max(top, best)
-            merges.append((float(cost[best]), a, b))
-            centre[a] = (size[a] * centre[a] + size[b] * centre[b]) / (size[a] + size[b])
-            size[a] += size[b]
-            live[b] = False
-        else:
-            chain.append(best)
-    # A chain finds merges out of order; those of least cost are done first, and each names a row of both sides.
-    parent = np.arange(n)
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    for _, a, b in sorted(merges, key=lambda m: m[0])[: max(0, n - clusters)]:
-        a, b = sorted((root(a), root(b)))
-        parent[b] = a
-    roots = np.array([root(i) for i in range(n)], np.int64)
-    return np.unique(roots, return_inverse=True)[1] if n else roots
+def closest(node: np.ndarray, x: np.ndarray, size: np.ndarray, others: np.ndarray, y: np.ndarray, weight: np.ndarray, rows: int = 256, exact: int = 65_536) -> tuple[np.ndarray, np.ndarray]:
+    """What the cheapest merge of each cluster (number, centre, size) with one of the others adds to the squared distances within, and
+    that one's number, of equal ones the least; infinity and -1 where there is none. Products of matrices leave the few that may
+    be the cheapest; these are taken from differences, which give both clusters of a pair the same cost to the last bit."""
+    cost, near = np.full(len(x), np.inf), np.full(len(x), -1)
+    p, r = x - y.mean(axis=0), y - y.mean(axis=0)
+    pp, rr = (p * p).sum(axis=1), (r * r).sum(axis=1)
+    for start in range(0, len(x), rows):
+        at = slice(start, start + rows)
+        share = size[at, None] * weight / (size[at, None] + weight)
+        far = pp[at, None] + rr - 2 * (p[at] @ r.T)
+        _, own, same = np.intersect1d(node[at], others, return_indices=True)
+        far[own, same] = np.inf
+        slack = 1e-12 * (pp[at, None] + rr.max())
+        far = (far - slack) * share
+        i, j = np.nonzero((far <= (far + 2 * slack * share).min(axis=1)[:, None]) & np.isfinite(far))
+        got = np.concatenate([share[i[k : k + exact], j[k : k + exact]] * ((x[start + i[k : k + exact]] - y[j[k : k + exact]]) ** 2).sum(axis=1) for k in range(0, len(i), exact)] or [np.zeros(0)])
+        order = np.lexsort([others[j], got, i])
+        first, k = np.unique(i[order], return_index=True)
+        cost[start + first], near[start + first] = got[order[k]], others[j[order[k]]]
+    return cost, near
+
+
+def merges(node: np.ndarray, x: np.ndarray, size: np.ndarray, height: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ward's merges of clusters (numbers that grow, centres, sizes, heights) until one is left: the numbers of both sides, of which
+    the first stays, and the cost, not under that of a merge within.
+
+    Two clusters that are each other's cheapest partner are merged at some point whatever else is, so all of them are at once; the
+    others keep their partner unless it was merged, as a merge brings no cluster nearer.
+    """
+    out = [[], [], []]
+    cost, near = np.full(len(x), np.inf), np.full(len(x), -1)
+    while len(node) > 1:
+        stale = near < 0
+        cost[stale], near[stale] = closest(node[stale], x[stale], size[stale], node, x, size)
+        at, i = np.searchsorted(node, near), np.arange(len(node))
+        a = i[(near >= 0) & (near[at % len(node)] == node) & (node < near)]
+        if not len(a):
+            break
+        b = at[a]
+        height[a] = np.maximum(cost[a], np.maximum(height[a], height[b]))
+        for part, new in zip(out, (node[a], node[b], height[a]), strict=True):
+            part.append(new)
+        x[a] = (size[a, None] * x[a] + size[b, None] * x[b]) / (size[a] + size[b])[:, None]
+        size[a] += size[b]
+        merged = np.zeros(len(node), bool)
+        merged[a] = merged[b] = True
+        near[merged | merged[at % len(node)]] = -1
+        keep = np.ones(len(node), bool)
+        keep[b] = False
+        node, x, size, height, cost, near = (v[keep] for v in (node, x, size, height, cost, near))
+    return tuple(np.concatenate(part or [np.zeros(0)]).astype(kind) for part, kind in zip(out, (np.int64, np.int64, np.float64), strict=True))
+
+
+def roots(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least number that merges (a, b) of numbers of ``node``, which grow, bring each one's side to."""
+    parent = np.arange(len(node))
+    for x, y in zip(np.searchsorted(node, a).tolist(), np.searchsorted(node, b).tolist(), strict=True):
+        parent[y] = x
+    while (up := parent[parent] != parent).any():
+        parent = np.where(up, parent[parent], parent)
+    return node[parent]
 
 
-def speakers(x: np.ndarray, least: int, most: int) -> int:
-    """How many speakers to look for: from the mean cosine distance of all pairs, which the sum of unit vectors gives."""
+def ward(x: np.ndarray, clusters: int) -> np.ndarray:
+    """Cluster of each row when the two clusters that add least to the squared distances within are merged until ``clusters`` are
+    left, numbered by their first rows. Copies are merged first."""
     n = len(x)
+    if not n:
+        return np.zeros(0, np.int64)
+    first, copy, count = np.unique(x, axis=0, return_index=True, return_inverse=True, return_counts=True)[1:]
+    of = first[copy.ravel()]
+    order = np.argsort(first)
+    again = np.flatnonzero(of != np.arange(n))
+    again = again[np.lexsort([again, of[again]])]
+    a, b, height = merges(first[order], x[first[order]].astype(np.float64), count[order].astype(np.float64), np.zeros(len(first)))
+    a, b, height = np.concatenate([of[again], a]), np.concatenate([again, b]), np.concatenate([np.zeros(len(again)), height])
+    kept = np.sort(np.argsort(height, kind="stable")[: max(0, n - clusters)])
+    return np.unique(roots(np.arange(n), a[kept], b[kept]), return_inverse=True)[1]
+
+
+def speakers(n, square: float, own: float, least: int, most: int) -> int:
+    """How many speakers to look for: from the mean cosine distance of all pairs of ``n`` rows, which the squared length of the sum of
+    their unit vectors and the sum of their squared lengths give."""
     if n < 2:
         return least
-    u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    far = 1 - ((u.sum(axis=0) ** 2).sum() - (u * u).sum()) / (n * (n - 1))
+    far = 1 - (square - own) / (n * (n - 1))
     # Bands of the mean distance.
     want = 3 if far > 0.32 else 2 if far > 0.24 else least
     return max(least, min(most, max(least, want)))
 
 
-def merged_speakers(df: DataFrame, key: str, id: str, vector: str, least: int = 1, most: int = 8) -> DataFrame:
+def cheapest(state: DataFrame, block: int) -> DataFrame:
+    """key, node, cost, near: the cheapest partner of each cluster without one. Blocks of these and blocks of all clusters of a key
+    meet in tasks of their own."""
+    pieces = lambda c: F.ceil(c / block).cast("int")
+    sizes = stored(state.groupBy("key").agg(pieces(F.count("*")).alias("all"), pieces(F.count_if(F.col("near").isNull())).alias("stale")), "state_sizes")
+    rows = joined(state, sizes, ["key"], "node").filter("stale > 0").select("key", "node", "size", "x", "near", "all", "stale", F.xxhash64("node").alias("h"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = rows.filter("near is null").select("key", "node", "size", "x", F.pmod("h", "stale").cast("int").alias("i"), upto("all").alias("j"), F.lit(True).alias("asks"))
+    met = mine.union(rows.select("key", "node", "size", "x", upto("stale").alias("i"), F.pmod("h", "all").cast("int").alias("j"), F.lit(False).alias("asks")))
+
+    def meet(table: pa.Table) -> pa.Table:
+        (node, x, size), (others, y, weight) = (clusters_of(table.filter(mask)) for mask in (table["asks"], pa.compute.invert(table["asks"])))
+        if not len(node) or not len(others):
+            return pa.table({"key": table["key"][:0], "node": pa.array([], pa.int64()), "cost": pa.array([], pa.float64()), "near": pa.array([], pa.int64())})
+        cost, near = closest(node, x, size, others, y, weight)
+        return pa.table({"key": pa.array([table["key"][0].as_py()] * len(node)), "node": node, "cost": cost, "near": near}).filter(pa.array(near >= 0))
+
+    best = met.groupBy("key", "i", "j").applyInArrow(meet, "key string, node long, cost double, near long")
+    return best.groupBy("key", "node").agg(F.min(F.struct("cost", "near")).alias("b")).select("key", "node", "b.cost", "b.near")
+
+
+def clusters_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, centres and sizes, by number."""
+    table = table.sort_by("node").combine_chunks()
+    x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return table["node"].to_numpy(), x.reshape(table.num_rows, -1) if len(x) else np.zeros((0, 1)), table["size"].to_numpy()
+
+
+def merged_once(state: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Clusters (key, node, size, height, x, near, cost) after all that are each other's cheapest partners are merged, and the
+    merges (key, a, b, height)."""
+    found = cheapest(state, block)
+    known = state.filter("near is not null").select("key", "node", "cost", "near").union(found)
+    light = stored(known.join(state.select("key", "node", "height").hint("merge"), ["key", "node"]), "partners")
+    back = light.select("key", F.col("node").alias("near"), F.col("near").alias("back"), F.col("height").alias("other"))
+    pairs = light.join(back.hint("merge"), ["key", "near"]).filter("back = node and node < near")
+    pairs = stored(pairs.select("key", F.col("node").alias("a"), F.col("near").alias("b"), F.greatest("cost", "height", "other").alias("height")), "merges")
+    part = lambda c: state.select("key", F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("x").alias(f"x_{c}")).hint("merge")
+    size = F.col("size_a") + F.col("size_b")
+    new = pairs.join(part("a"), ["key", "a"]).join(part("b"), ["key", "b"])
+    new = new.select("key", F.col("a").alias("node"), size.alias("size"), "height", F.zip_with("x_a", "x_b", lambda p, q: (F.col("size_a") * p + F.col("size_b") * q) / size).alias("x"), F.lit(None).cast("long").alias("near"), F.lit(None).cast("double").alias("cost"))
+    gone = stored(pairs.select("key", F.explode(F.array("a", "b")).alias("node"), F.lit(True).alias("gone")), "merged")
+    rest = joined(light.drop("height"), gone, ["key", "node"], "node").filter("gone is null").drop("gone")
+    rest = joined(rest, gone.withColumnRenamed("node", "near"), ["key", "near"], "node").select("key", "node", F.when(F.col("gone").isNull(), F.col("near")).alias("near"), F.when(F.col("gone").isNull(), F.col("cost")).alias("cost"))
+    rest = state.drop("near", "cost").join(rest.hint("merge"), ["key", "node"]).select("key", "node", "size", "height", "x", "near", "cost")
+    return stored(rest.union(new), "clusters"), pairs
+
+
+def merged_speakers(df: DataFrame, key: str, id: str, vector: str, least: int = 1, most: int = 8, block: int = APART) -> DataFrame:
     """key, id, speaker, speakers: Ward's clusters of each key's segments, as many as ``speakers`` says, numbered by their first
-    segment. Rows without a key, id or vector are left out. A key of more than MOST segments is an error: its merges need a look
-    at all of them each."""
-
-    def work(table: pa.Table) -> pa.Table:
-        if table.num_rows > MOST:
-            raise ValueError(f"{table.num_rows} segments for one key; {MOST} are merged at most")
-        table = table.sort_by("id")
-        x = np.array(table["x"].to_pylist(), np.float64)
-        k = speakers(x, least, most)
-        return pa.table({"key": table["key"], "id": table["id"], "speaker": pa.array(ward(x, k).astype(np.int64)), "speakers": pa.array([k] * len(x), pa.int64())})
-
-    rows = df.filter(F.col(key).isNotNull() & F.col(id).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(id).cast("long").alias("id"), F.col(vector).alias("x"))
-    return rows.groupBy("key").applyInArrow(work, "key string, id long, speaker long, speakers long")
+    segment. Rows without a key, id or vector, or with an entry that is null or no finite number, are left out.
+
+    Copies are merged first. Keys of more than ``block`` different segments are merged in rounds that are spread over tasks by pairs of
+    blocks until so few are left (or a round merges under one in 200); what is left of a key is merged in a task. The work grows with the
+    square of a key's segments; a task holds two blocks. The costliest merges of each key are then left out.
+    """
+    fine = F.forall(vector, lambda c: F.coalesce(c.cast("double").between(-1e100, 1e100), F.lit(False))) & (F.size(vector) > 0)
+    rows = df.filter(F.col(key).isNotNull() & F.col(id).isNotNull() & F.coalesce(fine, F.lit(False))).select(F.col(key).cast("string").alias("key"), F.col(id).cast("long").alias("id"), F.transform(vector, lambda c: c.cast("double")).alias("x"))
+    rows = stored(rows.withColumn("node", F.row_number().over(Window.partitionBy("key").orderBy("id", "x")).cast("long")), "segments")
+    length = F.greatest(V.norm(F.col("x")), F.lit(1e-300))
+    flat = rows.select("key", length.alias("length"), F.posexplode("x").alias("i", "c")).withColumn("u", F.col("c") / F.col("length")).groupBy("key", "i").agg(F.sum("u").alias("s"), F.sum(F.col("u") * F.col("u")).alias("q"), F.count("*").alias("n"))
+    wanted = F.udf(lambda n, square, own: speakers(n, square, own, least, most), "long")
+    counts = stored(flat.groupBy("key").agg(F.max("n").alias("n"), F.sum(F.col("s") * F.col("s")).alias("square"), F.sum("q").alias("own")).select("key", wanted("n", "square", "own").alias("speakers")), "speakers")
+    firsts = stored(rows.groupBy("key", "x").agg(F.min("node").alias("first"), F.count("*").cast("double").alias("size")), "copies")
+    labels = stored(rows.select("key", "id", "node", "x").join(firsts.select("key", "x", "first").hint("merge"), ["key", "x"]).select("key", "id", "node", "first"), "firsts")
+    done = [labels.filter("node <> first").select("key", F.col("first").alias("a"), F.col("node").alias("b"), F.lit(0.0).alias("height"))]
+    state = firsts.select("key", F.col("first").alias("node"), "size", F.lit(0.0).alias("height"), "x", F.lit(None).cast("long").alias("near"), F.lit(None).cast("double").alias("cost"))
+    left = stored(state.groupBy("key").count(), "left")
+    apart, small = left.filter(F.col("count") > block), []
+    while not apart.isEmpty():
+        small.append(joined(state, apart.select("key", F.lit(True).alias("large")), ["key"], "node").filter("large is null").drop("large"))
+        state, pairs = merged_once(joined(state, apart.select("key", F.lit(True).alias("large")), ["key"], "node").filter("large").drop("large"), block)
+        done.append(pairs)
+        left = stored(state.groupBy("key").count().join(pairs.groupBy("key").agg(F.count("*").alias("merged")), "key", "left"), "left")
+        apart = left.filter((F.col("count") > block) & (F.coalesce("merged", F.lit(0)) * 200 >= F.col("count")))
+    for part in small:
+        state = state.union(part)
+
+    def finish(table: pa.Table) -> pa.Table:
+        height = table.sort_by("node")["height"].to_numpy().copy()
+        a, b, height = merges(*(v.copy() for v in clusters_of(table)), height)
+        return pa.table({"key": pa.array([table["key"][0].as_py()] * len(a), pa.string()), "a": a, "b": b, "height": height, "step": np.arange(len(a))})
+
+    def rooted(table: pa.Table) -> pa.Table:
+        table = table.sort_by("step")
+        a, b = table["a"].to_numpy(), table["b"].to_numpy()
+        node = np.unique(np.concatenate([a, b]))
+        return pa.table({"key": pa.array([table["key"][0].as_py()] * len(node), pa.string()), "a": roots(node, a, b), "b": node})
+
+    last = stored(state.select("key", "node", "size", "height", "x").groupBy("key").applyInArrow(finish, "key string, a long, b long, height double, step long"), "last_merges")
+    every = last.withColumn("round", F.lit(len(done)))
+    for number, pairs in enumerate(done):
+        every = every.union(pairs.select("key", "a", "b", "height", F.lit(0).cast("long").alias("step"), F.lit(number).alias("round")))
+    costly = Window.partitionBy("key").orderBy(F.desc("height"), F.desc("round"), F.desc("step"), F.desc("a"), F.desc("b"))
+    # A merge is undone for each speaker but one: those that cost most, which are on top of all others.
+    undone = joined(every.withColumn("rank", F.row_number().over(costly)).filter(F.col("rank") < most), counts, ["key"], "b").filter("rank < speakers")
+    undone = stored(undone.select("key", "b", "round", F.lit(True).alias("undone")), "undone")
+    out = labels.select("key", "id", F.col("node").alias("at"))
+    for number, pairs in enumerate([*done, last]):
+        kept = joined(pairs, undone.filter(F.col("round") == number).drop("round"), ["key", "b"], "b").filter("undone is null").drop("undone")
+        kept = kept if number < len(done) else kept.groupBy("key").applyInArrow(rooted, "key string, a long, b long")
+        kept = stored(kept.select("key", F.col("b").alias("at"), "a"), "kept")
+        out = joined(out, kept, ["key", "at"], "id").select("key", "id", F.coalesce("a", "at").alias("at"))
+    out = stored(out, "merged_rows")
+    numbers = out.select("key", "at").distinct().withColumn("speaker", (F.row_number().over(Window.partitionBy("key").orderBy("at")) - 1).cast("long"))
+    named = stored(numbers.join(counts.hint("merge"), "key"), "numbers")
+    return joined(out, named, ["key", "at"], "id").select("key", "id", "speaker", "speakers")

@@ -186,6 +186,24 @@ def test_ward_against_brute_force(spark, sf):
     assert len(got) == len(rows) and [got[r["vec_id"]]["speaker"] for r in own] == brute_ward(x, k).tolist() and got[own[0]["vec_id"]]["speakers"] == k
 
 
+def test_ward_of_keys_of_many_blocks(spark):
+    """Rounds of blocks give what one task gives, with copies, far pairs that merge early, repeated ids and vectors that are none."""
+    rng = np.random.default_rng(6)
+    apart = lambda *at: np.concatenate([rng.normal(size=(40, 3)) + 50 * np.array(p) for p in at])
+    far = np.concatenate([apart((1, 0, 0), (1, 0.1, 0)), [[0, 900, 0], [0, 940, 0]]])
+    keys = {1: apart((1, 0, 0), (0, 1, 0), (0, 0, 1)), 2: np.repeat(apart((1, 0, 0), (0, -1, 0)), 3, axis=0), 3: far, 4: np.ones((50, 3)), 5: rng.normal(size=(110, 3))}
+    rows = [(k, i, x.tolist()) for k, xs in keys.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame([*rows, (1, 500, [1.0, None, 0.0]), (1, 501, [1.0, float("nan"), 0.0]), (1, 502, None), (7, 1, [1.0, 0.0, 0.0]), (7, 1, [0.0, 1.0, 0.0]), (7, 1, [0.0, 0.0, 1.0])], "k int, id long, v array<double>")
+    got = {}
+    for r in C.merged_speakers(df, "k", "id", "v", 3, block=70).orderBy("key", "id").collect():
+        got.setdefault(int(r["key"]), []).append(r["speaker"])
+    for k, x in keys.items():
+        assert got[k] == C.ward(x, 3).tolist()
+    for k in (1, 3):
+        assert got[k] == brute_ward(keys[k], 3).tolist()
+    assert sorted(got[7]) == [0, 1, 2] and set(got) == {*keys, 7}
+
+
 @pytest.mark.parametrize("hot", [5, 1000])
 def test_large_tables_are_joined_by_shuffle(spark, hot):
     """Beyond the stated size a table is not sent to the tasks, whatever its file's size, and only hot keys are copied to pieces."""
