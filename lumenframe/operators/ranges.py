@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import stored
 
-#: Rows of a table that is sent to all tasks; pieces of a key where it is shuffled instead, and rows from which on a key is cut; rows of a block.
-BROADCAST_MAX, SALTS, HOT, BLOCK = 100_000, 64, 100_000, 2048
+#: Rows of a table that is sent to all tasks; pieces of a key where it is shuffled instead, and rows from which on a key is cut; rows of a block;
+#: rows of a task that sorts whole keys.
+BROADCAST_MAX, SALTS, HOT, BLOCK, TASK = 100_000, 64, 100_000, 2048, 100_000
+
+
+def spread(df: DataFrame, keys: list[str], rows: int = TASK) -> DataFrame:
+    """The rows by key in tasks of about ``rows`` of them, so that more rows are more tasks, not larger ones. By their files' sizes Spark
+    would put as many rows into a task as compress well; a key is never cut."""
+    return df.repartition(max(1, -(-df.count() // rows)), *keys)
 
 
 def joined(big: DataFrame, small: DataFrame, keys: list[str], salt: str, most: int = BROADCAST_MAX, hot: int = HOT) -> DataFrame:

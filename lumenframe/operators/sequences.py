@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import spread
+
 
 def placed(df: DataFrame, key: str, order: list[str], score: str) -> DataFrame:
     """The rows with _i (place from 0), _n (rows of the key) and _rank (from 0, of rows with a score: the best first)."""
     w, best = Window.partitionBy(key), Window.partitionBy(key, F.col(score).isNull()).orderBy(F.desc(score), *order)
-    rows = df.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count(F.lit(1)).over(w), "_keys": F.count(score).over(w)})
+    rows = spread(df, [key]).withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count(F.lit(1)).over(w), "_keys": F.count(score).over(w)})
     return rows.withColumn("_rank", F.when(F.col(score).isNotNull(), F.row_number().over(best) - 1))
 
 

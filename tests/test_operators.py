@@ -189,3 +189,15 @@ def test_rates_of_close_times(spark):
     df = spark.sql("SELECT 1 AS k, timestamp_micros(1704067211172425 + 1107 * i) AS ts, double(i * i) AS v, i FROM (SELECT explode(sequence(0, 40)) AS i)")
     got = {r["i"]: r["rate"] for r in T.rates(df, "k", ["ts"], "v", 1e-6).collect()}
     assert got == {i: (2 * i - 1) / (1107 / 1e6) for i in range(1, 41)}
+
+
+@pytest.mark.parametrize("rows", [50, 1000])
+def test_more_rows_are_more_tasks(spark, rows, monkeypatch):
+    """Sequences are placed in tasks of a stated number of rows, whatever the session's number of partitions."""
+    from lumenframe.operators import ranges, sequences
+
+    monkeypatch.setattr(sequences, "spread", lambda df, keys: ranges.spread(df, keys, rows))
+    df = spark.range(1000).selectExpr("id % 100 AS k", "id AS i", "CASE WHEN id % 3 = 0 THEN id * 1.0 END AS score")
+    placed = sequences.placed(df, "k", ["i"], "score")
+    assert placed.rdd.getNumPartitions() == 1000 // rows
+    assert placed.filter("_i <> floor(i / 100) OR _n <> 10").isEmpty() and placed.count() == 1000
