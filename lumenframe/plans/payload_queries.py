@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import features as X
 from ..operators import payload as P
 from ..operators import quantiles as Q
+from ..operators import ranges
 from ..operators import timeline as T
 from .timeline_queries import S, W, ev, r
 
@@ -82,7 +83,8 @@ COMPONENTS = ("A", "N", "R")
 
 def manifest_table(spark, d):
     """A wide row per run (order): each component's (return flag's) status code and the value of its first .npz artifact."""
-    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    li = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus")
+    li = ranges.spread(li, ["l_orderkey"])
     path = F.concat(F.lit("part"), F.col("l_linenumber"), F.when(F.col("l_tax") > 0.04, ".NPZ").otherwise(".json"))
     rows = li.select(F.col("l_orderkey").alias("run_id"), F.col("l_returnflag").alias("component"), F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", path.alias("path")).alias("a"), "l_linestatus")
     runs = rows.groupBy("run_id", "component").agg(F.array_sort(F.collect_list("a")).alias("artifacts"), F.max("l_linestatus").alias("s"))

@@ -201,3 +201,11 @@ def test_more_rows_are_more_tasks(spark, rows, monkeypatch):
     placed = sequences.placed(df, "k", ["i"], "score")
     assert placed.rdd.getNumPartitions() == 1000 // rows
     assert placed.filter("_i <> floor(i / 100) OR _n <> 10").isEmpty() and placed.count() == 1000
+
+
+def test_manifest_table_is_shuffled_once(spark, sf):
+    """One shuffle by run, of a number of tasks that follows the rows, serves all its rollups."""
+    from lumenframe.plans.catalogue import QUERIES
+
+    plan = QUERIES["p6_manifest_table"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
