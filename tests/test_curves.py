@@ -47,6 +47,24 @@ def test_warping_against_brute_force(spark, sf):
     assert not days
 
 
+def test_warping_of_many_keys_at_once(spark):
+    """Rows of a table are warped as each alone, and keys that go on over batches stay whole."""
+    rng = np.random.default_rng(7)
+    a, b = rng.integers(0, 5, (50, 12)).astype(float), rng.integers(0, 5, (50, 12)).astype(float)
+    distance, steps = C.all_warped(a, b, 3)
+    want = [brute_warping(x, y, 3) for x, y in zip(a, b, strict=True)]
+    assert np.allclose(distance, [w[0] for w in want]) and steps.tolist() == [w[1] for w in want]
+    df = spark.createDataFrame([(k, i, float(a[k, i]), float(b[k, i])) for k in range(50) for i in range(12 - k % 3)], "k long, i long, a double, b double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = {r["k"]: r for r in C.side_by_side(df, "k", ["i"], "a", "b", 4, 3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k in range(50):
+        want = brute_warping(a[k, : 12 - k % 3], b[k, : 12 - k % 3], 3)
+        assert got[k]["n"] == 12 - k % 3 and abs(got[k]["distance"] - want[0]) < 1e-9 and got[k]["steps"] == want[1]
+
+
 def test_curves_of_unlike_lengths(spark):
     """The shorter curve is stretched; a lag of the longer one is found; level and empty curves."""
     t = np.arange(40)
