@@ -209,3 +209,11 @@ def test_manifest_table_is_shuffled_once(spark, sf):
 
     plan = QUERIES["p6_manifest_table"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_topics_take_words_once(spark, sf):
+    """Texts are read and cut into words once."""
+    from lumenframe.plans.catalogue import QUERIES
+
+    plan = QUERIES["a39_topics"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Generate explode") == 1
