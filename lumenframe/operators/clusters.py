@@ -1,11 +1,14 @@
 """Clusters of each key's vectors: k-means and principal components over blocks of rows, Ward's merges in rounds.
 
-A key's vectors are packed into blocks of BLOCK rows once; each round sends a key's centres to its blocks and adds up partial
-sums, so a key of any size is spread over tasks. Nothing but a count comes to the driver.
+A key's vectors are packed into blocks of BLOCK rows once. K-means of keys of one block is done where the block is, many keys at
+once; for larger keys each round sends a key's centres to its blocks and adds up partial sums, so a key of any size is spread
+over tasks. Nothing but counts and numbers of rounds come to the driver.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -16,8 +19,11 @@ from ..functions import vectors as V
 from ..sources.sinks import stored
 from .ranges import joined
 
-#: Rows of a block; groups that partial sums of a key meet in first; clusters of a key that are merged in one task.
-BLOCK, GROUPS, APART = 1024, 64, 8192
+#: Rows of a block; groups that partial sums of a key meet in first; clusters of a key that are merged in one task; entries of
+#: whole keys that are worked on at once (a larger block is worked on alone).
+BLOCK, GROUPS, APART, TOGETHER = 1024, 64, 8192, 2**17
+#: The greatest entry of a vector, of either sign.
+MOST = 1e300
 BLOCKS = "key string, block int, ids binary, x binary"
 MOMENTS = "key string, n long, mean binary, square binary"
 
@@ -25,17 +31,38 @@ MOMENTS = "key string, n long, mean binary, square binary"
 def blocks_of(df: DataFrame, key: str, id: str, vector: str, block: int = BLOCK) -> DataFrame:
     """key, block, ids, x (bytes): a key's vectors in blocks of about ``block`` rows. Rows with a null key, id or vector, or a null
     or non-finite entry, are left out. Vectors of a key have one length."""
-    fine = F.coalesce(F.forall(vector, lambda c: F.coalesce(c.cast("double").between(-1e300, 1e300), F.lit(False))) & (F.size(vector) > 0), F.lit(False))
+    fine = F.coalesce(F.forall(vector, lambda c: F.coalesce(c.cast("double").between(-MOST, MOST), F.lit(False))) & (F.size(vector) > 0), F.lit(False))
     rows = df.filter(fine & F.col(key).isNotNull() & F.col(id).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(id).cast("long").alias("id"), F.transform(vector, lambda c: c.cast("double")).alias("x"))
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("pieces")).filter("pieces > 1")
     rows = joined(rows, stored(sizes, "key_sizes"), ["key"], "id").withColumn("block", F.pmod(F.xxhash64("id"), F.coalesce("pieces", F.lit(1))).cast("int"))
 
-    def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id").combine_chunks()
+    def pack(table: pa.Table) -> pa.RecordBatch:
+        key, block = table["key"], table["block"].to_numpy()
+        begins = pa.compute.not_equal(key[1:], key[:-1]).to_numpy() | (np.diff(block) != 0)
+        at = np.concatenate([[0], np.flatnonzero(begins) + 1, [len(block)]])
         x = table["x"].combine_chunks()
-        return pa.table({"key": table["key"][:1], "block": table["block"][:1], "ids": pa.array([table["id"].to_numpy().tobytes()], pa.binary()), "x": pa.array([x.flatten().to_numpy(zero_copy_only=False).tobytes()], pa.binary())})
+        edge = x.offsets.to_numpy()[at] - x.offsets[0].as_py()
+        ids, x = table["id"].to_numpy(), x.flatten().to_numpy(zero_copy_only=False)
+        cut = lambda v, at: pa.array([v[i:j].tobytes() for i, j in itertools.pairwise(at.tolist())], pa.binary())
+        return pa.RecordBatch.from_arrays([key.take(pa.array(at[:-1])).combine_chunks(), pa.array(block[at[:-1]]), cut(ids, at), cut(x, edge)], names=["key", "block", "ids", "x"])
 
-    return stored(rows.select("key", "block", "id", "x").groupBy("key", "block").applyInArrow(pack, BLOCKS), "blocks")
+    def run(batches):
+        held = []
+        for batch in filter(len, batches):
+            # The last block may go on in the next batch.
+            last = (batch["key"][-1].as_py(), batch["block"][-1].as_py())
+            own = np.asarray(pa.compute.equal(batch["key"], last[0])) & (batch["block"].to_numpy() == last[1])
+            cut = len(batch) - int(own.sum())
+            if cut or (held and (held[-1]["key"][0].as_py(), held[-1]["block"][0].as_py()) != last):
+                if whole := [*held, *([batch.slice(0, cut)] if cut else [])]:
+                    yield pack(pa.Table.from_batches(whole))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield pack(pa.Table.from_batches(held))
+
+    rows = rows.select("key", "block", "id", "x").repartition("key", "block").sortWithinPartitions("key", "block", "id")
+    return stored(rows.mapInArrow(run, BLOCKS), "blocks")
 
 
 def opened(ids: bytes, x: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -166,17 +193,88 @@ def first_of(batch: pa.RecordBatch, i: int, x: np.ndarray) -> np.ndarray:
     return gaps(x, np.frombuffer(batch["centres"][i].as_py()).reshape(-1, x.shape[1])).argmin(axis=1)
 
 
-def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4, of_key: DataFrame | None = None) -> DataFrame:
-    """key, id, cluster of every row of the blocks: Lloyd's rounds from ``seeded`` centres, until the squared moves of no key's centres
-    come to more than ``tolerance`` of the mean variance of its entries, or ``rounds`` are done. A centre without rows stays.
-    A key with fewer than ``k`` different vectors has as many clusters as those; ``of_key`` (key, k) may name fewer for some keys."""
+def together(batch: pa.RecordBatch):
+    """The blocks of a batch end to end, those of one width, up to TOGETHER entries: their places in the batch, ids, rows, and for
+    each row which of the blocks it is of."""
+    ids, x = batch["ids"].to_pylist(), batch["x"].to_pylist()
+    width = np.array([len(b) // len(a) for a, b in zip(ids, x, strict=True)])
+    for d in np.unique(width).tolist():
+        at = np.flatnonzero(width == d)
+        size = np.array([len(ids[i]) // 8 for i in at])
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(size * d) // TOGETHER)) + 1):
+            own = at[part]
+            yield own, *opened(b"".join(ids[i] for i in own), b"".join(x[i] for i in own)), np.repeat(np.arange(len(own)), size[part])
+
+
+def totals(x: np.ndarray, owner: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows each block has, and their sums, to the last bit those of ``sum`` on a block's rows of one entry: reduceat adds the
+    first of a part to the sum of its rest, so each part begins with a zero."""
+    start = np.searchsorted(owner, np.arange(blocks + 1))
+    return np.diff(start), np.stack([np.add.reduceat(np.insert(v, start[:-1], 0.0), start[:-1] + np.arange(blocks)) for v in x.T], axis=1)
+
+
+def raced(ids: np.ndarray, x: np.ndarray, owner: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """What ``seeded`` does, for whole blocks (``k`` of each) at once: block, number, entry; infinite beyond a block's centres."""
+    start = np.searchsorted(owner, np.arange(len(k)))
+    centres = np.full((len(k), k.max(), x.shape[1]), np.inf)
+    for step in range(k.max()):
+        far = gaps(x, [centres[owner, j] for j in range(step)]).min(axis=1) if step else np.ones(len(x))
+        time = np.where(far > 0, -np.log(drawn(ids, step)) / np.where(far > 0, far, 1), np.inf)
+        of, first = np.unique(owner[won := np.flatnonzero(time == np.minimum.reduceat(time, start)[owner])], return_index=True)
+        won = won[first][(far[won[first]] > 0) & (step < k[of])]
+        centres[owner[won], step] = x[won]
+    return centres
+
+
+def lloyd(ids: np.ndarray, x: np.ndarray, owner: np.ndarray, k: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, list[int]]:
+    """The cluster of each row after ``rounds`` of Lloyd's for whole blocks at once, and the rounds in which a block's centres moved by
+    more than the tolerance. A block whose rows all keep their clusters stays as it is, so it takes no further part."""
+    n, s = totals(x, owner, len(k))
+    spread = np.maximum((totals(x * x, owner, len(k))[1] / n[:, None] - (s / n[:, None]) ** 2).mean(axis=1), 0)
+    centres, out, at, moving = raced(ids, x, owner, k), np.zeros(len(x), np.int32), np.arange(len(x)), []
+    own = gaps(x, [centres[owner, j] for j in range(centres.shape[1])]).argmin(axis=1)
+    for step in range(rounds):
+        moves = np.zeros(len(spread))
+        for j in range(centres.shape[1]):
+            n, s = totals(x[own == j], owner[own == j], len(spread))
+            new = s[n > 0] / n[n > 0, None]
+            moves[n > 0] += ((new - centres[n > 0, j]) ** 2).sum(axis=1)
+            centres[n > 0, j] = new
+        if (moves > tolerance * spread).any():
+            moving.append(step)
+        now = gaps(x, [centres[owner, j] for j in range(centres.shape[1])]).argmin(axis=1)
+        live = np.zeros(len(spread), bool)
+        live[owner[now != own]] = True
+        out[at] = now
+        stay = live[owner]
+        x, at, own, centres, spread, owner = x[stay], at[stay], now[stay], centres[live], spread[live], (np.cumsum(live) - 1)[owner[stay]]
+        if not len(x):
+            break
+    return out, moving
+
+
+def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4, of_key: DataFrame | None = None, vectors: bool = False) -> DataFrame:
+    """key, id, cluster of every row of the blocks, with ``vectors`` also x, its vector: Lloyd's rounds from ``seeded`` centres, until the
+    squared moves of no key's centres come to more than ``tolerance`` of the mean variance of its entries, or ``rounds`` are done. A
+    centre without rows stays.
+    A key with fewer than ``k`` different vectors has as many clusters as those; ``of_key`` (key, k) may name fewer for some keys.
+
+    Keys of one block are looked at twice: for the rounds in which any of them moves, and, when it is known how many rounds there are,
+    for their clusters. Only keys of more blocks take the rounds by shuffle."""
     cells = "key string, cell int, n long, s double, q double"
+    found = "key string, id long, cluster int" + (", x array<double>" if vectors else "")
+
+    def rows_of(batch, places, ids, cluster, x):
+        out = {"key": batch["key"].take(pa.array(places)), "id": pa.array(ids), "cluster": pa.array(cluster.astype(np.int32))}
+        if vectors:
+            out["x"] = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
+        return pa.RecordBatch.from_pydict(out)
 
     def labelled(batches):
         for batch in filter(len, batches):
             for i in range(len(batch)):
                 ids, x = opened(batch["ids"][i].as_py(), batch["x"][i].as_py())
-                yield pa.RecordBatch.from_arrays([pa.array([batch["key"][i].as_py()] * len(ids), pa.string()), pa.array(ids), pa.array(first_of(batch, i, x).astype(np.int32))], names=["key", "id", "cluster"])
+                yield rows_of(batch, np.full(len(ids), i), ids, first_of(batch, i, x), x)
 
     def packed(batches):
         for batch in filter(len, batches):
@@ -186,20 +284,51 @@ def kmeans(blocks: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-4,
         for batch in filter(len, batches):
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array([np.frombuffer(x).tolist() for x in batch["centres"].to_pylist()], pa.list_(pa.float64()))], names=["key", "flat"])
 
-    added = [F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")]
-    whole = blocks.mapInArrow(lambda b: sums(b, lambda batch, i, x: np.zeros(len(x), np.int64)), cells).groupBy("key", "cell").agg(*added)
-    spread = stored(whole.groupBy("key").agg(F.avg(F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n"))).alias("spread")), "spread")
-    centres = stored(seeded(blocks, k, of_key).mapInArrow(unpacked, "key string, flat array<double>").withColumn("moving", F.lit(True)).mapInArrow(packed, "key string, centres binary, flat array<double>, moving boolean"), "centres")
-    for _ in range(rounds):
-        means = joined(blocks, centres.select("key", "centres"), ["key"], "ids").mapInArrow(lambda b: sums(b, first_of), cells).groupBy("key", "cell").agg(*added)
-        old = centres.select("key", F.posexplode("flat").alias("cell", "old"))
-        new = old.join(means, ["key", "cell"], "left").withColumn("new", F.coalesce(F.col("s") / F.col("n"), F.col("old")))
-        new = new.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "new"))), lambda x: x["new"]).alias("flat"), F.sum((F.col("new") - F.col("old")) * (F.col("new") - F.col("old"))).alias("moves"))
-        new = new.join(spread, "key").select("key", "flat", (F.col("moves") > tolerance * F.col("spread")).alias("moving"))
-        centres = stored(new.mapInArrow(packed, "key string, centres binary, flat array<double>, moving boolean"), "centres")
-        if centres.filter("moving").isEmpty():
+    def whole_keys(batch):
+        most = np.minimum(batch["k"].to_numpy(), k) if "k" in batch.schema.names else np.full(len(batch), k)
+        for own, ids, x, owner in together(batch):
+            yield own, ids, x, owner, most[own]
+
+    def unsettled(batches):
+        for batch in filter(len, batches):
+            steps = {step for _, ids, x, owner, most in whole_keys(batch) for step in lloyd(ids, x, owner, most, rounds, tolerance)[1]}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(steps), pa.int32())], names=["step"])
+
+    def clustered(upto):
+        def run(batches):
+            for batch in filter(len, batches):
+                for own, ids, x, owner, most in whole_keys(batch):
+                    yield rows_of(batch, own[owner], ids, lloyd(ids, x, owner, most, upto, tolerance)[0], x)
+
+        return run
+
+    several = stored(blocks.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key", F.lit(True).alias("_cut")), "cut_keys")
+    cut = not several.isEmpty()
+    told = joined(blocks, several, ["key"], "ids") if cut else blocks.withColumn("_cut", F.lit(None).cast("boolean"))
+    whole, blocks = told.filter("_cut is null").drop("_cut"), told.filter("_cut").drop("_cut")
+    whole = whole if of_key is None else joined(whole, of_key, ["key"], "ids")
+    moving = {row["step"] for row in whole.mapInArrow(unsettled, "step int").distinct().collect()}
+
+    if cut:
+        added = [F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")]
+        sizes = blocks.mapInArrow(lambda b: sums(b, lambda batch, i, x: np.zeros(len(x), np.int64)), cells).groupBy("key", "cell").agg(*added)
+        variance = F.avg(F.col("q") / F.col("n") - (F.col("s") / F.col("n")) * (F.col("s") / F.col("n")))
+        spread = stored(sizes.groupBy("key").agg(F.greatest(variance, F.lit(0.0)).alias("spread")), "spread")
+        centres = stored(seeded(blocks, k, of_key).mapInArrow(unpacked, "key string, flat array<double>").withColumn("moving", F.lit(True)).mapInArrow(packed, "key string, centres binary, flat array<double>, moving boolean"), "centres")
+    for done in range(rounds):
+        still = False
+        if cut:
+            means = joined(blocks, centres.select("key", "centres"), ["key"], "ids").mapInArrow(lambda b: sums(b, first_of), cells).groupBy("key", "cell").agg(*added)
+            old = centres.select("key", F.posexplode("flat").alias("cell", "old"))
+            new = old.join(means, ["key", "cell"], "left").withColumn("new", F.coalesce(F.col("s") / F.col("n"), F.col("old")))
+            new = new.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "new"))), lambda x: x["new"]).alias("flat"), F.sum((F.col("new") - F.col("old")) * (F.col("new") - F.col("old"))).alias("moves"))
+            new = new.join(spread, "key").select("key", "flat", (F.col("moves") > tolerance * F.col("spread")).alias("moving"))
+            centres = stored(new.mapInArrow(packed, "key string, centres binary, flat array<double>, moving boolean"), "centres")
+            still = not centres.filter("moving").isEmpty()
+        if not still and done not in moving:
             break
-    return joined(blocks, centres.select("key", "centres"), ["key"], "ids").mapInArrow(labelled, "key string, id long, cluster int")
+    got = whole.mapInArrow(clustered(done + 1), found)
+    return got.union(joined(blocks, centres.select("key", "centres"), ["key"], "ids").mapInArrow(labelled, found)) if cut else got
 
 
 def closest(node: np.ndarray, x: np.ndarray, size: np.ndarray, others: np.ndarray, y: np.ndarray, weight: np.ndarray, rows: int = 256, exact: int = 65_536) -> tuple[np.ndarray, np.ndarray]:

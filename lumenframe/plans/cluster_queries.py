@@ -10,11 +10,13 @@ from ..operators import clusters as C
 from ..operators import density as D
 from ..operators import folds
 from ..operators import nearest as N
+from ..sources.sinks import stored
 from .flow_queries import W, by_user, ev, r
 from .fold_queries import HOUR, SCENES, timed
 from .vector_queries import emb
 
-EPS, SHOTS = 0.5, 2
+#: The last: rows of a user whose k-means is done in one task.
+EPS, SHOTS, WHOLE = 0.5, 2, 65_536
 
 
 def similar(spark, d):
@@ -65,14 +67,14 @@ UNION ALL SELECT *, 'greedy' FROM greedy WHERE user_id NOT IN (SELECT user_id FR
 
 def temporal_segments(spark, d):
     """Runs of rows of a user that k-means on their values puts in one of five clusters; users of under ten rows have none, and
-    those with a value that is null or no number get five runs of equal length."""
+    those with a value that is null, no number or infinite get five runs of equal length."""
     rows = ev(spark, d).withColumn("place", F.row_number().over(by_user()).cast("long") - 1).select("user_id", "place", "value")
-    sizes = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.max(F.coalesce(F.isnan("value"), F.lit(True))).alias("odd")).filter("n >= 10")
-    rows = rows.join(sizes, "user_id")
-    labels = C.kmeans(C.blocks_of(rows.filter("not odd").withColumn("x", F.array("value")), "user_id", "place", "x"), 5)
-    labels = labels.select(F.col("key").cast("long").alias("user_id"), F.col("id").alias("place"), "cluster")
+    sizes = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.max(~F.coalesce(F.col("value").between(-C.MOST, C.MOST), F.lit(False))).alias("odd")).filter("n >= 10")
+    rows = stored(rows.join(sizes, "user_id"), "places")
+    labels = C.kmeans(C.blocks_of(rows.filter("not odd").withColumn("x", F.array("value")), "user_id", "place", "x", WHOLE), 5, vectors=True)
+    labels = labels.select(F.col("key").cast("long").alias("user_id"), F.col("id").alias("place"), F.col("x")[0].alias("value"), F.lit(False).alias("odd"), F.col("cluster").alias("part"))
     even = F.least(F.expr("place div (n div 5)"), F.lit(4))
-    df = rows.join(labels, ["user_id", "place"], "left").withColumn("part", F.coalesce("cluster", even))
+    df = labels.union(rows.filter("odd").select("user_id", "place", "value", "odd", even.cast("int").alias("part")))
     w = Window.partitionBy("user_id").orderBy("place")
     df = df.withColumn("new", F.when(F.col("part") == F.lag("part").over(w), 0).otherwise(1)).withColumn("segment", F.sum("new").over(w).cast("long") - 1)
     got = df.groupBy("user_id", "segment").agg(F.min("place").alias("start_frame"), (F.max("place") + 1).alias("end_frame"), F.count("*").alias("length_frames"), r(F.avg("value")).alias("mean"), r(F.stddev_pop("value")).alias("std"), F.when(F.first("odd"), "uniform").otherwise("kmeans").alias("method"))

@@ -117,6 +117,62 @@ def test_kmeans_against_brute_force(spark):
     assert [r["cluster"] for r in sorted(few) if r["key"] == "d"] == brute_kmeans(np.arange(3), keys["d"], 2).tolist()
 
 
+def test_kmeans_of_whole_keys_takes_no_rounds_by_shuffle(spark, monkeypatch):
+    """Many keys of one block, with ties, level values and fewer different ones than clusters, write no more tables than one key does."""
+    rng, written, stored = np.random.default_rng(7), [], C.stored
+    keys = {f"k{i}": np.round(rng.normal(size=(int(rng.integers(1, 60)), 1)) * 20, 1) for i in range(150)} | {"level": np.full((41, 1), 0.1), "wide": rng.normal(size=(30, 2))}
+    df = spark.createDataFrame([(k, i, v.tolist()) for k, x in keys.items() for i, v in enumerate(x)], "k string, i long, v array<double>").repartition(5)
+    blocks = C.blocks_of(df, "k", "i", "v")
+    monkeypatch.setattr(C, "TOGETHER", 500, raising=False)
+    monkeypatch.setattr(C, "stored", lambda df, what: written.append(what) or stored(df, what))
+    got = {}
+    for r in C.kmeans(blocks, 5).orderBy("key", "id").collect():
+        got.setdefault(r["key"], []).append(r["cluster"])
+    assert len(written) <= 2 and set(got) == set(keys)
+    for k, x in keys.items():
+        assert got[k] == brute_kmeans(np.arange(len(x)), x, 5).tolist()
+
+
+def test_rounds_of_level_values_end(spark, monkeypatch):
+    """A key of equal values, whose sums of squares round below 0, does not keep all keys at work for 50 rounds."""
+    written, stored = [], C.stored
+    df = spark.createDataFrame([("a", i, [v]) for i, v in enumerate([0.7] * 11)] + [("b", i, [v]) for i, v in enumerate([1.0, 2.0, 9.0])], "k string, i long, v array<double>")
+    blocks = C.blocks_of(df, "k", "i", "v", 4)
+    assert blocks.groupBy("key").count().filter("key = 'a' and count > 1").count() == 1
+    monkeypatch.setattr(C, "stored", lambda df, what: written.append(what) or stored(df, what))
+    got = C.kmeans(blocks, 2).collect()
+    assert len(written) < 20 and {r["cluster"] for r in got if r["key"] == "a"} == {0} and len(got) == 14
+    again = C.kmeans(blocks, 2, vectors=True).collect()
+    assert sorted(r[:3] for r in again) == sorted(got) and all(r["x"] == [0.7 if r["key"] == "a" else (1.0, 2.0, 9.0)[r["id"]]] for r in again)
+
+
+def test_segments_of_values_that_are_no_numbers(spark, tmp_path):
+    """Users with a null, a NaN or an infinite value get equal runs."""
+    values = {1: [1.0] * 5 + [float("nan")] + [2.0] * 6, 2: [None] + [3.0] * 10, 3: [5.0, 5.0, float("inf"), *[9.0] * 9], 4: [1.0] * 9, None: [1.0] * 12, 5: [0.7] * 30}
+    rows = [(100 * (u or 0) + i, i, u, v) for u, xs in values.items() for i, v in enumerate(xs)]
+    spark.createDataFrame(rows, "event_id long, s long, user_id long, value double").selectExpr("event_id", "timestamp_seconds(s) AS ts", "user_id", "value").write.parquet(f"{tmp_path}/events.parquet")
+    got = {}
+    for r in QUERIES["e18_temporal_segments"](spark, str(tmp_path)).orderBy("user_id", "start_frame").collect():
+        got.setdefault(r["user_id"], []).append((r["start_frame"], r["end_frame"], r["method"]))
+    even = lambda n: [(i * (n // 5), (i + 1) * (n // 5) if i < 4 else n, "uniform") for i in range(5)]
+    assert got == {1: even(12), 2: even(11), 3: even(12), 5: [(0, 30, "kmeans")]}
+
+
+def test_blocks_go_on_over_batches(spark):
+    """Blocks hold each row once, in order, wherever the batches they are packed from end."""
+    rows = [(k, i, [float(i), k / 7]) for k in range(9) for i in range(5 * k + 1)]
+    df = spark.createDataFrame(rows, "k long, i long, v array<double>").repartition(3)
+    for most in ("1", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+        try:
+            got = [(r["key"], r["block"], *C.opened(r["ids"], r["x"])) for r in C.blocks_of(df, "k", "i", "v", 16).collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len({r[:2] for r in got}) == len(got) and all((np.diff(ids) > 0).all() for _, _, ids, _ in got)
+        assert sorted((int(k), i, v) for k, _, ids, x in got for i, v in zip(ids.tolist(), x.tolist(), strict=True)) == rows
+    assert C.blocks_of(df.limit(0), "k", "i", "v").count() == 0
+
+
 def test_components_of_blocks_against_numpy(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(700, 6)) * [9, 5, 3, 2, 1, 0.5] + 1e6
