@@ -37,10 +37,11 @@ def body_signals(valence: str, arousal: str, kinds: dict[str, str], flashes: Col
     of = lambda *names: F.avg(sum((F.col(kinds[n]) for n in names[1:]), F.col(kinds[names[0]])))
     varies, high = (F.var_pop(v) + F.var_pop(a)) / 2, share(a > 0.4)
     rate = lambda most: [capped(flashes / most)] if flashes is not None else []
+    # Parts are added from the left, a 1 as a part of its own, as the SQL adds them: another order ends in another last bit.
     return {
         "stress": unit(mean([share((a > 0.3) & (v < 0)), of("Fear", "Anger"), capped(varies * 2), *rate(2.0)])),
-        "confidence": unit(mean([share(v > 0.2), share((a > -0.2) & (a < 0.5)), of("Happy", "Neutral"), 1 - capped(varies)])),
-        "tension": unit(mean([high, 1 - capped(varies * 2), of("Sad", "Anger", "Fear")])),
+        "confidence": unit((share(v > 0.2) + share((a > -0.2) & (a < 0.5)) + of("Happy", "Neutral") + 1 - capped(varies)) / 4),
+        "tension": unit((high + 1 - capped(varies * 2) + of("Sad", "Anger", "Fear")) / 3),
         "nervousness": unit(mean([capped(varies * 3), high, of("Fear", "Surprise"), *rate(1.5)])),
     }
 

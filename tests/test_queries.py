@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pandas as pd
 import pytest
 from compare import oracle, same
 
@@ -54,6 +57,19 @@ def test_best_and_worst_rows_have_places_from_both_ends(spark, tmp_path):
     assert {(r["event_type"], r["event_id"]): (r["low"], r["high"]) for r in QUERIES["w9_best_worst"](spark, str(tmp_path)).collect()} == want
 
 
+@pytest.mark.parametrize(("column", "lengths", "users"), [("confidence", (70, 75), (1529, 21343, 22017, 25475)), ("tension", (40, 50, 64, 75, 80), (13272,)), ("stress", (40, 50, 64, 75, 80), (18028,)), ("nervousness", (40, 50, 64, 75, 80), (298, 1930, 3861, 4556))])
+def test_halves_of_individuality_go_as_in_sql(spark, tmp_path, column, lengths, users):
+    """Scores of these users stand on a half at the seventh place: parts are added and rounded as the SQL does, to the last bit."""
+    rows = []
+    for user in users:
+        rnd = random.Random(user)
+        rows += [(rnd.randrange(273), user, rnd.choice(("click", "view", "purchase", "signup", "error"))) for _ in range(rnd.choice(lengths))]
+    df = pd.DataFrame(rows, columns=["event_id", "user_id", "event_type"]).assign(ts=pd.Timestamp("2024-01-01"), value=1.0)
+    df.to_parquet(f"{tmp_path}/events.parquet", coerce_timestamps="us")
+    got, want = ({r["user_id"]: r[column] for r in rows} for rows in (QUERIES["a20_individuality"](spark, str(tmp_path)).collect(), oracle(ORACLES["a20_individuality"], str(tmp_path))))
+    assert got == want and set(got) == set(users)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
